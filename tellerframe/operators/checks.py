@@ -19,13 +19,20 @@ from pyspark.sql import types as T
 
 from tellerframe.functions.ratios import percent, ratio
 from tellerframe.operators.median import exact_median
+from tellerframe.schemas import BOOLEAN, INT, LONG, fields
 
 QUARANTINE, HALT, FLAG, WARN = "QUARANTINE", "HALT", "FLAG", "WARN"
 SAMPLES = 5
 
-RESULT = T.StructType.fromDDL(
-    "check_index int, check_name string, dimension string, column string, rule_description string,"
-    " passed boolean, failed_count bigint, failed_pct decimal(5,2), action string, details string"
+RESULT = T.StructType(
+    [
+        *fields("check_index", INT),
+        *fields("check_name dimension column rule_description"),
+        *fields("passed", BOOLEAN),
+        *fields("failed_count", LONG),
+        *fields("failed_pct", T.DecimalType(5, 2)),
+        *fields("action details"),
+    ]
 )
 
 

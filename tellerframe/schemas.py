@@ -5,37 +5,62 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+STRING, BOOLEAN, DATE = T.StringType(), T.BooleanType(), T.DateType()
+INT, LONG = T.IntegerType(), T.LongType()
+MONEY, RATE = T.DecimalType(18, 2), T.DecimalType(6, 4)
+
+
+def fields(names: str, kind: T.DataType = STRING) -> list[T.StructField]:
+    """Fields of one type, names separated by blanks."""
+    return [T.StructField(name, kind) for name in names.split()]
 
 
 # Dates arrive as ISO text and are typed in staging, so that a bad one becomes
 # null there instead of failing the read.
-RAW_CUSTOMERS = _struct(
-    "customer_id string, first_name string, last_name string, email string, phone string,"
-    " date_of_birth string, province string, postal_code string, customer_segment string,"
-    " kyc_status string, join_date string, is_active boolean, _source_system string, _extract_ts string"
+SOURCE_COLUMNS = ("_source_system", "_extract_ts")
+_SOURCE = fields(" ".join(SOURCE_COLUMNS))
+
+RAW_CUSTOMERS = T.StructType(
+    [
+        *fields("customer_id first_name last_name email phone date_of_birth province postal_code customer_segment kyc_status join_date"),
+        *fields("is_active", BOOLEAN),
+        *_SOURCE,
+    ]
 )
-RAW_ACCOUNTS = _struct(
-    "account_id string, customer_id string, account_type string, account_status string, currency string,"
-    " current_balance decimal(18,2), available_balance decimal(18,2), interest_rate decimal(6,4),"
-    " open_date string, last_activity_date string, branch_id string, _source_system string, _extract_ts string"
+RAW_ACCOUNTS = T.StructType(
+    [
+        *fields("account_id customer_id account_type account_status currency"),
+        *fields("current_balance available_balance", MONEY),
+        *fields("interest_rate", RATE),
+        *fields("open_date last_activity_date branch_id"),
+        *_SOURCE,
+    ]
 )
-RAW_TRANSACTIONS = _struct(
-    "transaction_id string, account_id string, transaction_type string, channel string,"
-    " amount decimal(18,2), currency string, merchant_category string, transaction_date string,"
-    " transaction_time string, status string, description string, _source_system string, _extract_ts string"
+RAW_TRANSACTIONS = T.StructType(
+    [
+        *fields("transaction_id account_id transaction_type channel"),
+        *fields("amount", MONEY),
+        *fields("currency merchant_category transaction_date transaction_time status description"),
+        *_SOURCE,
+    ]
 )
-RAW_CREDIT = _struct(
-    "loan_id string, customer_id string, loan_type string, original_amount decimal(18,2),"
-    " outstanding_balance decimal(18,2), interest_rate decimal(6,4), term_months int,"
-    " origination_date string, maturity_date string, credit_score int, risk_rating string,"
-    " days_past_due int, loan_status string, collateral_type string, _source_system string, _extract_ts string"
+RAW_CREDIT = T.StructType(
+    [
+        *fields("loan_id customer_id loan_type"),
+        *fields("original_amount outstanding_balance", MONEY),
+        *fields("interest_rate", RATE),
+        *fields("term_months", INT),
+        *fields("origination_date maturity_date"),
+        *fields("credit_score", INT),
+        *fields("risk_rating"),
+        *fields("days_past_due", INT),
+        *fields("loan_status collateral_type"),
+        *_SOURCE,
+    ]
 )
-MERCHANT_CATEGORIES = _struct("merchant_category string, category_group string, is_essential boolean")
-LINEAGE_EDGE = _struct(
-    "source_dataset string, source_column string, target_dataset string, target_column string,"
-    " transformation_rule string, pipeline_step string"
+MERCHANT_CATEGORIES = T.StructType([*fields("merchant_category category_group"), *fields("is_essential", BOOLEAN)])
+LINEAGE_EDGE = T.StructType(
+    fields("source_dataset source_column target_dataset target_column transformation_rule pipeline_step")
 )
 
 RAW_FEEDS = {
@@ -44,5 +69,3 @@ RAW_FEEDS = {
     "transactions_raw": RAW_TRANSACTIONS,
     "credit_data_raw": RAW_CREDIT,
 }
-
-SOURCE_COLUMNS = ("_source_system", "_extract_ts")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tellerframe.operators.upsert import touched_partitions, upsert
 from tellerframe.sources.raw import read_optional, read_parquet
-from tellerframe.sources.storage import materialize
+from tellerframe.sources.storage import delete_path, materialize
 
 
 def write_landing_csv(df: DataFrame, path: str) -> None:
@@ -22,6 +22,7 @@ def write_staged(df: DataFrame, path: str) -> None:
 
 
 MONTH = "month_key"
+_HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 def with_month(df: DataFrame, day: str) -> DataFrame:
@@ -116,13 +117,8 @@ def merge_partitions(
     overwrite_partitions(aside, path, partition)
     for value in values:
         if value not in left:
-            _drop_partition(batch.sparkSession, f"{path}/{partition}={value}")
-
-
-def _drop_partition(spark: SparkSession, path: str) -> None:
-    """Remove a partition folder all of whose rows moved elsewhere."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop_path, True)
+            # all rows of this partition moved to others
+            delete_path(batch.sparkSession, f"{path}/{partition}={_HIVE_NULL if value is None else value}")
 
 
 def load_all(datasets: dict[str, DataFrame], root: str, loads: Sequence[Load] = STANDARD_LOADS) -> dict[str, int]:

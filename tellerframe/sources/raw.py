@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tellerframe.schemas import RAW_FEEDS
-from tellerframe.sources.storage import materialize
+from tellerframe.sources.storage import materialize, path_exists
 
 CORRUPT = "_corrupt_record"
 
@@ -33,12 +32,7 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
 
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None where there is none."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def register_raw(feeds: dict[str, DataFrame]) -> None:

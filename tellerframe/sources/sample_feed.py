@@ -103,7 +103,7 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(number % 211 == 9, F.lit("30").cast("decimal(6,4)"))
         .otherwise(((number % 550) * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(6,4)"))
         .alias("interest_rate"),
-        _iso(F.date_add(F.lit(date(2008, 1, 1)), (number % 5000).cast("int"))).alias("open_date"),
+        _iso(F.date_add(F.lit(date(2008, 1, 1)), ((number * 311) % 5000).cast("int"))).alias("open_date"),
         F.when(number % 113 != 5, _iso(F.date_sub(F.lit(AS_OF), ((number * 7) % 1500).cast("int")))).alias(
             "last_activity_date"
         ),
@@ -126,7 +126,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("+1-555-"), zero_pad(key, 7)).alias("phone"),
         F.when(key % 173 == 8, "unknown")
-        .otherwise(_iso(F.date_add(F.lit(date(1936, 1, 1)), ((key * 37) % 26000).cast("int"))))
+        .otherwise(_iso(F.date_add(F.lit(date(1936, 1, 1)), ((key * 7919) % 26000).cast("int"))))
         .alias("date_of_birth"),
         F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("province"),
         F.concat(F.lit("P"), zero_pad(key % 10000, 5)).alias("postal_code"),
@@ -140,7 +140,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((key % 20).isin(5, 6), "Pending")
         .otherwise("Verified")
         .alias("kyc_status"),
-        _iso(F.date_add(F.lit(date(2000, 1, 1)), (key % 9000).cast("int"))).alias("join_date"),
+        _iso(F.date_add(F.lit(date(2000, 1, 1)), ((key * 613) % 9000).cast("int"))).alias("join_date"),
         (key % 12 != 5).alias("is_active"),
         F.lit("CORE_BANKING_v4").alias("_source_system"),
         F.lit(FIRST_EXTRACT).alias("_extract_ts"),

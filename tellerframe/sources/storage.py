@@ -38,3 +38,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location, files = _hadoop(spark, path)
+    return files.exists(location)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    location, files = _hadoop(spark, path)
+    files.delete(location, True)
