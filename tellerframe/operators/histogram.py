@@ -16,8 +16,9 @@ def clipped_histogram(df: DataFrame, value: str, cap: int, bins: int, scale: int
     slips over an edge by floating-point error.  All-equal values fall into
     the middle bin.
     """
+    # least() skips nulls, so they have to go before the clipping
     clipped = F.least(F.col(value), F.lit(cap)).cast(f"decimal(20,{scale})")
-    data = df.select((clipped * 10**scale).cast("long").alias("_v")).filter(F.col("_v").isNotNull())
+    data = df.filter(F.col(value).isNotNull()).select((clipped * 10**scale).cast("long").alias("_v"))
     bounds = data.agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     low = bounds.select("_low").scalar()
     high = bounds.select("_high").scalar()
