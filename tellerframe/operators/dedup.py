@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_row_rank"
+INGEST_ORDER = "_ingest_order"
 
 
 def _keep_best(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -23,20 +24,22 @@ def _keep_best(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 def dedup_latest(df: DataFrame, keys: Sequence[str], version: str, ties: Sequence[str] | None = None) -> DataFrame:
     """The row with the highest ``version`` per key.
 
-    Ties are broken by the columns of ``ties``, by default by all others: rows
-    still tied are then identical, and the result repeats.
+    Ties go to the row read first where the feed carries ``_ingest_order``;
+    that also lets Catalyst prune the columns a query does not use.  Without
+    it all columns break ties: rows still tied are then identical.
     """
     if ties is None:
-        ties = [c for c in df.columns if c not in (*keys, version)]
+        every = [c for c in df.columns if c not in (*keys, version)]
+        ties = [INGEST_ORDER] if INGEST_ORDER in df.columns else every
     return _keep_best(df, keys, [F.desc(version), *[F.asc(c) for c in ties]])
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: str = "_ingest_order") -> DataFrame:
+def dedup_first(df: DataFrame, keys: Sequence[str], order: str = INGEST_ORDER) -> DataFrame:
     """The row read first per key; null keys form one group."""
     return _keep_best(df, keys, [F.asc(order)])
 
 
-def first_of_repeated(df: DataFrame, key: str, order: str = "_ingest_order") -> DataFrame:
+def first_of_repeated(df: DataFrame, key: str, order: str = INGEST_ORDER) -> DataFrame:
     """For keys that occur more than once: the key and its first position.
 
     A mergeable aggregate over two narrow columns; the result is as small as

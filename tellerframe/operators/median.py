@@ -1,10 +1,11 @@
 """Exact medians by counting, not by collecting.
 
 Spark's exact ``percentile`` holds every distinct value of a group in one
-buffer.  Here the middle value is narrowed down 16 bits at a time: each round
-counts rows per 16-bit slice of the still possible range, a mergeable
-aggregate with at most 65,536 rows per group, and keeps the slice that holds
-the middle rank.  Work per round is one scan of two narrow columns.
+buffer.  Here equal values are merged first, in one partial aggregation over
+the source.  On that table of distinct values the middle is then narrowed down
+16 bits at a time: each round counts rows per 16-bit slice of the range still
+possible, a mergeable aggregate with at most 65,536 rows per group, and keeps
+the slice that holds the middle rank.  No task ever sees a whole group.
 """
 
 from __future__ import annotations
@@ -35,16 +36,17 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), scale: int =
     """
     by = list(by)
     unscaled = (F.col(value).cast(f"decimal(20,{scale})") * 10**scale).cast("long")
-    data = materialize(df.select(*by, unscaled.alias("_v")).filter(F.col("_v").isNotNull()), "median-values")
+    values = df.select(*by, unscaled.alias("_v")).filter(F.col("_v").isNotNull())
+    data = materialize(values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w")), "median-values")
 
     bounds = data.agg(F.min("_v"), F.max("_v")).first()
     low, high = bounds
     if low is None:
-        return data.groupBy(*by).agg(F.lit(None).cast(f"decimal(22,{scale + 1})").alias("median"), F.count("_v").alias("n"))
-    data = data.select(*by, (F.col("_v") - F.lit(low)).alias("_v"))
+        return data.groupBy(*by).agg(F.lit(None).cast(f"decimal(22,{scale + 1})").alias("median"), F.sum("_w").alias("n"))
+    data = data.select(*by, (F.col("_v") - F.lit(low)).alias("_v"), "_w")
     shift = -(-(high - low).bit_length() // _STEP) * _STEP
 
-    sizes = data.groupBy(*by).agg(F.count("_v").alias("n"))
+    sizes = data.groupBy(*by).agg(F.sum("_w").alias("n"))
     middle = F.array_distinct(F.array(F.expr("(n - 1) div 2"), F.expr("n div 2")))
     targets = materialize(
         sizes.select(*by, "n", F.posexplode(middle).alias("_side", "_rank")).withColumn("_prefix", F.lit(0).cast("long")),
@@ -68,13 +70,13 @@ def _narrow(data: DataFrame, targets: DataFrame, by: list[str], shift: int) -> D
     prefixes = targets.select(*by, "_prefix").distinct()
     # a shift by 64 would be a shift by 0
     prefix = F.lit(0).cast("long") if shift + _STEP >= 64 else F.shiftright("_v", shift + _STEP)
-    values = data.select(*by, prefix.alias("_prefix"), F.shiftright("_v", shift).alias("_slice"))
+    values = data.select(*by, prefix.alias("_prefix"), F.shiftright("_v", shift).alias("_slice"), "_w")
     on = ["_prefix", *by]
     counts = (
         values.alias("v")
         .join(prefixes.alias("p"), _same(on, "v", "p"), "left_semi")
         .groupBy(*on, "_slice")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.sum("_w").alias("_c"))
     )
     group = Window.partitionBy(*[f"t.{c}" for c in by], "_side").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.alias("c").join(targets.alias("t"), _same(on, "c", "t")).withColumn("_upto", F.sum("_c").over(group))

@@ -26,14 +26,25 @@ def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], version: str
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def within_bounds(target: DataFrame, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """Target rows inside the least and greatest key of the batch, as literal
+    predicates that reach the Parquet statistics."""
+    bounds = batch.agg(*[f(c).alias(f"{n}_{c}") for c in pk for n, f in (("low", F.min), ("high", F.max))]).first()
+    for column in pk:
+        target = target.filter(F.col(column).between(F.lit(bounds[f"low_{column}"]), F.lit(bounds[f"high_{column}"])))
+    return target
+
+
 def touched_partitions(target: DataFrame, batch: DataFrame, pk: Sequence[str], partition: str) -> list:
     """Partition values that hold keys of the batch before or after the load.
 
     Only these have to be rewritten.  The list is as long as the table has
-    partitions, i.e. metadata, not data.
+    partitions, i.e. metadata, not data.  The search reads the key columns
+    only, and only files whose statistics overlap the key range of the batch;
+    where ids grow with time that leaves the recent ones.
     """
     keys = batch.select(*pk).distinct()
-    before = target.join(keys, list(pk), "left_semi").select(partition)
+    before = within_bounds(target, batch, pk).join(keys, list(pk), "left_semi").select(partition)
     after = batch.select(partition)
     return [row[0] for row in before.unionByName(after).distinct().collect()]
 

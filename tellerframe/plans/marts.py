@@ -78,13 +78,13 @@ def fact_transactions(
     """One row per transaction with a known account.
 
     The account join is the one shuffle; accounts are unique, so a hot account
-    skews only the transaction side, which adaptive execution splits.  The
-    date and merchant sides have a size fixed by their construction (4,017 and
-    12 rows) and are broadcast.
+    skews only the transaction side, which adaptive execution splits.  Dates
+    and merchants carry no hint: Catalyst knows their size, from literals or
+    from files, and broadcasts them while they are small.
     """
     current = accounts.filter("is_current").select("account_id", "account_sk", "customer_sk")
-    days = F.broadcast(dates.select("date_sk", F.col("full_date").alias("transaction_date")))
-    categories = F.broadcast(merchants.select("merchant_sk", F.col("merchant_category").alias("merchant_category_clean")))
+    days = dates.select("date_sk", F.col("full_date").alias("transaction_date"))
+    categories = merchants.select("merchant_sk", F.col("merchant_category").alias("merchant_category_clean"))
     return (
         transactions.filter(F.col("transaction_id").isNotNull() & F.col("amount_cad").isNotNull())
         .join(current, "account_id")

@@ -16,7 +16,7 @@ from tellerframe.functions.ratios import mean, percent, ratio, share_true
 
 def daily_summary(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Per day: count, volume, average, active accounts, large count, failures."""
-    days = F.broadcast(dates.select("date_sk", "full_date", "day_of_week"))
+    days = dates.select("date_sk", "full_date", "day_of_week")
     amount = F.col("amount_cad")
     return (
         fact.join(days, "date_sk")
@@ -75,7 +75,7 @@ def channel_performance(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
     The window runs over the aggregate, one row per channel and month.
     """
-    days = F.broadcast(dates.select("date_sk", "year", "month_number", "month_name"))
+    days = dates.select("date_sk", "year", "month_number", "month_name")
     monthly = (
         fact.join(days, "date_sk")
         .groupBy("year", "month_number", "month_name", "channel")

@@ -101,8 +101,7 @@ def stage_transactions(raw: DataFrame, rules: Rules, keep: str = "latest", keep_
     if keep == "first":
         single = dedup_first(identified, ["transaction_id"])
     else:
-        ties = [c for c in identified.columns if c not in ("transaction_id", "_extract_ts", "_ingest_order")]
-        single = dedup_latest(identified, ["transaction_id"], "_extract_ts", ties)
+        single = dedup_latest(identified, ["transaction_id"], "_extract_ts")
     typed = single.filter(F.col("account_id").isNotNull() & F.col("amount").isNotNull()).withColumn(
         "transaction_date", parse_date(F.col("transaction_date"))
     )

@@ -156,16 +156,7 @@ FROM (SELECT account_id, customer_id, account_type, account_status, currency, cu
 """
 
 
-_TXN_TIES = ", ".join(
-    f"{c} NULLS FIRST"
-    for c in (
-        "account_id", "transaction_type", "channel", "amount", "currency", "merchant_category", "transaction_date",
-        "transaction_time", "status", "description", "_source_system",
-    )
-)
-
-
-def staged_transactions(source: str = "raw_transactions", order: str = f"_extract_ts DESC, {_TXN_TIES}") -> str:
+def staged_transactions(source: str = "raw_transactions", order: str = "_extract_ts DESC, _ingest_order") -> str:
     return f"""
 SELECT * EXCLUDE (_source_system, _extract_ts, _ingest_order, rn),
   CASE WHEN transaction_type IN ('Debit', 'ATM Withdrawal', 'Bill Payment') THEN -amount_cad ELSE amount_cad END AS signed_amount_cad,

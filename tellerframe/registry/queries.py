@@ -21,10 +21,11 @@ from tellerframe.operators.quarantine import flag_rows, split
 from tellerframe.operators.upsert import high_water_mark, newer_than, upsert
 from tellerframe.plans import daily, dashboard, governance, kpi, marts, profiling, reports, staging, suites
 from tellerframe.registry.bank import RULES, Bank, rules_at
-from tellerframe.schemas import RAW_ACCOUNTS, RAW_TRANSACTIONS
+from tellerframe.schemas import RAW_ACCOUNTS, RAW_TRANSACTIONS, fields
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import sample_feed
 from tellerframe.sources.raw import inventory, optional_inventory, read_optional, read_raw_csv, register_raw
+from tellerframe.sources.seeds import literal_table
 from tellerframe.sources.storage import fresh_path, materialize
 from tellerframe.streaming import ingest
 
@@ -107,9 +108,8 @@ def stg_credit(bank: Bank) -> DataFrame:
 @query
 def fx_rate_table(bank: Bank) -> DataFrame:
     """Conversion by a rate table instead of one constant."""
-    rates = bank.spark.createDataFrame(
-        [("USD", Decimal("1.3600"))], "currency string, rate_to_cad decimal(10,4)"
-    )
+    schema = T.StructType([*fields("currency"), *fields("rate_to_cad", T.DecimalType(10, 4))])
+    rates = literal_table(bank.spark, [("USD", Decimal("1.36"))], schema)
     priced = add_cad_from_rates(bank.raw_transactions, "amount", "currency", rates)
     return priced.groupBy("currency").agg(F.count("amount_cad").alias("n"), F.sum("amount_cad").alias("total_cad"))
 

@@ -33,12 +33,12 @@ def with_month(df: DataFrame, day: str) -> DataFrame:
 def write_by_month(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> None:
     """Month partitions, rows clustered inside each file.
 
-    The rows are spread over tasks by month and cluster keys and not by month
-    alone, so one big month is written by many tasks; sorted clusters make the
-    Parquet min/max statistics selective.  Only the months in ``df`` are
-    replaced.
+    The rebalance hint lets adaptive execution split a big month over many
+    tasks and merge small ones, so files come out near the advisory size;
+    sorted clusters make the row-group statistics selective.  Only the months
+    in ``df`` are replaced.
     """
-    spread = with_month(df, day).repartition(MONTH, *cluster).sortWithinPartitions(MONTH, *cluster)
+    spread = with_month(df, day).hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *cluster)
     overwrite_partitions(spread, path, MONTH)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tellerframe.schemas import LINEAGE_EDGE, MERCHANT_CATEGORIES
 from tellerframe.sources.raw import read_raw_csv
@@ -66,13 +68,20 @@ LINEAGE_SEED = [
 ]
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A table of literals.  Unlike a frame made from Python rows its size is
+    known to Catalyst, which then broadcasts it without a hint."""
+    records = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*records)))
+
+
 def merchant_categories(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The category seed, from a CSV when a path is given; twelve rows."""
     if path:
         return read_raw_csv(spark, path, MERCHANT_CATEGORIES)
-    return spark.createDataFrame(CATEGORY_SEED, MERCHANT_CATEGORIES)
+    return literal_table(spark, CATEGORY_SEED, MERCHANT_CATEGORIES)
 
 
 def lineage_edges(spark: SparkSession) -> DataFrame:
     """The registry of column lineage, one row per edge."""
-    return spark.createDataFrame(LINEAGE_SEED, LINEAGE_EDGE)
+    return literal_table(spark, LINEAGE_SEED, LINEAGE_EDGE)
