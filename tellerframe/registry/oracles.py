@@ -836,13 +836,14 @@ add(
     },
     True,
 )
-JSON_FIELDS = " || ',' || ".join(f"""'"{c.strip()}":"' || {c.strip()} || '"'""" for c in EDGE.split(","))
+JSON_FIELDS = " || ',' || ".join(f"""'"{c.strip()}":' || coalesce('"' || {c.strip()} || '"', 'null')""" for c in EDGE.split(","))
 add("lineage_json", f"SELECT '{{' || {JSON_FIELDS} || '}}' AS value FROM edges")
-add("lineage_markdown", f"SELECT '| ' || {EDGE.replace(', ', " || ' | ' || ")} || ' |' AS value FROM edges")
+add("lineage_markdown", f"SELECT '| ' || {" || ' | ' || ".join(f"coalesce({c.strip()}, '')" for c in EDGE.split(','))} || ' |' AS value FROM edges")
 add(
     "lineage_checks",
     """SELECT pipeline_step, COUNT(*) AS edges,
-         COUNT(*) FILTER (WHERE source_dataset = target_dataset AND source_column = target_column) AS problems
+         COUNT(*) FILTER (WHERE source_column IS NULL OR target_column IS NULL
+           OR (source_dataset = target_dataset AND source_column = target_column)) AS problems
        FROM edges GROUP BY pipeline_step""",
 )
 

@@ -1,4 +1,4 @@
-"""Compare queries with their SQL: python tests/check_oracles.py [sf] [query ...]"""
+"""Compare queries with their SQL: python tests/check_oracles.py [sf or folder] [query ...]"""
 
 from __future__ import annotations
 
@@ -62,7 +62,7 @@ def main(scale: str, names: list[str]) -> int:
     settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"}
     spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
-    folder = f"/root/testdata/sf{scale}"
+    folder = scale if "/" in scale else f"/root/testdata/sf{scale}"
     connection = connect(folder)
     queries, oracles = contract.queries(), contract.oracle_sql()
     bad = []
