@@ -14,9 +14,10 @@ import time
 
 from tellerframe.registry.queries import QUERIES
 from tellerframe.session import build_session
+from tellerframe.sources.storage import release
 
 HEADLINE = (
-    "stg_transactions stg_credit fact_transactions q1_daily_summary q2_segment_analysis q3_dormancy q4_channel_mom q5_large_register"
+    "stg_transactions stg_transactions_sparse stg_credit fact_transactions q1_daily_summary q2_segment_analysis q3_dormancy q4_channel_mom q5_large_register"
     " q6_credit_portfolio q7_lifetime_value kpi_daily_summary kpi_customer_segment dash_kpi_cards dash_top_merchants prof_null_pct"
     " prof_median prof_hist_amount dq_profile dq_checks dq_quarantine dq_clean dq_score ge_transactions scd2_customer scd2_account"
     " pit_segment upsert_staging incremental_fact lineage_ancestors lineage_closure retention io_csv io_partitioned stream_ingest"
@@ -44,6 +45,7 @@ def main(names: list[str]) -> None:
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
     }
+    release(spark)
     spark.stop()
     print(json.dumps(result))
 

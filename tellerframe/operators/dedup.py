@@ -1,8 +1,13 @@
 """One row per key.
 
-A ranked window filtered to its first row is planned with a partial group
-limit: every map task keeps one row per key before the shuffle, so a key that
-holds a third of all rows costs each reducer one row per map task.
+``dedup_latest`` and ``dedup_first`` are ranked windows filtered to their first
+row, planned with a partial group limit: every map task keeps one row per key
+before the shuffle, so a key that holds a third of all rows costs each reducer
+one row per map task.  The wide rows are still shuffled and sorted.
+
+``dedup_sparse`` spares that where few keys repeat, as in a sound feed.  A
+narrow pass finds the repeated keys; rows of all other keys pass through
+without a shuffle, and only the copies are ranked.
 """
 
 from __future__ import annotations
@@ -12,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tellerframe.sources.storage import materialize
+
 _RANK = "_row_rank"
 INGEST_ORDER = "_ingest_order"
 
@@ -39,6 +46,27 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: str = INGEST_ORDER) -
     return _keep_best(df, keys, [F.asc(order)])
 
 
+# the repeated keys are broadcast up to this many, beyond it everything is ranked
+MAX_REPEATED_KEYS = 200_000
+
+
+def dedup_sparse(
+    df: DataFrame, keys: Sequence[str], version: str, ties: Sequence[str] | None = None, limit: int = MAX_REPEATED_KEYS
+) -> DataFrame:
+    """Same result as :func:`dedup_latest`, for inputs read from stored tables
+    (they are scanned three times, once for the keys alone)."""
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    repeated = materialize(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]), "repeated-keys")
+    if repeated.count() > limit:
+        return dedup_latest(df, keys, version, ties)
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    small = F.broadcast(repeated)
+    copies = df.join(small, same, "left_semi")
+    return df.join(small, same, "left_anti").unionByName(dedup_latest(copies, keys, version, ties))
+
+
 def first_of_repeated(df: DataFrame, key: str, order: str = INGEST_ORDER) -> DataFrame:
     """For keys that occur more than once: the key and its first position.
 

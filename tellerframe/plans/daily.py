@@ -67,7 +67,7 @@ def stage(feeds: dict[str, DataFrame], clean: DataFrame, layout: Layout, rules:
     staged = {
         "stg_customers": staging.stage_customers(feeds["customers_raw"], rules),
         "stg_accounts": staging.stage_accounts(feeds["accounts_raw"], rules),
-        "stg_transactions": staging.stage_transactions(clean, rules),
+        "stg_transactions": staging.stage_transactions(clean, rules, sparse=True),
         "stg_credit": staging.stage_credit(feeds["credit_data_raw"], rules),
     }
     return tables.load_all(staged, f"{layout.root}/staging")
@@ -133,7 +133,10 @@ LAYERS = {
 
 
 def run_day(spark: SparkSession, feeds: dict[str, DataFrame], root: str, rules: Rules) -> DataFrame:
-    """All stages; returns the inventory of the tables written."""
+    """All stages; returns the inventory of the tables written.
+
+    ``feeds`` are landed tables: most stages read them more than once.
+    """
     layout = Layout(root)
     clean, scores = validate(feeds, layout, rules)
     if not score.may_proceed(scores, ["transactions_raw", "accounts_raw"], rules):

@@ -29,7 +29,7 @@ from tellerframe.functions.dates import (
 from tellerframe.functions.masking import mask_columns
 from tellerframe.functions.money import add_cad, is_large, signed
 from tellerframe.functions.ratios import ratio
-from tellerframe.operators.dedup import dedup_first, dedup_latest
+from tellerframe.operators.dedup import dedup_first, dedup_latest, dedup_sparse
 from tellerframe.schemas import SOURCE_COLUMNS
 
 _INTERNAL = (*SOURCE_COLUMNS, "_ingest_order")
@@ -89,11 +89,14 @@ def stage_accounts(raw: DataFrame, rules: Rules, tiers: Bands = BALANCE_TIERS) -
     return _finish(derived, rules)
 
 
-def stage_transactions(raw: DataFrame, rules: Rules, keep: str = "latest", keep_version: bool = False) -> DataFrame:
+def stage_transactions(
+    raw: DataFrame, rules: Rules, keep: str = "latest", keep_version: bool = False, sparse: bool = False
+) -> DataFrame:
     """One row per id, CAD and signed amounts, size flag, calendar parts.
 
     ``keep="latest"`` takes the newest extract of an id, ``"first"`` the row
-    read first.  Rows without id are dropped before the deduplication, which
+    read first.  ``sparse`` chooses the deduplication for stored feeds in which
+    few ids repeat; it runs a narrow job at once.  Rows without id are dropped before the deduplication, which
     spares it the shuffle of one big null group; rows whose surviving version
     has no account or amount are dropped after it.
     """
@@ -101,7 +104,8 @@ def stage_transactions(raw: DataFrame, rules: Rules, keep: str = "latest", keep_
     if keep == "first":
         single = dedup_first(identified, ["transaction_id"])
     else:
-        single = dedup_latest(identified, ["transaction_id"], "_extract_ts")
+        dedup = dedup_sparse if sparse else dedup_latest
+        single = dedup(identified, ["transaction_id"], "_extract_ts")
     typed = single.filter(F.col("account_id").isNotNull() & F.col("amount").isNotNull()).withColumn(
         "transaction_date", parse_date(F.col("transaction_date"))
     )
@@ -119,9 +123,10 @@ def stage_transactions(raw: DataFrame, rules: Rules, keep: str = "latest", keep_
     return _finish(derived, rules)
 
 
-def stage_credit(raw: DataFrame, rules: Rules) -> DataFrame:
+def stage_credit(raw: DataFrame, rules: Rules, sparse: bool = False) -> DataFrame:
     """Loan age, months to maturity, loan-to-value, score band, delinquency."""
-    single = dedup_latest(raw.filter(F.col("loan_id").isNotNull()), ["loan_id"], "_extract_ts")
+    dedup = dedup_sparse if sparse else dedup_latest
+    single = dedup(raw.filter(F.col("loan_id").isNotNull()), ["loan_id"], "_extract_ts")
     typed = single.withColumns(
         {"origination_date": parse_date(F.col("origination_date")), "maturity_date": parse_date(F.col("maturity_date"))}
     )

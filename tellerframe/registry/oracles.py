@@ -67,6 +67,7 @@ def staged(source: str) -> str:
 
 add("stg_transactions", staged("stg_transactions"))
 add("stg_transactions_first", staged("stg_first"))
+add("stg_transactions_sparse", staged("stg_transactions"))
 add("upsert_staging", staged("stg_transactions"))
 add("stream_ingest", staged("stg_transactions"))
 add(

@@ -100,6 +100,12 @@ def stg_transactions_first(bank: Bank) -> DataFrame:
     return staging.stage_transactions(bank.raw_transactions, bank.rules, keep="first")
 
 
+@query
+def stg_transactions_sparse(bank: Bank) -> DataFrame:
+    """Deduplicated through the few repeated ids of the landed feed."""
+    return staging.stage_transactions(materialize(bank.raw_transactions, "landing"), bank.rules, sparse=True)
+
+
 @query
 def stg_credit(bank: Bank) -> DataFrame:
     return bank.credit
@@ -769,8 +775,9 @@ def stream_dedup(bank: Bank) -> DataFrame:
 
 @query
 def daily_run(bank: Bank) -> DataFrame:
-    """Feeds to KPI tables in one go; the rows of every table written."""
-    return daily.run_day(bank.spark, bank.feeds, fresh_path(bank.spark, "run"), bank.rules).select("dataset", "row_count")
+    """Landed feeds to KPI tables in one go; the rows of every table written."""
+    landed = {name: materialize(df, name) for name, df in bank.feeds.items()}
+    return daily.run_day(bank.spark, landed, fresh_path(bank.spark, "run"), bank.rules).select("dataset", "row_count")
 
 
 __all__ = ["QUERIES", "RULES"]

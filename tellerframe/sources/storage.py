@@ -28,8 +28,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has written to yet."""
-    return f"{shared_folder(spark)}/tellerframe/{label}-{uuid.uuid4().hex}"
+    """A path nobody has written to yet, inside this application's folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tellerframe/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the working tables of this application.  Frames that read them
+    are of no use afterwards, so call it last."""
+    delete_path(spark, _own_folder(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tellerframe.config import Rules  # noqa: E402
 from tellerframe.session import build_session  # noqa: E402
+from tellerframe.sources.storage import release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -26,6 +27,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

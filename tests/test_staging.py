@@ -69,6 +69,17 @@ class TestTransactions:
         picks = {tuple(rows(staging.stage_transactions(raw.repartition(n), rules), "account_id")) for n in (1, 3, 7)}
         assert len(picks) == 1
 
+    def test_sparse_dedup_gives_the_same_rows(self, spark, rules, rows):
+        from tellerframe.operators.dedup import dedup_latest, dedup_sparse
+
+        data = [("hot", f"ACC{n}", "Debit", n, "CAD", None, "2024-01-01", f"t{n % 7}") for n in range(50)]
+        data += [(f"S{n}", "ACC1", "Debit", n, "CAD", None, "2024-01-01", "t1") for n in range(50)] + [(None, "A", "Debit", 1, "CAD", None, "x", "t1")] * 3
+        raw = transactions(spark, *data)
+        expected = rows(dedup_latest(raw, ["transaction_id"], "_extract_ts"))
+        assert len(expected) == 52
+        assert rows(dedup_sparse(raw, ["transaction_id"], "_extract_ts")) == expected
+        assert rows(dedup_sparse(raw, ["transaction_id"], "_extract_ts", limit=0)) == expected
+
     def test_bad_date_becomes_null(self, spark, rules):
         raw = transactions(spark, ("A", "ACC1", "Debit", 1, "CAD", None, "not a date", "t1"))
         row = staging.stage_transactions(raw, rules).first()
