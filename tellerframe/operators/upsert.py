@@ -35,18 +35,17 @@ def within_bounds(target: DataFrame, batch: DataFrame, pk: Sequence[str]) -> Dat
     return target
 
 
-def touched_partitions(target: DataFrame, batch: DataFrame, pk: Sequence[str], partition: str) -> list:
-    """Partition values that hold keys of the batch before or after the load.
+def touched_partitions(target: DataFrame, batch: DataFrame, pk: Sequence[str], partition: str) -> tuple[set, set]:
+    """Partition values that hold keys of the batch (before, after) the load.
 
-    Only these have to be rewritten.  The list is as long as the table has
+    Only these have to be rewritten.  The sets are as long as the table has
     partitions, i.e. metadata, not data.  The search reads the key columns
     only, and only files whose statistics overlap the key range of the batch;
     where ids grow with time that leaves the recent ones.
     """
     keys = batch.select(*pk).distinct()
-    before = within_bounds(target, batch, pk).join(keys, list(pk), "left_semi").select(partition)
-    after = batch.select(partition)
-    return [row[0] for row in before.unionByName(after).distinct().collect()]
+    before = within_bounds(target, batch, pk).join(keys, list(pk), "left_semi")
+    return tuple({row[0] for row in df.select(partition).distinct().collect()} for df in (before, batch))
 
 
 def high_water_mark(target: DataFrame, column: str):

@@ -75,7 +75,7 @@ def stage(feeds: dict[str, DataFrame], clean: DataFrame, layout: Layout, rules:
 
 def _replace(df: DataFrame, path: str) -> DataFrame:
     """Overwrite a table that ``df`` may itself be read from."""
-    materialize(df, "replace").write.mode("overwrite").parquet(path)
+    tables.replace_table(df, path)
     return df.sparkSession.read.parquet(path)
 
 

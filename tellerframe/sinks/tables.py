@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tellerframe.operators.upsert import touched_partitions, upsert
 from tellerframe.sources.raw import read_optional, read_parquet
-from tellerframe.sources.storage import delete_path, materialize
+from tellerframe.sources.storage import delete_path, materialize, path_exists, rename_path
 
 
 def write_landing_csv(df: DataFrame, path: str) -> None:
@@ -65,39 +66,54 @@ STANDARD_LOADS = (
 )
 
 
-def load_table(df: DataFrame, path: str, mode: str = "append", pk: Sequence[str] = (), partition: str | None = None) -> int:
-    """Write ``df`` to the table at ``path``; returns the rows given.
+def replace_table(df: DataFrame, path: str, partition: str | None = None) -> int:
+    """Put ``df`` in place of the table at ``path``; returns its rows.
 
-    An empty frame is skipped.  The row count is observed during the write,
-    without a pass of its own.
+    The new table is written beside the old one and swapped in by a rename, so
+    ``df`` may read the old one, and an empty frame leaves it alone.  The rows
+    are observed during the write, without a pass of their own.
     """
-    if mode not in ("replace", "append", "upsert"):
-        raise ValueError(f"unknown load mode {mode!r}")
-    if mode == "upsert" and not pk:
-        raise ValueError("upsert needs primary-key columns")
-    if df.isEmpty():
-        return 0
-    observed = Observation()
-    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    if mode == "upsert":
-        # the batch is written once; everything below reads that copy
-        batch = materialize(counted, "batch")
-        _upsert_table(batch, path, pk, partition)
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    rows = _write_counted(df, beside, "errorifexists", partition)
+    if rows:
+        rename_path(spark, beside, path)
     else:
-        writer = counted.write.mode("overwrite" if mode == "replace" else "append")
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        delete_path(spark, beside)
+    return rows
+
+
+def _write_counted(df: DataFrame, path: str, mode: str, partition: str | None) -> int:
+    observed = Observation()
+    writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
     return observed.get["rows"]
 
 
-def _upsert_table(batch: DataFrame, path: str, pk: Sequence[str], partition: str | None) -> None:
-    target = read_optional(batch.sparkSession, path)
+def load_table(df: DataFrame, path: str, mode: str = "append", pk: Sequence[str] = (), partition: str | None = None) -> int:
+    """Write ``df`` to the table at ``path``; returns the rows given.  An empty
+    frame changes nothing."""
+    if mode not in ("replace", "append", "upsert"):
+        raise ValueError(f"unknown load mode {mode!r}")
+    if mode == "upsert" and not pk:
+        raise ValueError("upsert needs primary-key columns")
+    if mode == "replace":
+        return replace_table(df, path, partition)
+    if mode == "append":
+        if path_exists(df.sparkSession, path):
+            return _write_counted(df, path, "append", partition)
+        return replace_table(df, path, partition)
+    target = read_optional(df.sparkSession, path)
     if target is None:
-        writer = batch.write
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
-    elif partition is None:
-        materialize(upsert(target, batch, pk), "upsert").write.mode("overwrite").parquet(path)
-    else:
+        return replace_table(df, path, partition)
+    # the batch is written once; everything below reads that copy
+    batch = materialize(df, "batch")
+    rows = batch.count()
+    if rows and partition:
         merge_partitions(target, batch, path, pk, partition)
+    elif rows:
+        replace_table(upsert(target, batch, pk), path)
+    return rows
 
 
 def merge_partitions(
@@ -105,20 +121,25 @@ def merge_partitions(
 ) -> None:
     """Upsert that rewrites only the partitions the batch touches.
 
-    The merged rows are written aside first: the target is only replaced by
-    complete data, and a failed replacement can be repeated from the copy.
+    The write reads the files it replaces: a dynamic overwrite moves the new
+    files in when the job commits, and until then the old ones stay.
+    ``batch`` is a stored table, as it is read more than once.
     """
-    values = touched_partitions(target, batch, pk, partition)
-    inside = F.col(partition).isin(*[v for v in values if v is not None])
-    if None in values:
-        inside = inside | F.col(partition).isNull()
-    aside = materialize(upsert(target.filter(inside), batch, pk, version), "upsert")
-    left = {row[0] for row in aside.select(partition).distinct().collect()}
-    overwrite_partitions(aside, path, partition)
-    for value in values:
-        if value not in left:
-            # all rows of this partition moved to others
-            delete_path(batch.sparkSession, f"{path}/{partition}={_HIVE_NULL if value is None else value}")
+    before, after = touched_partitions(target, batch, pk, partition)
+    merged = upsert(target.filter(_among(partition, before | after)), batch, pk, version)
+    left = before - after
+    if left:
+        # rows moved away from here; a partition they leave empty gets no new files
+        left -= {row[0] for row in merged.filter(_among(partition, left)).select(partition).distinct().collect()}
+    overwrite_partitions(merged, path, partition)
+    for value in left:
+        delete_path(batch.sparkSession, f"{path}/{partition}={_HIVE_NULL if value is None else value}")
+
+
+def _among(column: str, values: set) -> Column:
+    """``column`` in ``values``, null included; a literal list that prunes partitions."""
+    inside = F.col(column).isin(*[v for v in values if v is not None])
+    return inside | F.col(column).isNull() if None in values else inside
 
 
 def load_all(datasets: dict[str, DataFrame], root: str, loads: Sequence[Load] = STANDARD_LOADS) -> dict[str, int]:

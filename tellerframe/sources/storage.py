@@ -60,6 +60,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Put ``old`` in the place of ``new``."""
+    source, files = _hadoop(spark, old)
+    target, _ = _hadoop(spark, new)
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise RuntimeError(f"could not rename {old} to {new}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     location, files = _hadoop(spark, path)
     files.delete(location, True)
