@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from tellerframe.operators.dedup import dedup_latest
 
 
+def matching(target: DataFrame, keys: DataFrame, pk: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on the key columns; a null key equals a null key, so
+    that a load run twice replaces its rows in any case."""
+    named = keys.select(*[F.col(c).alias(f"_key_{c}") for c in pk]).distinct()
+    same = F.lit(True)
+    for column in pk:
+        same = same & F.col(column).eqNullSafe(F.col(f"_key_{column}"))
+    return target.join(named, same, how)
+
+
 def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], version: str | None = None) -> DataFrame:
     """``target`` with the rows of ``batch`` in place of those with equal keys.
 
@@ -21,17 +31,17 @@ def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], version: str
         raise ValueError("upsert needs primary-key columns")
     if version is not None:
         return dedup_latest(target.unionByName(batch, allowMissingColumns=True), pk, version)
-    keys = batch.select(*pk).distinct()
-    kept = target.join(keys, list(pk), "left_anti")
+    kept = matching(target, batch, pk, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
 def within_bounds(target: DataFrame, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """Target rows inside the least and greatest key of the batch, as literal
-    predicates that reach the Parquet statistics."""
+    """Target rows inside the least and greatest key of the batch, or without
+    a key, as literal predicates that reach the Parquet statistics."""
     bounds = batch.agg(*[f(c).alias(f"{n}_{c}") for c in pk for n, f in (("low", F.min), ("high", F.max))]).first()
     for column in pk:
-        target = target.filter(F.col(column).between(F.lit(bounds[f"low_{column}"]), F.lit(bounds[f"high_{column}"])))
+        inside = F.col(column).between(F.lit(bounds[f"low_{column}"]), F.lit(bounds[f"high_{column}"]))
+        target = target.filter(F.col(column).isNull() | inside)
     return target
 
 
@@ -43,8 +53,7 @@ def touched_partitions(target: DataFrame, batch: DataFrame, pk: Sequence[str], p
     only, and only files whose statistics overlap the key range of the batch;
     where ids grow with time that leaves the recent ones.
     """
-    keys = batch.select(*pk).distinct()
-    before = within_bounds(target, batch, pk).join(keys, list(pk), "left_semi")
+    before = matching(within_bounds(target, batch, pk), batch, pk, "left_semi")
     return tuple({row[0] for row in df.select(partition).distinct().collect()} for df in (before, batch))
 
 
@@ -55,8 +64,8 @@ def high_water_mark(target: DataFrame, column: str):
 
 def newer_than(source: DataFrame, column: str, mark, lookback_days: int = 0) -> DataFrame:
     """Rows after the mark.  A lookback loads the last days again, which a
-    later upsert makes harmless and without which late rows would be lost;
-    no mark means everything."""
+    later upsert makes harmless and without which late rows would be lost.
+    Rows without a date are taken every time; no mark means everything."""
     if mark is None:
         return source
-    return source.filter(F.col(column) > F.date_sub(F.lit(mark), lookback_days))
+    return source.filter(F.col(column).isNull() | (F.col(column) > F.date_sub(F.lit(mark), lookback_days)))

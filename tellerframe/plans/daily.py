@@ -111,7 +111,7 @@ def build_kpis(spark: SparkSession, layout: Layout, rules: Rules) -> None:
     first_month = recent.agg(F.min(tables.MONTH)).first()[0]
     tables.load_table(kpi.daily_kpi(recent, rules), daily_path, "upsert", ["summary_date"])
     if first_month is not None:
-        months = fact.filter(F.col(tables.MONTH) >= first_month)
+        months = fact.filter(F.col(tables.MONTH).isNull() | (F.col(tables.MONTH) >= first_month))
         segments = kpi.segment_kpi(months, customers, staged_accounts, rules)
         tables.load_table(segments, monthly_path, "upsert", ["summary_date", "customer_segment"])
 

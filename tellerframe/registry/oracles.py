@@ -795,7 +795,8 @@ add(
     "incremental_fact",
     f"""SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_old
           WHERE transaction_date <= DATE '2025-12-31' AND transaction_date <= (SELECT day FROM mark)
-        UNION ALL SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_transactions WHERE transaction_date > (SELECT day FROM mark)""",
+        UNION ALL SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_transactions
+          WHERE transaction_date IS NULL OR transaction_date > (SELECT day FROM mark)""",
     {
         "first_extract": "SELECT * FROM raw_transactions WHERE _extract_ts = '2026-08-02T00:00:00'",
         "stg_old": staged_transactions("first_extract"),

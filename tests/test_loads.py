@@ -34,6 +34,10 @@ class TestUpsert:
         out = upsert(frame(spark, ("a", 1, 1)), frame(spark, ("b", 1, 2, "x"), schema="id string, month int, v int, extra string"), ["id"])
         assert rows(out, "id", "extra") == [("a", None), ("b", "x")]
 
+    def test_null_keys_are_replaced_too(self, spark, rows):
+        out = upsert(frame(spark, (None, 1, 1), ("a", 1, 1)), frame(spark, (None, 1, 2)), ["id"])
+        assert rows(out, "id", "v") == [(None, 2), ("a", 1)]
+
     def test_needs_keys(self, spark, path):
         with pytest.raises(ValueError):
             upsert(frame(spark, ("a", 1, 1)), frame(spark, ("a", 1, 1)), [])
@@ -83,10 +87,10 @@ class TestLoads:
         assert rows(merged, "id", "extra") == [("a", None), ("b", 1)]
 
     def test_high_water_mark(self, spark):
-        df = frame(spark, (date(2024, 1, 1),), (date(2024, 1, 9),), (date(2024, 1, 10),), schema="day date")
-        assert newer_than(df, "day", None).count() == 3
-        assert newer_than(df, "day", date(2024, 1, 9)).count() == 1
-        assert newer_than(df, "day", date(2024, 1, 9), lookback_days=2).count() == 2
+        df = frame(spark, (date(2024, 1, 1),), (date(2024, 1, 9),), (date(2024, 1, 10),), (None,), schema="day date")
+        assert newer_than(df, "day", None).count() == 4
+        assert newer_than(df, "day", date(2024, 1, 9)).count() == 2
+        assert newer_than(df, "day", date(2024, 1, 9), lookback_days=2).count() == 3
 
 
 class TestSources:
