@@ -2,18 +2,18 @@
 
 The tables hold no nulls, orphans or repeated order ids, so defects come from
 fixed modulus rules; the whole table is used, every row yields a feed row.
-Each function returns the raw schema plus ``_ingest_order``.
+Each function returns the raw schema plus ``_ingest_order`` (loans, which have
+no number of their own, without it).
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerframe.functions.keys import business_id, zero_pad
-from tellerframe.functions.money import MONEY
+from tellerframe.functions.keys import business_id
 
 AS_OF = date(2026, 8, 2)
 FIRST_EXTRACT = "2026-08-02T00:00:00"
@@ -21,157 +21,154 @@ SECOND_EXTRACT = "2026-08-02T06:00:00"
 ORPHAN_ACCOUNT = "ACC_INVALID_9999"
 
 
-def _pick(index: Column, labels: list[str]) -> Column:
-    """labels[index]; an index past the end gives null."""
-    return F.get(F.array(*[F.lit(label) for label in labels]), index.cast("int"))
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _iso(day: Column) -> Column:
-    return day.cast("string")
+def _two_digits(number: str) -> str:
+    return f"lpad({number}, 2, '0')"
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, a second and later copy for every 401st order."""
-    key = F.col("o_orderkey")
-    copies = F.when(key % 401 == 13, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    orders = _table(spark, sf_dir, "orders").select("*", F.explode(copies).alias("copy"))
-    price = F.col("o_totalprice").cast(MONEY)
-    return orders.select(
-        business_id("TXN", key, 10).alias("transaction_id"),
-        F.when(key % 389 == 11, F.lit(ORPHAN_ACCOUNT))
-        .otherwise(business_id("ACC", F.col("o_custkey") * 2 + key % 2, 8))
-        .alias("account_id"),
-        _pick(key % 5, ["Debit", "Credit", "Transfer", "Bill Payment", "ATM Withdrawal"]).alias("transaction_type"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Online")
-        .when(F.col("o_orderpriority") == "2-HIGH", "Mobile")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "ATM")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Branch")
-        .otherwise("POS")
-        .alias("channel"),
-        F.when(key % 307 == 5, F.lit(None).cast(MONEY))
-        .when(key % 503 == 7, F.lit("-99999999").cast(MONEY))
-        .otherwise((price + F.col("copy")).cast(MONEY))
-        .alias("amount"),
-        F.when(F.floor(key / 7) % 8 == 0, "USD").otherwise("CAD").alias("currency"),
-        _pick(
-            key % 9,
-            ["Grocery", "Restaurant", "Gas", "Utilities", "Entertainment", "Travel", "Healthcare", "Retail"],
-        ).alias("merchant_category"),
-        _iso(F.add_months(F.to_date("o_orderdate"), 300)).alias("transaction_date"),
-        F.concat_ws(":", zero_pad(key % 24, 2), zero_pad(key % 60, 2), zero_pad(F.floor(key / 7) % 60, 2)).alias(
-            "transaction_time"
-        ),
-        F.when(key % 50 == 17, "Reversed")
-        .when(F.col("o_orderstatus") == "O", "Completed")
-        .when(F.col("o_orderstatus") == "P", "Pending")
-        .otherwise("Failed")
-        .alias("status"),
-        F.concat(F.lit("Order "), F.col("o_orderpriority")).alias("description"),
-        F.lit("TPS_PAYMENTS_v2").alias("_source_system"),
-        F.when(F.col("copy") == 1, SECOND_EXTRACT).otherwise(FIRST_EXTRACT).alias("_extract_ts"),
-        (key * 2 + F.col("copy")).alias("_ingest_order"),
+    copies = F.expr("explode(CASE WHEN o_orderkey % 401 = 13 THEN array(0, 1) ELSE array(0) END) AS copy")
+    clock = [_two_digits(n) for n in ("o_orderkey % 24", "o_orderkey % 60", "(o_orderkey div 7) % 60")]
+    account = business_id("ACC", F.expr("o_custkey * 2 + o_orderkey % 2"), 8)
+    return (
+        _table(spark, sf_dir, "orders")
+        .select("*", copies)
+        .select(
+            business_id("TXN", F.col("o_orderkey"), 10).alias("transaction_id"),
+            F.when(F.expr("o_orderkey % 389 = 11"), ORPHAN_ACCOUNT).otherwise(account).alias("account_id"),
+            *map(
+                F.expr,
+                [
+                    """get(array('Debit', 'Credit', 'Transfer', 'Bill Payment', 'ATM Withdrawal'), CAST(o_orderkey % 5 AS INT))
+                       AS transaction_type""",
+                    """CASE o_orderpriority WHEN '1-URGENT' THEN 'Online' WHEN '2-HIGH' THEN 'Mobile' WHEN '3-MEDIUM' THEN 'ATM'
+                       WHEN '4-NOT SPECIFIED' THEN 'Branch' ELSE 'POS' END AS channel""",
+                    """CASE WHEN o_orderkey % 307 = 5 THEN NULL WHEN o_orderkey % 503 = 7 THEN CAST(-99999999 AS DECIMAL(18,2))
+                       ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) + copy AS DECIMAL(18,2)) END AS amount""",
+                    "CASE WHEN (o_orderkey div 7) % 8 = 0 THEN 'USD' ELSE 'CAD' END AS currency",
+                    """get(array('Grocery', 'Restaurant', 'Gas', 'Utilities', 'Entertainment', 'Travel', 'Healthcare', 'Retail'),
+                       CAST(o_orderkey % 9 AS INT)) AS merchant_category""",
+                    "CAST(add_months(to_date(o_orderdate), 300) AS STRING) AS transaction_date",
+                    f"concat_ws(':', {', '.join(clock)}) AS transaction_time",
+                    """CASE WHEN o_orderkey % 50 = 17 THEN 'Reversed' WHEN o_orderstatus = 'O' THEN 'Completed'
+                       WHEN o_orderstatus = 'P' THEN 'Pending' ELSE 'Failed' END AS status""",
+                    "concat('Order ', o_orderpriority) AS description",
+                    "'TPS_PAYMENTS_v2' AS _source_system",
+                    f"CASE WHEN copy = 1 THEN '{SECOND_EXTRACT}' ELSE '{FIRST_EXTRACT}' END AS _extract_ts",
+                    "o_orderkey * 2 + copy AS _ingest_order",
+                ],
+            ),
+        )
     )
 
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two accounts per customer; every 97th customer's accounts are orphans."""
-    customers = _table(spark, sf_dir, "customer").select(
-        "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("second")
+    customer = F.when(F.expr("c_custkey % 97 = 3"), business_id("CUSTX", F.col("c_custkey"), 7)).otherwise(
+        business_id("CUST", F.col("c_custkey"), 7)
     )
-    number = F.col("c_custkey") * 2 + F.col("second")
-    balance = (F.col("c_acctbal").cast(MONEY) * F.when(F.col("second") == 1, 12).otherwise(1)).cast(MONEY)
-    return customers.select(
-        business_id("ACC", number, 8).alias("account_id"),
-        F.when(F.col("c_custkey") % 97 == 3, business_id("CUSTX", F.col("c_custkey"), 7))
-        .otherwise(business_id("CUST", F.col("c_custkey"), 7))
-        .alias("customer_id"),
-        _pick(number % 5, ["Chequing", "Savings", "TFSA", "RRSP", "GIC"]).alias("account_type"),
-        F.when(number % 20 == 0, "Dormant")
-        .when(number % 20 == 1, "Closed")
-        .when(number % 20 == 2, "Frozen")
-        .otherwise("Active")
-        .alias("account_status"),
-        F.when(number % 8 == 0, "USD").otherwise("CAD").alias("currency"),
-        balance.alias("current_balance"),
-        F.when(number % 13 != 4, F.round(balance * F.lit("0.95").cast("decimal(3,2)"), 2).cast(MONEY)).alias(
-            "available_balance"
-        ),
-        F.when(number % 211 == 9, F.lit("30").cast("decimal(6,4)"))
-        .otherwise(((number % 550) * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(6,4)"))
-        .alias("interest_rate"),
-        _iso(F.date_add(F.lit(date(2008, 1, 1)), ((number * 311) % 5000).cast("int"))).alias("open_date"),
-        F.when(number % 113 != 5, _iso(F.date_sub(F.lit(AS_OF), ((number * 7) % 1500).cast("int")))).alias(
-            "last_activity_date"
-        ),
-        business_id("BR", number % 499 + 1, 4).alias("branch_id"),
-        F.lit("CORE_BANKING_v4").alias("_source_system"),
-        F.lit(FIRST_EXTRACT).alias("_extract_ts"),
-        number.alias("_ingest_order"),
+    return (
+        _table(spark, sf_dir, "customer")
+        .selectExpr("c_custkey", "c_acctbal", "explode(array(0, 1)) AS second")
+        .selectExpr(
+            "c_custkey",
+            "c_custkey * 2 + second AS number",
+            "CAST(CAST(c_acctbal AS DECIMAL(18,2)) * IF(second = 1, 12, 1) AS DECIMAL(18,2)) AS balance",
+        )
+        .select(
+            business_id("ACC", F.col("number"), 8).alias("account_id"),
+            customer.alias("customer_id"),
+            *map(
+                F.expr,
+                [
+                    "get(array('Chequing', 'Savings', 'TFSA', 'RRSP', 'GIC'), CAST(number % 5 AS INT)) AS account_type",
+                    """CASE number % 20 WHEN 0 THEN 'Dormant' WHEN 1 THEN 'Closed' WHEN 2 THEN 'Frozen' ELSE 'Active' END
+                       AS account_status""",
+                    "CASE WHEN number % 8 = 0 THEN 'USD' ELSE 'CAD' END AS currency",
+                    "balance AS current_balance",
+                    "CASE WHEN number % 13 <> 4 THEN CAST(round(balance * 0.95, 2) AS DECIMAL(18,2)) END AS available_balance",
+                    "CAST(CASE WHEN number % 211 = 9 THEN 30 ELSE (number % 550) * 0.01 END AS DECIMAL(6,4)) AS interest_rate",
+                    "CAST(date_add(DATE'2008-01-01', CAST((number * 311) % 5000 AS INT)) AS STRING) AS open_date",
+                    f"""CASE WHEN number % 113 <> 5 THEN CAST(date_sub(DATE'{AS_OF}', CAST((number * 7) % 1500 AS INT)) AS STRING) END
+                       AS last_activity_date""",
+                ],
+            ),
+            business_id("BR", F.expr("number % 499 + 1"), 4).alias("branch_id"),
+            F.lit("CORE_BANKING_v4").alias("_source_system"),
+            F.lit(FIRST_EXTRACT).alias("_extract_ts"),
+            F.col("number").alias("_ingest_order"),
+        )
     )
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer, province taken from the nation table."""
+    nations = _table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
     key = F.col("c_custkey")
-    nations = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    customers = _table(spark, sf_dir, "customer").join(nations, "c_nationkey", "left")
-    return customers.select(
-        business_id("CUST", key, 7).alias("customer_id"),
-        F.when(key % 41 != 6, F.concat(F.lit("First"), (key % 1000).cast("string"))).alias("first_name"),
-        F.col("c_name").alias("last_name"),
-        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("+1-555-"), zero_pad(key, 7)).alias("phone"),
-        F.when(key % 173 == 8, "unknown")
-        .otherwise(_iso(F.date_add(F.lit(date(1936, 1, 1)), ((key * 7919) % 26000).cast("int"))))
-        .alias("date_of_birth"),
-        F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("province"),
-        F.concat(F.lit("P"), zero_pad(key % 10000, 5)).alias("postal_code"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "Small Business")
-        .when(F.col("c_mktsegment") == "FURNITURE", "Affluent")
-        .when(F.col("c_mktsegment") == "MACHINERY", "Private Banking")
-        .otherwise("Mass Market")
-        .alias("customer_segment"),
-        F.when(key % 20 == 3, F.lit(None).cast("string"))
-        .when(key % 20 == 7, "Expired")
-        .when((key % 20).isin(5, 6), "Pending")
-        .otherwise("Verified")
-        .alias("kyc_status"),
-        _iso(F.date_add(F.lit(date(2000, 1, 1)), ((key * 613) % 9000).cast("int"))).alias("join_date"),
-        (key % 12 != 5).alias("is_active"),
-        F.lit("CORE_BANKING_v4").alias("_source_system"),
-        F.lit(FIRST_EXTRACT).alias("_extract_ts"),
-        key.alias("_ingest_order"),
+    return (
+        _table(spark, sf_dir, "customer")
+        .join(nations, "c_nationkey", "left")
+        .select(
+            business_id("CUST", key, 7).alias("customer_id"),
+            F.expr("CASE WHEN c_custkey % 41 <> 6 THEN concat('First', c_custkey % 1000) END AS first_name"),
+            F.col("c_name").alias("last_name"),
+            F.expr("concat('user', c_custkey, '@example.com') AS email"),
+            business_id("+1-555-", key, 7).alias("phone"),
+            F.expr(
+                """CASE WHEN c_custkey % 173 = 8 THEN 'unknown'
+                   ELSE CAST(date_add(DATE'1936-01-01', CAST((c_custkey * 7919) % 26000 AS INT)) AS STRING) END AS date_of_birth"""
+            ),
+            F.expr("concat('  ', lower(n_name), ' ') AS province"),
+            business_id("P", F.expr("c_custkey % 10000"), 5).alias("postal_code"),
+            *map(
+                F.expr,
+                [
+                    """CASE c_mktsegment WHEN 'BUILDING' THEN 'Small Business' WHEN 'FURNITURE' THEN 'Affluent'
+                       WHEN 'MACHINERY' THEN 'Private Banking' ELSE 'Mass Market' END AS customer_segment""",
+                    """CASE WHEN c_custkey % 20 = 3 THEN NULL WHEN c_custkey % 20 = 7 THEN 'Expired'
+                       WHEN c_custkey % 20 IN (5, 6) THEN 'Pending' ELSE 'Verified' END AS kyc_status""",
+                    "CAST(date_add(DATE'2000-01-01', CAST((c_custkey * 613) % 9000 AS INT)) AS STRING) AS join_date",
+                    "c_custkey % 12 <> 5 AS is_active",
+                    "'CORE_BANKING_v4' AS _source_system",
+                    f"'{FIRST_EXTRACT}' AS _extract_ts",
+                    "c_custkey AS _ingest_order",
+                ],
+            ),
+        )
     )
 
 
 def raw_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line; line numbers repeat, so loan ids do too."""
-    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
-    price = F.col("l_extendedprice").cast(MONEY)
-    originated = F.add_months(F.to_date("l_shipdate"), 240)
-    return _table(spark, sf_dir, "lineitem").select(
-        business_id("LN", F.col("l_orderkey") * 10 + F.col("l_linenumber"), 8).alias("loan_id"),
-        business_id("CUST", part, 7).alias("customer_id"),
-        _pick(part % 4, ["Personal", "Mortgage", "Auto", "Line of Credit"]).alias("loan_type"),
-        F.when(part % 101 == 9, F.lit("0").cast(MONEY)).otherwise(price).alias("original_amount"),
-        F.round(price * (100 - F.col("l_quantity").cast("int")) / 100, 2).cast(MONEY).alias("outstanding_balance"),
-        (F.lit("2.5").cast("decimal(6,4)") + (part % 1749) * F.lit("0.01").cast("decimal(3,2)"))
-        .cast("decimal(6,4)")
-        .alias("interest_rate"),
-        (F.col("l_linenumber") * 12).cast("int").alias("term_months"),
-        _iso(originated).alias("origination_date"),
-        _iso(F.date_add(originated, (part % 9000 + 365).cast("int"))).alias("maturity_date"),
-        (300 + (part * 7) % 600).cast("int").alias("credit_score"),
-        _pick(supplier % 7, ["AAA", "AA", "A", "BBB", "BB", "B", "CCC"]).alias("risk_rating"),
-        F.when(supplier % 4 == 0, (part % 240).cast("int")).otherwise(0).alias("days_past_due"),
-        _pick(part % 5, ["Current", "Delinquent", "Default", "Paid Off", "Current"]).alias("loan_status"),
-        _pick(supplier % 4, ["Property", "Vehicle", "None", "Other"]).alias("collateral_type"),
-        F.lit("CREDIT_RISK_SYSTEM_v3").alias("_source_system"),
-        F.lit(FIRST_EXTRACT).alias("_extract_ts"),
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "*", "CAST(l_extendedprice AS DECIMAL(18,2)) AS price", "add_months(to_date(l_shipdate), 240) AS originated"
+    )
+    return lines.select(
+        business_id("LN", F.expr("l_orderkey * 10 + l_linenumber"), 8).alias("loan_id"),
+        business_id("CUST", F.col("l_partkey"), 7).alias("customer_id"),
+        *map(
+            F.expr,
+            [
+                "get(array('Personal', 'Mortgage', 'Auto', 'Line of Credit'), CAST(l_partkey % 4 AS INT)) AS loan_type",
+                "CASE WHEN l_partkey % 101 = 9 THEN CAST(0 AS DECIMAL(18,2)) ELSE price END AS original_amount",
+                "CAST(round(price * (100 - CAST(l_quantity AS INT)) * 0.01, 2) AS DECIMAL(18,2)) AS outstanding_balance",
+                "CAST(2.5 + (l_partkey % 1749) * 0.01 AS DECIMAL(6,4)) AS interest_rate",
+                "CAST(l_linenumber * 12 AS INT) AS term_months",
+                "CAST(originated AS STRING) AS origination_date",
+                "CAST(date_add(originated, CAST(l_partkey % 9000 + 365 AS INT)) AS STRING) AS maturity_date",
+                "CAST(300 + (l_partkey * 7) % 600 AS INT) AS credit_score",
+                "get(array('AAA', 'AA', 'A', 'BBB', 'BB', 'B', 'CCC'), CAST(l_suppkey % 7 AS INT)) AS risk_rating",
+                "CASE WHEN l_suppkey % 4 = 0 THEN CAST(l_partkey % 240 AS INT) ELSE 0 END AS days_past_due",
+                "get(array('Current', 'Delinquent', 'Default', 'Paid Off', 'Current'), CAST(l_partkey % 5 AS INT)) AS loan_status",
+                "get(array('Property', 'Vehicle', 'None', 'Other'), CAST(l_suppkey % 4 AS INT)) AS collateral_type",
+                "'CREDIT_RISK_SYSTEM_v3' AS _source_system",
+                f"'{FIRST_EXTRACT}' AS _extract_ts",
+            ],
+        ),
     )
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tellerframe.schemas import LINEAGE_EDGE, MERCHANT_CATEGORIES
 from tellerframe.sources.raw import read_raw_csv
@@ -69,10 +70,10 @@ LINEAGE_SEED = [
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A table of literals.  Unlike a frame made from Python rows its size is
-    known to Catalyst, which then broadcasts it without a hint."""
-    records = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*records)))
+    """A small table of literals.  Handed over as Arrow it becomes a local
+    relation, whose size Catalyst knows and which it broadcasts without a hint."""
+    columns = dict(zip(schema.names, map(list, zip(*rows))))
+    return spark.createDataFrame(pa.table(columns, schema=to_arrow_schema(schema)), schema)
 
 
 def merchant_categories(spark: SparkSession, path: str | None = None) -> DataFrame:
