@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -292,30 +292,47 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return result
 
 
-def invalid_samples(df: DataFrame, check: Check, limit: int = SAMPLES) -> DataFrame:
-    """The first few distinct values that break an ``allowed`` or ``reference``
-    rule, in value order so that the list repeats."""
-    if check.kind == "reference":
-        bad = orphan_keys(df, check.column, check.reference, check.reference_column).select(check.column)
-    else:
-        bad = df.filter(violation(check)).select(check.column).distinct()
-    return bad.select(F.col(check.column).cast("string").alias("value")).orderBy("value").limit(limit)
+def _offenders(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame | None:
+    """Distinct (check_index, _label, _value) of values outside a value set, all
+    sets in one pass, and of orphan keys."""
+    parts = []
+    sets = [(i, c) for i, c in numbered if c.kind == "allowed"]
+    if sets:
+        broken = [
+            F.when(
+                violation(c),
+                F.struct(
+                    F.lit(i).alias("check_index"),
+                    F.lit("Invalid values").alias("_label"),
+                    F.col(c.column).cast("string").alias("_value"),
+                ),
+            )
+            for i, c in sets
+        ]
+        parts.append(df.select(F.inline(F.array_compact(F.array(*broken)))).distinct())
+    for i, c in numbered:
+        if c.kind == "reference":
+            orphans = orphan_keys(df, c.column, c.reference, c.reference_column)
+            value = F.col(c.column).cast("string").alias("_value")
+            parts.append(orphans.select(F.lit(i).alias("check_index"), F.lit("Orphan keys").alias("_label"), value))
+    union = parts[0] if parts else None
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union
 
 
 def with_samples(results: DataFrame, df: DataFrame, checks: Sequence[Check], limit: int = SAMPLES) -> DataFrame:
     """Results whose failed value-set and reference checks name a few offenders."""
-    listed = None
-    for index, check in enumerate(applicable(df, checks)):
-        if check.kind not in ("allowed", "reference"):
-            continue
-        label = "Invalid values" if check.kind == "allowed" else "Orphan keys"
-        # at most ``limit`` values reach the list
-        row = invalid_samples(df, check, limit).agg(F.sort_array(F.collect_list("value")).alias("_values")).select(
-            F.lit(index).alias("check_index"),
-            F.concat(F.lit(f"{label}: "), F.array_join("_values", ", ")).alias("_listed"),
-        )
-        listed = row if listed is None else listed.unionByName(row)
-    if listed is None:
+    offenders = _offenders(df, list(enumerate(applicable(df, checks))))
+    if offenders is None:
         return results
+    rank = F.row_number().over(Window.partitionBy("check_index", "_label").orderBy("_value"))
+    listed = (
+        offenders.withColumn("_rank", rank)
+        .filter(F.col("_rank") <= limit)
+        .groupBy("check_index", "_label")
+        .agg(F.sort_array(F.collect_list("_value")).alias("_values"))
+        .select("check_index", F.concat("_label", F.lit(": "), F.array_join("_values", ", ")).alias("_listed"))
+    )
     named = F.when(F.col("passed") | F.col("_listed").isNull(), F.col("details")).otherwise(F.col("_listed"))
     return results.join(listed, "check_index", "left").withColumn("details", named).select(*results.columns)

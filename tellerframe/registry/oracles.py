@@ -640,19 +640,13 @@ def profiled(c: str) -> str:
     return f"""SELECT '{c}' AS column_name, '{"decimal(18,2)" if numeric else "string"}' AS dtype, COUNT(*) AS total_count,
         COUNT(*) - COUNT({c}) AS null_count, {pct(f'COUNT(*) - COUNT({c})', 'COUNT(*)')} AS null_pct,
         COUNT(DISTINCT {c}) AS unique_count, {pct(f'COUNT(DISTINCT {c})', 'COUNT(*)')} AS unique_pct,
-        {', '.join(f"{sql if numeric else 'CAST(NULL AS DOUBLE)'} AS {name}" for name, sql in stats.items())}
+        {', '.join(f"{sql if numeric else 'CAST(NULL AS DOUBLE)'} AS {name}" for name, sql in stats.items())},
+        coalesce((SELECT string_agg(v, ';' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM raw_transactions
+          WHERE {c} IS NOT NULL ORDER BY v LIMIT 5)), '') AS sample_values
         FROM raw_transactions"""
 
 
 add("dq_profile", " UNION ALL ".join(profiled(c) for c in PROFILED))
-add(
-    "dq_samples",
-    " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, string_agg(v, ';' ORDER BY v) AS sample_values
-            FROM (SELECT DISTINCT {c} AS v FROM raw_transactions WHERE {c} IS NOT NULL ORDER BY v LIMIT 5)"""
-        for c in ("status", "channel", "currency", "merchant_category")
-    ),
-)
 add("dq_quarantine", "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM flagged WHERE reasons <> ''")
 add("dq_clean", "SELECT * EXCLUDE (reasons) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM flagged WHERE reasons = ''")
 add(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tellerframe.operators import checks as c
 from tellerframe.operators import score
-from tellerframe.operators.profile import all_samples, null_shares, profile
+from tellerframe.operators.profile import null_shares, profile
 from tellerframe.operators.quarantine import flag_rows, quarantine
 from tellerframe.plans import suites
 
@@ -224,7 +224,7 @@ class TestProfile:
         a, b = figures["a"], figures["b"]
         assert (a.min_value, a.max_value, a.mean_value, a.std_value) == (100.0, 300.0, 200.0, 100.0)
         assert (b.null_count, float(b.null_pct), b.unique_count, b.min_value) == (1, 33.33, 2, None)
-        assert {r.column_name: r.sample_values for r in all_samples(df).collect()}["b"] == ["x", "y"]
+        assert b.sample_values == ["x", "y"] and len(a.sample_values) == 3
 
     def test_approximate_distinct_is_close(self, spark):
         df = spark.range(10_000).select((F.col("id") % 500).alias("v"))
