@@ -103,7 +103,8 @@ def load_table(df: DataFrame, path: str, mode: str = "append", pk: Sequence[str]
         if path_exists(df.sparkSession, path):
             return _write_counted(df, path, "append", partition)
         return replace_table(df, path, partition)
-    target = read_optional(df.sparkSession, path)
+    # columns added by an earlier load may be missing from the oldest files
+    target = read_optional(df.sparkSession, path, merge_schema=True)
     if target is None:
         return replace_table(df, path, partition)
     # the batch is written once; everything below reads that copy

@@ -30,9 +30,9 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
+def read_optional(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
     """The Parquet table at ``path``, or None where there is none."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return read_parquet(spark, path, merge_schema) if path_exists(spark, path) else None
 
 
 def register_raw(feeds: dict[str, DataFrame]) -> None:

@@ -30,7 +30,7 @@ def merge_batch(batch: DataFrame, path: str, rules: Rules) -> None:
     """
     staged = with_month(stage_transactions(batch, rules, keep_version=True), "transaction_date")
     staged = materialize(staged, "stream-batch")
-    target = read_optional(batch.sparkSession, path)
+    target = read_optional(batch.sparkSession, path, merge_schema=True)
     if target is None:
         overwrite_partitions(staged, path, MONTH)
     else:

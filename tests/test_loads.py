@@ -68,6 +68,15 @@ class TestLoads:
         load(("b", 3, 2), ("n", 1, 2), ("d", 4, 1))
         assert rows(spark.read.parquet(path), "id", "month", "v") == expected
 
+    def test_added_columns_survive_later_loads(self, spark, path, rows):
+        wide = "id string, month int, v int, extra string"
+        load = lambda df: tables.load_table(df, path, "upsert", ["id"], "month")
+        load(frame(spark, ("a", 1, 1), ("b", 2, 1), ("c", 3, 1)))
+        load(frame(spark, ("d", 3, 1, "x"), schema=wide))
+        load(frame(spark, ("c", 3, 2)))
+        stored = raw.read_parquet(spark, path, merge_schema=True)
+        assert rows(stored, "id", "v", "extra") == [("a", 1, None), ("b", 1, None), ("c", 2, None), ("d", 1, "x")]
+
     def test_untouched_partitions_are_not_rewritten(self, spark, path):
         tables.load_table(frame(spark, ("a", 1, 1), ("b", 2, 1)), path, "upsert", ["id"], "month")
         before = {r[0] for r in spark.read.parquet(path).filter("month = 1").select(F.input_file_name()).collect()}
