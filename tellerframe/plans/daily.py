@@ -90,7 +90,9 @@ def build_marts(spark: SparkSession, layout: Layout, rules: Rules) -> None:
     fact_path = layout.table("marts", "fact_transactions")
     recent = _since_mark(_stored(spark, layout, "staging", "stg_transactions"), read_optional(spark, fact_path), "transaction_date", rules)
     fact = marts.fact_transactions(recent, accounts, dates, merchants, rules)
-    tables.load_table(tables.with_month(fact, "transaction_date"), fact_path, "upsert", ["transaction_id"], tables.MONTH)
+    tables.load_table(
+        tables.with_month(fact, "transaction_date"), fact_path, "upsert", ["transaction_id"], tables.MONTH, marts.FACT_CLUSTER
+    )
 
 
 def _since_mark(source: DataFrame, target: DataFrame | None, mark_column: str, rules: Rules) -> DataFrame:

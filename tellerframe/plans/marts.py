@@ -15,6 +15,7 @@ from tellerframe.operators.history import merge_history, start_history
 FIRST_DAY = date(2020, 1, 1)
 LAST_DAY = date(2030, 12, 30)
 
+FACT_CLUSTER = ("account_sk", "customer_sk")
 CUSTOMER_TRACKED = ("customer_segment", "kyc_status", "province", "age_band", "is_active")
 ACCOUNT_TRACKED = (
     "account_type", "account_status", "currency", "balance_tier", "branch_id", "is_dormant", "is_overdraft", "open_date",

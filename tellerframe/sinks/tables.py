@@ -32,20 +32,26 @@ def with_month(df: DataFrame, day: str) -> DataFrame:
 
 
 def write_by_month(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> None:
-    """Month partitions, rows clustered inside each file.
+    """Month partitions, rows clustered inside each file; only the months in
+    ``df`` are replaced."""
+    overwrite_partitions(with_month(df, day), path, MONTH, cluster)
 
-    The rebalance hint lets adaptive execution split a big month over many
-    tasks and merge small ones, so files come out near the advisory size;
-    sorted clusters make the row-group statistics selective.  Only the months
-    in ``df`` are replaced.
+
+def _spread(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
+    """Rows arranged for a partitioned write.
+
+    The rebalance hint lets adaptive execution split a big partition over many
+    tasks and merge small ones, so files come out near the advisory size
+    instead of one per task and partition; sorted clusters make the row-group
+    statistics selective.
     """
-    spread = with_month(df, day).hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *cluster)
-    overwrite_partitions(spread, path, MONTH)
+    return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *cluster)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition: str, cluster: Sequence[str] = ()) -> None:
     """Replace the partitions ``df`` has rows for, leave the others."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    spread = _spread(df, partition, cluster)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -66,7 +72,7 @@ STANDARD_LOADS = (
 )
 
 
-def replace_table(df: DataFrame, path: str, partition: str | None = None) -> int:
+def replace_table(df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()) -> int:
     """Put ``df`` in place of the table at ``path``; returns its rows.
 
     The new table is written beside the old one and swapped in by a rename, so
@@ -75,7 +81,7 @@ def replace_table(df: DataFrame, path: str, partition: str | None = None) -> int
     """
     spark = df.sparkSession
     beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    rows = _write_counted(df, beside, "errorifexists", partition)
+    rows = _write_counted(df, beside, "errorifexists", partition, cluster)
     if rows:
         rename_path(spark, beside, path)
     else:
@@ -83,42 +89,59 @@ def replace_table(df: DataFrame, path: str, partition: str | None = None) -> int
     return rows
 
 
-def _write_counted(df: DataFrame, path: str, mode: str, partition: str | None) -> int:
+def _write_counted(df: DataFrame, path: str, mode: str, partition: str | None, cluster: Sequence[str]) -> int:
     observed = Observation()
-    writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+    if partition:
+        _spread(counted, partition, cluster).write.mode(mode).partitionBy(partition).parquet(path)
+    else:
+        counted.write.mode(mode).parquet(path)
     return observed.get["rows"]
 
 
-def load_table(df: DataFrame, path: str, mode: str = "append", pk: Sequence[str] = (), partition: str | None = None) -> int:
-    """Write ``df`` to the table at ``path``; returns the rows given.  An empty
-    frame changes nothing."""
+def load_table(
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    pk: Sequence[str] = (),
+    partition: str | None = None,
+    cluster: Sequence[str] = (),
+) -> int:
+    """Write ``df`` to the table at ``path``, by ``partition`` and sorted by
+    ``cluster`` if given; returns the rows given.  An empty frame changes
+    nothing."""
     if mode not in ("replace", "append", "upsert"):
         raise ValueError(f"unknown load mode {mode!r}")
     if mode == "upsert" and not pk:
         raise ValueError("upsert needs primary-key columns")
     if mode == "replace":
-        return replace_table(df, path, partition)
+        return replace_table(df, path, partition, cluster)
     if mode == "append":
         if path_exists(df.sparkSession, path):
-            return _write_counted(df, path, "append", partition)
-        return replace_table(df, path, partition)
+            return _write_counted(df, path, "append", partition, cluster)
+        return replace_table(df, path, partition, cluster)
     # columns added by an earlier load may be missing from the oldest files
     target = read_optional(df.sparkSession, path, merge_schema=True)
     if target is None:
-        return replace_table(df, path, partition)
+        return replace_table(df, path, partition, cluster)
     # the batch is written once; everything below reads that copy
     batch = materialize(df, "batch")
     rows = batch.count()
     if rows and partition:
-        merge_partitions(target, batch, path, pk, partition)
+        merge_partitions(target, batch, path, pk, partition, cluster=cluster)
     elif rows:
         replace_table(upsert(target, batch, pk), path)
     return rows
 
 
 def merge_partitions(
-    target: DataFrame, batch: DataFrame, path: str, pk: Sequence[str], partition: str, version: str | None = None
+    target: DataFrame,
+    batch: DataFrame,
+    path: str,
+    pk: Sequence[str],
+    partition: str,
+    version: str | None = None,
+    cluster: Sequence[str] = (),
 ) -> None:
     """Upsert that rewrites only the partitions the batch touches.
 
@@ -132,7 +155,7 @@ def merge_partitions(
     if left:
         # rows moved away from here; a partition they leave empty gets no new files
         left -= {row[0] for row in merged.filter(_among(partition, left)).select(partition).distinct().collect()}
-    overwrite_partitions(merged, path, partition)
+    overwrite_partitions(merged, path, partition, cluster)
     for value in left:
         delete_path(batch.sparkSession, f"{path}/{partition}={_HIVE_NULL if value is None else value}")
 
