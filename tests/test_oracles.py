@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from tellerframe.registry.oracles import ORACLES
+from tellerframe.registry.queries import QUERIES
 from tests.check_oracles import connect, differences
 from tests.skewed_tables import write_skewed
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def skewed(tmp_path_factory):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
