@@ -35,8 +35,8 @@ _ANSWER_KINDS = [pa.int32(), pa.int32(), pa.binary()]
 @dataclass(frozen=True)
 class Blocks:
     frame: DataFrame  # block, doc_id, text
-    n_blocks: int
     n_ranges: int
+    coarse_bits: int  # of a hash, for questions where a rare false "yes" costs only time
 
 
 def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
@@ -52,7 +52,12 @@ def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    return Blocks(frame, n, n)
+    return Blocks(frame, n, min(64, max(1, total).bit_length() + 12))
+
+
+def coarse(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The highest bits of each hash: fewer bytes to send, and a few texts in a million share one by chance."""
+    return keys & np.uint64((1 << 64) - (1 << (64 - bits)))
 
 
 def pack(keys: np.ndarray) -> bytes:
@@ -100,11 +105,16 @@ def asked(rows: list[tuple]) -> pa.Table:
     return table(rows, ["range", "block", "keys", "extra"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
 
 
+def _ordered(documents: pa.Table) -> pa.Table:
+    """The rows of a block in an order that holds in every step: shuffles deliver them in any."""
+    return documents.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def ask(blocks: Blocks, question: Callable[[int, pa.Table], list[tuple]]) -> DataFrame:
     """``question(block, documents)`` gives rows of ASKED."""
 
     def of(group: pa.Table) -> pa.Table:
-        return asked(question(group.column("block")[0].as_py(), group))
+        return asked(question(group.column("block")[0].as_py(), _ordered(group)))
 
     return blocks.frame.groupBy("block").applyInArrow(of, ASKED)
 
@@ -156,6 +166,6 @@ def tell(blocks: Blocks, replies: DataFrame, use: Callable[[int, pa.Table, pa.Ta
     def of(documents: pa.Table, own: pa.Table) -> pa.Table:
         if not documents.num_rows:
             raise ValueError("an answer to a block without documents")
-        return use(documents.column("block")[0].as_py(), documents, own)
+        return use(documents.column("block")[0].as_py(), _ordered(documents), own)
 
     return blocks.frame.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(of, schema)

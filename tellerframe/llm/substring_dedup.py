@@ -3,7 +3,9 @@
 Level 1 asks which windows of ``words / 2**doublings`` words occur more than once.  Only where both
 halves of a window of twice that length are repeated is that window a candidate of the next level, and so
 on up to ``words``; nothing is asked any more once no candidates survive.  At the last level each candidate
-window learns whether its word sequence also starts earlier, and the words of those that do are removed.
+window learns by its full hash whether its word sequence also starts earlier, and the words of those that
+do are removed.  The levels before ask about shortened hashes: a chance hit there only makes one more
+candidate.
 
 * Order: smaller doc_id first, then the earlier start in the same row.  Rows that share a doc_id are
   documents of their own of which none is earlier, so neither loses words to the other.
@@ -36,21 +38,22 @@ def repeated_words(docs: DataFrame, words: int = 20, doublings: int = 1) -> Data
     if doublings < 1 or words % (1 << doublings):
         raise ValueError("words must be a multiple of 2 ** doublings, and doublings 1 or more")
     dealt = B.deal(docs)
-    n_ranges, shortest = dealt.n_ranges, words >> doublings
+    n_ranges, bits, shortest = dealt.n_ranges, dealt.coarse_bits, words >> doublings
 
     def first(block: int, own: pa.Table) -> list[tuple]:
         found = read_words(own.column("text"))
-        return B.questions(block, np.unique(window_hashes(found, shortest, windows(found, shortest))), n_ranges)
+        keys = B.coarse(window_hashes(found, shortest, windows(found, shortest)), bits)
+        return B.questions(block, np.unique(keys), n_ranges)
 
     def level(length: int):
         """From what is known of windows of half the length to questions about ``length``."""
 
         def doubled(block: int, own: pa.Table, replies: pa.Table) -> pa.Table:
             found = read_words(own.column("text"))
-            candidates = _doubled(found, replies, length // 2)
+            candidates = _doubled(found, replies, length // 2, bits)
             keys = window_hashes(found, length, candidates)
             if length < words:
-                rows = B.questions(block, np.unique(keys), n_ranges)
+                rows = B.questions(block, np.unique(B.coarse(keys, bits)), n_ranges)
             else:
                 unique, at = np.unique(keys, return_inverse=True)
                 rows = B.questions(block, unique, n_ranges, _least(at, _ids(own)[found.row[candidates]], len(unique)))
@@ -68,11 +71,11 @@ def repeated_words(docs: DataFrame, words: int = 20, doublings: int = 1) -> Data
     return B.tell(dealt, told, removal, REMOVED)
 
 
-def _doubled(found, replies: pa.Table, half: int) -> np.ndarray:
+def _doubled(found, replies: pa.Table, half: int, bits: int) -> np.ndarray:
     """Starts of windows of twice the length whose halves are both repeated."""
     at = B.carried(replies)
     at = windows(found, half) if at is None else at
-    _, key, counts = np.unique(window_hashes(found, half, at), return_inverse=True, return_counts=True)
+    _, key, counts = np.unique(B.coarse(window_hashes(found, half, at), bits), return_inverse=True, return_counts=True)
     repeated = np.zeros(len(found.hash) + half, bool)
     repeated[at[(counts[key] > 1) | (B.answers(replies)[key] > 0)]] = True
     return np.flatnonzero(repeated[:-half] & repeated[half:] & (found.left() >= 2 * half))
