@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard_join import linked
 from .substring_dedup import repeated_words
 
 
@@ -17,8 +18,13 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_words(_documents(spark, folder), words=20, doublings=1).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return linked(_documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": substring_dedup,
+    "op10_jaccard_join": jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}
