@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .jaccard_join import linked
+from .lm_scoring import stupid_backoff
 from .substring_dedup import repeated_words
 
 
@@ -22,9 +24,41 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return linked(_documents(spark, folder))
 
 
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scores = stupid_backoff(_documents(spark, folder), order=3, backoff=0.4, min_count=2)
+    return scores.select("doc_id", "n_words", *(F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": substring_dedup,
+    "op8_lm_scoring": lm_scoring,
     "op10_jaccard_join": jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+LM_SCORING = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), g AS (
+  SELECT r, i, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS b,
+         CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS c,
+         w[i - 1] AS before_1, CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] END AS before_2 FROM p
+), c1 AS (SELECT a, count(*) AS n FROM g GROUP BY a
+), c2 AS (SELECT b, count(*) AS n FROM g WHERE b IS NOT NULL GROUP BY b
+), c3 AS (SELECT c, count(*) AS n FROM g WHERE c IS NOT NULL GROUP BY c
+), s AS (
+  SELECT g.r,
+    CASE WHEN c3.n >= 2 THEN ln(c3.n) - ln(x2.n)
+         WHEN c2.n >= 2 THEN CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END + ln(c2.n) - ln(x1.n)
+         ELSE ln(0.4) * least(i - 1, 2) + ln(c1.n) - ln((SELECT count(*) FROM g)) END AS v
+  FROM g JOIN c1 ON c1.a = g.a LEFT JOIN c2 ON c2.b = g.b LEFT JOIN c3 ON c3.c = g.c
+    LEFT JOIN c1 x1 ON x1.a = g.before_1 LEFT JOIN c2 x2 ON x2.b = g.before_2
+), t AS (SELECT r, sum(v) AS v FROM s GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(v, 0), 6) AS log_score, round(v / len(w), 6) AS mean_log_score
+FROM d LEFT JOIN t USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_lm_scoring": LM_SCORING,
+}
