@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from .jaccard_join import linked
 from .lm_scoring import stupid_backoff
 from .substring_dedup import repeated_words
+from .suffix_dedup import repeated_passages
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(_documents(spark, folder), min_words=50)
+
+
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_words(_documents(spark, folder), words=20, doublings=1).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -30,6 +35,7 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": suffix_dedup,
     "op4_substring_dedup": substring_dedup,
     "op8_lm_scoring": lm_scoring,
     "op10_jaccard_join": jaccard_join,
