@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .jaccard_join import linked
 from .lm_scoring import stupid_backoff
+from .quality_rules import judged
 from .substring_dedup import repeated_words
 from .suffix_dedup import repeated_passages
 
@@ -34,8 +35,17 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", "n_words", *(F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")))
 
 
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judged(_documents(spark, folder), _labels(spark, folder).where("quality = 1"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
+    "op2_quality_rules": quality_rules,
     "op4_substring_dedup": substring_dedup,
     "op8_lm_scoring": lm_scoring,
     "op10_jaccard_join": jaccard_join,
