@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .jaccard_join import linked
 from .lm_scoring import stupid_backoff
+from .quality_classifier import predicted_quality
 from .quality_rules import judged
 from .substring_dedup import repeated_words
 from .suffix_dedup import repeated_passages
@@ -43,9 +44,14 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged(_documents(spark, folder), _labels(spark, folder).where("quality = 1"))
 
 
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return predicted_quality(_documents(spark, folder), _labels(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_quality_rules": quality_rules,
+    "op3_quality_classifier": quality_classifier,
     "op4_substring_dedup": substring_dedup,
     "op8_lm_scoring": lm_scoring,
     "op10_jaccard_join": jaccard_join,

@@ -80,13 +80,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def _is_space() -> np.ndarray:
-    table = np.zeros(256, dtype=bool)
-    table[[ord(c) for c in SPACES]] = True
-    return table
-
-
-_SPACE = _is_space()
+_IS_WORD = np.ones(256, np.uint8)
+_IS_WORD[[ord(c) for c in SPACES]] = 0
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -112,13 +107,14 @@ def pieces(offsets: np.ndarray, most: int = _PIECE_BYTES):
         at = end
 
 
-def read_words(texts, lower: bool = False) -> Words:
-    """All words of the texts.  ``lower`` folds A-Z only."""
+def read_words(texts, lower: bool = False, kinds: np.ndarray = _IS_WORD) -> Words:
+    """All words of the texts.  ``lower`` folds A-Z only.  ``kinds`` gives a number to every byte: words
+    are runs of one kind other than 0."""
     data, offsets = buffers(texts)
     hashes, counts = [], []
     for a, b in pieces(offsets):
         part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        h, c = _hash_words(_LOWER[part] if lower else part, own)
+        h, c = _hash_words(_LOWER[part] if lower else part, own, kinds)
         hashes.append(h)
         counts.append(c)
     counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
@@ -126,18 +122,15 @@ def read_words(texts, lower: bool = False) -> Words:
     return Words(np.repeat(np.arange(len(counts), dtype=np.int32), counts), hashes, counts)
 
 
-def _hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
-    inside = ~_SPACE[data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    edges = offsets[:-1][offsets[:-1] < offsets[1:]]
-    begins[edges] = inside[edges]
-    ends = inside.copy()
-    ends[:-1] &= ~inside[1:]
-    ends[edges[1:] - 1] = inside[edges[1:] - 1]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    kind = kinds[data]
+    turns = np.ones(len(data) + 1, bool)
+    turns[1:-1] = kind[1:] != kind[:-1]
+    turns[offsets] = True
+    starts = np.flatnonzero((kind > 0) & turns[:-1])
+    stops = np.flatnonzero((kind > 0) & turns[1:]) + 1
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_byte_values()[data] * _powers(_MULTIPLIER, len(data)), out=sums[1:])
     hashes = (sums[stops] - sums[starts]) * _powers(_INVERSE, len(data))[starts]
