@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard_join import linked
+from .language_id import predicted_language
 from .lm_scoring import stupid_backoff
 from .quality_classifier import predicted_quality
 from .quality_rules import judged
@@ -48,11 +49,16 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return predicted_quality(_documents(spark, folder), _labels(spark, folder))
 
 
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return predicted_language(_documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_quality_rules": quality_rules,
     "op3_quality_classifier": quality_classifier,
     "op4_substring_dedup": substring_dedup,
+    "op7_language_id": language_id,
     "op8_lm_scoring": lm_scoring,
     "op10_jaccard_join": jaccard_join,
 }
@@ -82,5 +88,6 @@ FROM d LEFT JOIN t USING (r)
 """
 
 ORACLES: dict[str, str] = {
+    "op7_language_id": language_id,
     "op8_lm_scoring": LM_SCORING,
 }
