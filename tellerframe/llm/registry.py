@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .jaccard_join import linked
 from .language_id import predicted_language
 from .lm_scoring import stupid_backoff
+from .mixing import curriculum, size_column
 from .quality_classifier import predicted_quality
 from .quality_rules import judged
 from .substring_dedup import repeated_words
@@ -53,11 +54,18 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted_language(_documents(spark, folder))
 
 
+def mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _documents(spark, folder).select("doc_id", "source", size_column().alias("size"))
+    position = F.round(F.get("copies", F.lit(0))["position"], 3).alias("position")
+    return curriculum(rows).select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "taken", position)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_quality_rules": quality_rules,
     "op3_quality_classifier": quality_classifier,
     "op4_substring_dedup": substring_dedup,
+    "op6_mixing": mixing,
     "op7_language_id": language_id,
     "op8_lm_scoring": lm_scoring,
     "op10_jaccard_join": jaccard_join,
@@ -87,7 +95,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(v, 0), 6) AS lo
 FROM d LEFT JOIN t USING (r)
 """
 
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE turn WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s
+), l AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS BIGINT) - 3 * coalesce(CAST(sum(source_size) OVER b AS BIGINT), 0))
+           / (CAST(sum(weight) OVER () AS BIGINT) - coalesce(CAST(sum(weight) OVER b AS BIGINT), 0)) AS level,
+         row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS r
+  FROM w WINDOW b AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), x AS (
+  SELECT arg_min(level, r) AS level FROM l WHERE level * weight <= 3 * source_size
+), t AS (
+  SELECT l.source, l.turn, l.source_size, least(x.level * l.weight, CAST(3 * l.source_size AS DOUBLE)) AS target FROM l, x
+), o AS (
+  SELECT doc_id, size, t.source_size, t.target, t.turn,
+    coalesce(CAST(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS a
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), c AS (
+  SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - a)) + greatest(0, least(size, CAST(floor(target) AS BIGINT) - a - source_size))
+    + greatest(0, least(size, CAST(floor(target) AS BIGINT) - a - 2 * source_size)) AS taken, a / target AS y FROM o
+)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
+  round(CASE WHEN taken > 0 THEN (SELECT sum(size) FROM d) * CASE turn
+    WHEN 0 THEN 2 * y / (1.5 + sqrt(greatest(2.25 - 2 * y, 0))) WHEN 1 THEN 2 * y / (1 + sqrt(greatest(1 + 0 * y, 0)))
+    ELSE 2 * y / (0.5 + sqrt(greatest(0.25 + 2 * y, 0))) END END, 3) AS position
+FROM c
+"""
+
 ORACLES: dict[str, str] = {
+    "op6_mixing": mixing,
     "op7_language_id": language_id,
+    "op6_mixing": MIXING,
     "op8_lm_scoring": LM_SCORING,
 }
