@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contaminated
 from .jaccard_join import linked
 from .language_id import predicted_language
 from .lm_scoring import stupid_backoff
 from .mixing import curriculum, size_column
+from .pii import personal_data
 from .quality_classifier import predicted_quality
 from .quality_rules import judged
 from .substring_dedup import repeated_words
@@ -60,14 +62,25 @@ def mixing(spark: SparkSession, folder: str) -> DataFrame:
     return curriculum(rows).select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "taken", position)
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return contaminated(_documents(spark, folder), items).drop("text_key")
+
+
+def pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(_documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_quality_rules": quality_rules,
     "op3_quality_classifier": quality_classifier,
     "op4_substring_dedup": substring_dedup,
+    "op5_decontamination": decontamination,
     "op6_mixing": mixing,
     "op7_language_id": language_id,
     "op8_lm_scoring": lm_scoring,
+    "op9_pii": pii,
     "op10_jaccard_join": jaccard_join,
 }
 
@@ -127,9 +140,31 @@ SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
 FROM c
 """
 
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w, text FROM documents WHERE text IS NOT NULL
+), i AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark WHERE text IS NOT NULL
+), ds AS (
+  SELECT DISTINCT doc_id, text, s FROM (
+    SELECT doc_id, text, w[k:k + 4] AS s FROM (SELECT *, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)
+    UNION ALL SELECT doc_id, text, w FROM d WHERE len(w) BETWEEN 1 AND 4)
+), s AS (
+  SELECT DISTINCT item_id, s FROM (
+    SELECT item_id, w[k:k + 4] AS s FROM (SELECT *, unnest(range(1, len(w) - 3)) AS k FROM i WHERE len(w) >= 5)
+    UNION ALL SELECT item_id, w FROM i WHERE len(w) BETWEEN 1 AND 4)
+), n AS (SELECT item_id, count(*) AS n_item_shingles FROM s GROUP BY item_id
+), c AS (SELECT doc_id, text, item_id, count(*) AS n_shared FROM ds JOIN s USING (s) GROUP BY doc_id, text, item_id)
+SELECT doc_id, item_id, n_item_shingles, n_shared, n_shared / n_item_shingles AS containment
+FROM c JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item_shingles
+"""
+
 ORACLES: dict[str, str] = {
+    "op5_decontamination": decontamination,
     "op6_mixing": mixing,
     "op7_language_id": language_id,
+    "op5_decontamination": decontamination,
+    "op5_decontamination": DECONTAMINATION,
     "op6_mixing": MIXING,
     "op8_lm_scoring": LM_SCORING,
 }
