@@ -9,7 +9,8 @@ two before their sets are compared exactly.
 
 No group is expanded into all pairs.  Equal sets are one class.  Within the documents that share a prefix
 token, each is compared with the one whose tokens are the most common; only documents of different
-components are then compared with each other, all of them, so no link between components is lost.
+components are then compared with each other, so no link between components is lost.  Pairs are formed only where
+the tokens that both still share with others suffice for the similarity.
 
 * Rows that share a doc_id are one vertex that has each of their sets.
 * A row without doc_id has no vertex: its component is null.
@@ -126,12 +127,17 @@ def linked(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     members = materialize(members.select(F.col("doc_id").alias("a"), F.col("first_id").alias("b"), "n_tokens", "sum_1", "sum_2"), "classes")
     heads = members.where("a = b").select(F.col("b").alias("doc_id"), "n_tokens", "sum_1", "sum_2").distinct()
     heads = some.join(heads, ["doc_id", "n_tokens", "sum_1", "sum_2"], "left_semi")
-    postings = materialize(heads.select("doc_id", "n_tokens", "commonness", F.explode("prefix_1").alias("token")), "postings")
+    # ``rest``: tokens of the document from this one on that others have too.  Two sets share no more than the
+    # smaller rest at the first token they have in common.
+    exploded = heads.select("doc_id", "n_tokens", "commonness", F.size("tokens").alias("n"), F.posexplode("prefix_1").alias("rank", "token"))
+    postings = materialize(exploded.withColumn("rest", F.col("n") - F.col("rank")).drop("n", "rank"), "postings")
     edges = members.select("a", "b")
 
-    centre = F.max_by("doc_id", F.struct("commonness", -F.col("doc_id"))).alias("b")
-    stars = postings.groupBy("token").agg(centre, F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = postings.join(stars, "token").where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct()
+    best = F.max_by(F.struct("doc_id", "n_tokens", "rest"), F.struct("commonness", -F.col("doc_id"))).alias("y")
+    stars = postings.groupBy("token").agg(best, F.count("*").alias("n")).where("n > 1").drop("n")
+    enough = F.expr(_enough("x", "y", similarity))
+    pairs = postings.alias("x").join(stars, (F.col("x.token") == stars.token) & (F.col("x.doc_id") != F.col("y.doc_id")) & enough)
+    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     edges = materialize(edges.unionByName(_verified(pairs, sets, similarity)), "links")
     found = materialize(components(edges), "components")
 
@@ -145,16 +151,21 @@ def linked(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     )
 
 
+def _enough(x: str, y: str, similarity: int) -> str:
+    """Whether two sets can still reach the similarity: s of the union is s / (1 + s) of the sum of sizes."""
+    return f"{100 + similarity} * least({x}.rest, {y}.rest) >= {similarity} * ({x}.n_tokens + {y}.n_tokens)"
+
+
 def _between(postings: DataFrame, found: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of different components that share a prefix token and are of similar size."""
+    """Pairs of different components that have a prefix token in common and can reach the similarity."""
     placed = postings.join(found, postings.doc_id == found.vertex, "left").select(
-        "token", "doc_id", "n_tokens", F.coalesce("component", "doc_id").alias("component")
+        "token", "doc_id", "n_tokens", "rest", F.coalesce("component", "doc_id").alias("component")
     )
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     placed = placed.join(mixed.select("token"), "token", "left_semi")
     one, other = placed.alias("x"), placed.alias("y")
-    similar = F.expr(f"100 * least(x.n_tokens, y.n_tokens) >= {similarity} * greatest(x.n_tokens, y.n_tokens)")
-    joined = one.join(other, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & similar)
+    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
+    joined = one.join(other, apart & F.expr(_enough("x", "y", similarity)))
     return joined.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
 
 
