@@ -36,6 +36,7 @@ _ANSWER_KINDS = [pa.int32(), pa.int32(), pa.binary()]
 class Blocks:
     frame: DataFrame  # block, doc_id, text
     n_ranges: int
+    block_bytes: int
     coarse_bits: int  # of a hash, for questions where a rare false "yes" costs only time
 
 
@@ -52,7 +53,7 @@ def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    return Blocks(frame, n, min(64, max(1, total).bit_length() + 12))
+    return Blocks(frame, n, block_bytes, min(64, max(1, total).bit_length() + 12))
 
 
 def coarse(keys: np.ndarray, bits: int) -> np.ndarray:

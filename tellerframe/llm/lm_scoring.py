@@ -10,6 +10,9 @@ joined to the counts of its own n-grams, range by range, and sums its documents'
 The first words of a document have as much context as there is.  A document's log_score is the sum over its
 words, mean_log_score that by word; null, empty and blank texts have no words, a sum of 0 and no mean.
 Repeated rows and null ids count like any other row.
+
+N-grams are known by 51 bits of their hash (more with larger blocks): of a corpus of D distinct n-grams, one in
+2^51 / D shares its count with another, 3 in a million at 30 GB.
 """
 
 from __future__ import annotations
@@ -31,7 +34,9 @@ _PARTIAL = "doc_id bigint, n_words bigint, n_single bigint, partial double"
 def stupid_backoff(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: int = 2) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, log_score, mean_log_score."""
     dealt = B.deal(docs)
-    n_ranges, bits = dealt.n_ranges, min(64, dealt.coarse_bits + 16)
+    n_ranges = dealt.n_ranges
+    # As many bits as keep the differences between a block's sorted keys below four bytes.
+    bits = min(64, 29 + (dealt.block_bytes // 4).bit_length())
 
     def first(block: int, own: pa.Table) -> list[tuple]:
         grams = _grams(read_words(own.column("text")), order, bits)
