@@ -58,7 +58,8 @@ def token_sets(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Every document's set size; with it the tokens and prefixes of those documents of whose tokens enough
     occur in other documents for a link."""
     dealt = B.deal(docs)
-    n_ranges, bits = dealt.n_ranges, dealt.coarse_bits
+    # Few bits: tokens only count as shared or order differently by chance, one in some hundreds.
+    n_ranges, bits = dealt.n_ranges, dealt.coarse_bits - 6
 
     def first(block: int, own: pa.Table) -> list[tuple]:
         _, tokens = shingles(read_words(own.column("text"), lower=True))
