@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerframe.llm import decontamination, jaccard_join, mixing, pii, quality_classifier
+from tellerframe.llm.words import unused
 from tellerframe.sources.storage import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,7 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     here, without the held-out fold; without any it rejects nothing."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     model = quality_classifier.fit(docs, labels.where(quality_classifier.fold(3) != 1), "quality")
-    return quality_classifier.scores(docs, model, "_quality").where("_quality >= 0.5").select(*docs.columns)
+    (score,) = unused(docs.columns, "score")
+    return quality_classifier.scores(docs, model, score).where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

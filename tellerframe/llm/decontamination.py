@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .words import let, words_column
+from .words import let, unused, words_column
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 75  # percent
@@ -73,6 +73,7 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: int = CONTAINME
 
 def clean(docs: DataFrame, items: DataFrame, containment: int = CONTAINMENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item."""
-    found = contaminated(docs, items, containment).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_k"))
+    d, k = unused(docs.columns, "d", "k")
+    found = contaminated(docs, items, containment).select(F.col("doc_id").alias(d), F.col("text_key").alias(k)).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col(d)) & (F.xxhash64(docs["text"].cast("string")) == F.col(k))
     return docs.join(found, same, "left_anti")

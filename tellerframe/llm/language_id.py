@@ -23,7 +23,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 
 from .quality_classifier import fold
 from .shipping import ship
-from .words import buffers, pieces
+from .words import buffers, pieces, unused
 
 DIMENSIONS = 1 << 13
 ROWS_PER_LANGUAGE = 300
@@ -133,32 +133,32 @@ def identified(docs: DataFrame, model) -> DataFrame:
     ship(docs.sparkSession)
     languages, weights, biases, bit_weights = model
     codes = codewords(len(languages)) if languages else np.zeros((0, 0))
-    names = docs.columns
+    lower, letter = unused(docs.columns, "lower", "letter")
 
     def predicted(batches):
         for batch in batches:
             share = np.zeros((batch.num_rows, max(1, len(languages))))
             if len(languages) > 1:
-                for a, b, buckets, n in trigrams(batch.column(names.index("_lower"))):
+                for a, b, buckets, n in trigrams(batch.column(names.index(lower))):
                     margins = _sums(weights[buckets], n) / np.maximum(n, 1)[:, None] + biases
                     loss = np.einsum("dbl,b->dl", np.logaddexp(0, -margins[:, :, None] * codes.T[None]), bit_weights)
                     odds = np.exp(loss.min(axis=1, keepdims=True) - loss)
                     share[a:b] = odds / odds.sum(axis=1, keepdims=True)
             else:
                 share[:] = 1.0
-            letters = batch.column(names.index("_letters")).to_numpy(zero_copy_only=False).astype(bool) & bool(languages)
+            letters = batch.column(names.index(letter)).to_numpy(zero_copy_only=False).astype(bool) & bool(languages)
             best = share.argmax(axis=1)
             ordered = np.sort(share, axis=1)
             close = (ordered[:, -1] - ordered[:, -2] < AMBIGUOUS) if share.shape[1] > 1 else np.zeros(len(best), bool)
             found = [languages[i] if ok else "und" for i, ok in zip(best, letters)]
-            kept = [c for c, name in zip(batch.columns, names) if name not in ("_lower", "_letters")]
+            kept = [c for c, name in zip(batch.columns, names) if name not in (lower, letter)]
             score = np.where(letters, share.max(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.string()), pa.array(score), pa.array(close & letters)], names=out.fieldNames())
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("ambiguous", BooleanType())]
     out = StructType([*docs.schema.fields, *added])
-    rows = docs.select("*", F.concat(F.lit(" "), F.lower(text), F.lit(" ")).alias("_lower"), text.rlike(r"\p{L}").alias("_letters"))
+    rows = docs.select("*", F.concat(F.lit(" "), F.lower(text), F.lit(" ")).alias(lower), text.rlike(r"\p{L}").alias(letter))
     names = rows.columns
     return rows.mapInArrow(predicted, out)
 

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .words import words_column
+from .words import unused, words_column
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
@@ -84,8 +84,9 @@ def curriculum(
     if clash := named & {"source_size", "target", "taken", "copies"}:
         rows = rows.drop(*clash)
     # Numbered rows are written, so that every later reading meets the same numbers.
-    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    sizes = rows.select("_row", "doc_id", "source", "size")
+    row, key = unused(rows.columns, "row", "key")
+    rows = materialize(rows.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    sizes = rows.select(F.col(row).alias("_row"), "doc_id", "source", "size")
     targets = materialize(source_targets(sizes, weights, repeats), "mix-targets")
     total = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
 
@@ -112,7 +113,8 @@ def curriculum(
 
     copies = F.filter(F.array(*[copy(k) for k in range(repeats)]), lambda c: c["words"] > 0)
     mixed = placed.withColumn("copies", copies).select(
-        "_row", "source_size", "target", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"), "copies", "_key"
-    )
+        F.col("_row").alias(row), "source_size", "target", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"),
+        "copies", F.col("_key").alias(key),
+    )
     first = F.get("copies", F.lit(0))["position"]
-    return rows.join(mixed, "_row").orderBy(first.asc_nulls_last(), "_key", "_row").drop("_row", "_key")
+    return rows.join(mixed, row).orderBy(first.asc_nulls_last(), key, row).drop(row, key)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
-from .words import SPACES, let, words_column
+from .words import let, unused, words_column
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 60
@@ -198,7 +198,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def sanitised(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of their texts replaced: base values and generalised terms by their kind in
     brackets, removed terms by nothing.  Overlapping spans are replaced as one, by the first's kind."""
-    spans = all_spans(docs).where(F.size("spans") > 0).distinct().select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.col("spans").alias("_spans"))
+    d, k, own = unused(docs.columns, "d", "k", "spans")
+    spans = all_spans(docs).where(F.size("spans") > 0).distinct().select(F.col("doc_id").alias(d), F.col("text_key").alias(k), F.col("spans").alias(own))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.col("text")
 
@@ -209,6 +210,6 @@ def sanitised(docs: DataFrame) -> DataFrame:
 
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     rest = lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.char_length(text)))
-    new = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", zero, step, rest))
-    same = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_k"))
+    new = F.when(F.col(own).isNull(), text).otherwise(F.aggregate(own, zero, step, rest))
+    same = docs["doc_id"].eqNullSafe(F.col(d)) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col(k))
     return docs.join(spans, same, "left").withColumn("text", new).select(*docs.columns)

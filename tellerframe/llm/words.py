@@ -32,6 +32,12 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of that name needs."""
+    taken = {c.lower() for c in columns}
+    return [next(n for i in range(1, len(taken) + 2) if (n := "_" * i + name) not in taken) for name in names]
+
+
 @dataclass
 class Words:
     """Words of some texts, text after text."""
