@@ -13,6 +13,8 @@ mean over its n-grams of the logarithm of their ratio, against one fixed thresho
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,19 +35,18 @@ def grams_column(words: Column, buckets: int) -> Column:
     return F.concat(F.transform(words, lambda w: bucket(w)), F.transform(pairs, lambda w, i: bucket(w, F.get(words, i + 1))))
 
 
-def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, ratio) for every bucket: ln of its share in trusted texts over its share in all texts."""
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("is_trusted", F.lit(1)), "doc_id", "left"
-    )
+def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
+    """For every bucket, ln of its share in trusted texts over its share in all texts.  Two counts for each bucket
+    come to the driver, whatever the size of the corpus."""
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("is_trusted", F.lit(1))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Trusted ids grow with the corpus: both sides are dealt by doc_id, and the texts need no sort.
+    marked = texts.join(ids.hint("shuffle_hash"), "doc_id", "left")
     grams = marked.select("is_trusted", F.explode(let(words_column("text"), lambda w: grams_column(w, buckets))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("is_trusted").alias("t"), F.count("*").alias("r"))
-    spark = docs.sparkSession
-    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
-    every = every.select("bucket", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("t", "r")))
-    sums = every.agg(F.sum("t").alias("t"), F.sum("r").alias("r"))
-    share = lambda c: F.ln((F.col(c) + SMOOTHING) / (sums.select(c).scalar() + F.lit(SMOOTHING * buckets)))
-    return every.select("bucket", (share("t") - share("r")).alias("ratio"))
+    counts = {r["bucket"]: (r["t"], r["r"]) for r in grams.groupBy("bucket").agg(F.count("is_trusted").alias("t"), F.count("*").alias("r")).collect()}
+    t_sum, r_sum = (sum(c[i] for c in counts.values()) + SMOOTHING * buckets for i in (0, 1))
+    shares = ((t + SMOOTHING, r + SMOOTHING) for t, r in (counts.get(b, (0, 0)) for b in range(buckets)))
+    return [math.log(t / t_sum) - math.log(r / r_sum) for t, r in shares]
 
 
 def repeat_words(words: Column) -> Column:
@@ -95,10 +96,8 @@ def judged(
     max_repeat_percent: int = MAX_REPEAT_PERCENT,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): the base columns, base_failed, mean_ratio, kept."""
-    ratios = bucket_ratios(docs, trusted, buckets)
-    # ``buckets`` numbers, whatever the size of the corpus: a constant of the scoring expression.
-    numbers = {r["bucket"]: r["ratio"] for r in ratios.collect()}
-    table = F.split(F.lit(",".join(f"{numbers[b]:.6f}" for b in range(buckets))), ",").cast("array<double>")
+    numbers = ",".join(f"{r:.6f}" for r in bucket_ratios(docs, trusted, buckets))
+    table = F.split(F.lit(numbers), ",").cast("array<double>")  # a constant of the scoring expression
 
     def columns(words: Column, ratio: Column) -> Column:
         total = F.aggregate(grams_column(words, buckets), F.lit(0.0), lambda a, b: a + F.coalesce(F.get(ratio, b), F.lit(0.0)))
