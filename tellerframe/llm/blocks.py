@@ -61,20 +61,29 @@ def coarse(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys & np.uint64((1 << 64) - (1 << (64 - bits)))
 
 
-def pack(keys: np.ndarray) -> bytes:
-    """Sorted hashes as the differences between them, byte plane by byte plane; Spark's own
-    compression then removes the empty planes."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
+
+
+def swell(data: bytes) -> bytes:
+    return _ZSTD.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Any 8-byte numbers, byte plane by byte plane."""
-    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Any 8-byte numbers, byte plane by byte plane, compressed: small numbers take few bytes."""
+    return squeeze(np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
 def unplanes(data: bytes, kind=np.uint64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
+    return np.ascontiguousarray(np.frombuffer(swell(data), np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
+
+
+def pack(keys: np.ndarray) -> bytes:
+    """Sorted hashes as the differences between them."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -134,7 +143,7 @@ def answer(questions_: DataFrame, reply: Callable[[np.ndarray, np.ndarray], np.n
         told = reply(np.concatenate(keys), np.concatenate(extra))
         ends = np.cumsum(sizes)
         parts = [told[e - s : e] for s, e in zip(sizes, ends)]
-        rows = [(number, b, (p.tobytes() if p.dtype == np.uint8 else planes(p))) for b, p in zip(blocks_, parts)]
+        rows = [(number, b, squeeze(p.tobytes()) if p.dtype == np.uint8 else planes(p)) for b, p in zip(blocks_, parts)]
         return table(rows, ["range", "block", "answer"], _ANSWER_KINDS)
 
     return questions_.groupBy("range").applyInArrow(of, ANSWERED)
@@ -157,7 +166,7 @@ def answers(replies: pa.Table, kind=np.uint8) -> np.ndarray:
     replies = replies.filter(pa.compute.greater_equal(replies.column("range"), 0))
     order = np.argsort(replies.column("range").to_numpy())
     found = replies.column("answer").to_pylist()
-    parts = [np.frombuffer(found[i], np.uint8) if kind is np.uint8 else unplanes(found[i], kind) for i in order]
+    parts = [np.frombuffer(swell(found[i]), np.uint8) if kind is np.uint8 else unplanes(found[i], kind) for i in order]
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 

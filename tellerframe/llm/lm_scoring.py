@@ -11,8 +11,8 @@ The first words of a document have as much context as there is.  A document's lo
 words, mean_log_score that by word; null, empty and blank texts have no words, a sum of 0 and no mean.
 Repeated rows and null ids count like any other row.
 
-N-grams are known by 51 bits of their hash (more with larger blocks): of a corpus of D distinct n-grams, one in
-2^51 / D shares its count with another, 3 in a million at 30 GB.
+N-grams are known by 50 bits of their hash (more with larger blocks): of a corpus of D distinct n-grams, one in
+2^50 / D shares its count with another, 6 in a million at 30 GB.
 """
 
 from __future__ import annotations
@@ -28,12 +28,13 @@ from ..sources.storage import materialize
 from . import blocks as B
 from .words import Words, mix, read_words, window_hashes, windows
 
+BLOCK_BYTES = 4 << 20  # three kinds of n-grams need more memory than one
 _PARTIAL = "doc_id bigint, n_words bigint, n_single bigint, partial double"
 
 
 def stupid_backoff(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: int = 2) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, log_score, mean_log_score."""
-    dealt = B.deal(docs)
+    dealt = B.deal(docs, BLOCK_BYTES)
     n_ranges = dealt.n_ranges
     # As many bits as keep the differences between a block's sorted keys below four bytes.
     bits = min(64, 29 + (dealt.block_bytes // 4).bit_length())

@@ -64,7 +64,8 @@ def when_demanded(share: Column, knots: Knots) -> Column:
     for (t, v), (end, w) in zip(knots, knots[1:]):
         area, slope = (end - t) * (v + w) / 2, (w - v) / (end - t)
         rest = share * total - done
-        time = F.lit(t) + 2 * rest / (F.lit(v) + F.sqrt(F.greatest(F.lit(v * v) + 2 * slope * rest, F.lit(0.0))))
+        speed = F.lit(float(v)) + F.sqrt(F.greatest(F.lit(float(v * v)) + 2 * slope * rest, F.lit(0.0)))
+        time = F.lit(t) + F.coalesce(F.try_divide(2 * rest, speed), F.lit(0.0))  # a schedule may begin at 0
         pieces.append((done + area, time))
         done += area
     for end, time in reversed(pieces):
@@ -105,7 +106,7 @@ def curriculum(
     def copy(k: int) -> Column:
         start = F.col("_start") + k * F.col("source_size")
         words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.floor("target") - start))
-        share = start / F.col("target")
+        share = F.try_divide(start, F.col("target"))
         time = F.lit(None).cast("double")
         for turn in range(len(weights)):
             time = F.when(F.col("turn") == turn, when_demanded(share, schedules[turn % len(schedules)])).otherwise(time)

@@ -158,7 +158,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
         texts = F.lit(found.select("text_key").distinct().count()).cast("long")
     entities = found.select("text_key", F.explode("spans.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = together.join(terms, "term").join(entities, "entity")
-    information = F.ln(texts * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))) / F.ln(texts / F.col("n_entity"))
+    # An entity that every text holds has no information to disclose: the share is null.
+    information = F.try_divide(F.ln(texts * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))), F.ln(texts / F.col("n_entity")))
     flagged = pairs.withColumn("share", information).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
     spans = beside.join(flagged, ["entity", "term"])
     return spans.groupBy("doc_id", "text_key", "start", "end").agg((F.max("share") >= REMOVE).alias("removed"))

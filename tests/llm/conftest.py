@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tellerframe.llm import blocks
+from tellerframe.llm import blocks, lm_scoring
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Names the operators use themselves, and names of other tables.
@@ -19,6 +19,7 @@ CLASHES = (
 def small_blocks(monkeypatch):
     """Blocks of 16 KB, so that small tables have many."""
     monkeypatch.setattr(blocks.deal, "__defaults__", (16 << 10,))
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 16 << 10)
 
 
 @pytest.fixture(scope="session")
@@ -42,7 +43,7 @@ def odd_rows():
              (505, "a b c d", "en", "s3"), (506, "A b c  d", "en", "s3"), (507, "1234 5678 +++", "en", "s3"), (508, "ha " * 400, "en", "s3")]
     rows += [(600, say(80), "en", "s1")] * 3 + [(601, say(80), "en", "s1"), (601, say(90), "de", "s1"), (None, say(70), "en", "s1"), (None, original, "de", "s1")]
     for i in range(5):
-        rows.append((700 + i, f"{say(20)} Zebulon mail.{i % 2}@host{i % 2}.example.com, {say(20)} 10.0.0.{i} 256.1.1.1 or 4111 1111 1111 1111 or +1 (555) 010-{9990 + i} {'7' * 30}", "en", "s0"))
+        rows.append((700 + i, f"{say(20)} Zebulon mail.{i % 2}@host{i % 2}.example.com, {say(20)} 10.0.0.{i} 256.1.1.1 or 4111 1111 1111 1111 or +1 (555) 010-{9990 + i} and {'7' * 30}", "en", "s0"))
     rows.append((710, "a@b.c_d@e.f x@y 1.2.3.4.5.6.7.8 +1 2 411111111111111111111111 4111-1111-1111-1111-" + "9" * 40, "en", "s0"))
     return rows, item
 
