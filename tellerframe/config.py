@@ -28,8 +28,6 @@ class Rules:
     halt_below_score: Decimal = Decimal("70")
     warn_below_score: Decimal = Decimal("85")
     version: str = "1.0.0"
-    # ours: days an incremental load goes back behind the newest loaded day
-    lookback_days: int = 30
 
     @property
     def masks_pii(self) -> bool:

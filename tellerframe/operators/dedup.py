@@ -46,36 +46,31 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: str = INGEST_ORDER) -
     return _keep_best(df, keys, [F.asc(order)])
 
 
-# the repeated keys are broadcast up to this many, beyond it everything is ranked
-MAX_REPEATED_KEYS = 200_000
-
-
-def dedup_sparse(
-    df: DataFrame, keys: Sequence[str], version: str, ties: Sequence[str] | None = None, limit: int = MAX_REPEATED_KEYS
-) -> DataFrame:
+def dedup_sparse(df: DataFrame, keys: Sequence[str], version: str, ties: Sequence[str] | None = None) -> DataFrame:
     """Same result as :func:`dedup_latest`, for inputs read from stored tables
-    (they are scanned three times, once for the keys alone)."""
+    (they are scanned three times, once for the keys alone).  The repeated keys are
+    a written table, from whose size Catalyst chooses the joins."""
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     repeated = materialize(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]), "repeated-keys")
-    if repeated.count() > limit:
-        return dedup_latest(df, keys, version, ties)
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    small = F.broadcast(repeated)
-    copies = df.join(small, same, "left_semi")
-    return df.join(small, same, "left_anti").unionByName(dedup_latest(copies, keys, version, ties))
+    copies = df.join(repeated, same, "left_semi")
+    return df.join(repeated, same, "left_anti").unionByName(dedup_latest(copies, keys, version, ties))
 
 
-def first_of_repeated(df: DataFrame, key: str, order: str = INGEST_ORDER) -> DataFrame:
-    """For keys that occur more than once: the key and its first position.
+def kept_of_repeated(df: DataFrame, key: str, version: str | None, order: str = INGEST_ORDER) -> DataFrame:
+    """For keys that occur more than once: the key and the read position of the
+    row to keep, that with the highest ``version``, of those the one read first;
+    without ``version`` the one read first.
 
-    A mergeable aggregate over two narrow columns; the result is as small as
-    the feed is clean.
+    A mergeable aggregate over narrow columns; the result is as small as the
+    feed is clean.
     """
+    kept = F.min(order) if version is None else -F.max(F.struct(F.col(version), -F.col(order)))["col2"]
     return (
         df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.min(order).alias("_first"))
+        .agg(F.count(F.lit(1)).alias("_copies"), kept.alias("_kept"))
         .filter(F.col("_copies") > 1)
-        .select(key, "_first")
+        .select(key, "_kept")
     )

@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 from tellerframe.functions.keys import surrogate_key
 
 VALIDITY = ("effective_from", "effective_to", "is_current")
+VERSION = "version_sk"
 
 
 def start_history(staged: DataFrame, key: str, sk: str, as_of: date) -> DataFrame:
-    """First load: every row is the current version, valid from ``as_of``."""
+    """First load: every row is the current version, valid from ``as_of``.
+
+    ``sk`` is durable: all versions of a key share it, and facts carry it, so that a
+    new version takes no fact away.  ``version_sk`` is the version's own key.
+    """
     return staged.select(
-        surrogate_key(F.col(key), F.lit(as_of)).alias(sk),
+        surrogate_key(F.col(key)).alias(sk),
+        surrogate_key(F.col(key), F.lit(as_of)).alias(VERSION),
         *staged.columns,
         F.lit(as_of).alias("effective_from"),
         F.lit(None).cast("date").alias("effective_to"),
@@ -31,12 +37,13 @@ def merge_history(
 
     A staged row whose tracked columns differ closes the current version
     (``effective_to`` is exclusive) and opens a new one; unseen keys are
-    inserted; keys missing from the batch stay as they are.  A version opened
-    on ``as_of`` itself is replaced rather than closed, so a load run twice
-    leaves the same table.
+    inserted; keys missing from the batch stay as they are.  Columns that are
+    not tracked are refreshed on the current version.  A version opened on
+    ``as_of`` itself is replaced rather than closed, so a load run twice leaves
+    the same table.
 
-    One full outer join on the natural key, unique on both sides; each matched
-    pair yields its one or two versions from the same row.
+    One full outer join on the natural key, which staging makes unique; each
+    matched pair yields its one or two versions from the same row.
     """
     fresh = start_history(staged, key, sk, as_of)
     columns = fresh.columns
@@ -48,9 +55,11 @@ def merge_history(
     for name in tracked:
         changed = changed | ~old[name].eqNullSafe(new[name])
     closed = old.withField("effective_to", F.lit(as_of)).withField("is_current", F.lit(False))
+    refreshed = new.withField("effective_from", old["effective_from"]).withField(VERSION, old[VERSION])
     versions = (
         F.when(old.isNull(), F.array(new))
-        .when(new.isNull() | ~changed, F.array(old))
+        .when(new.isNull(), F.array(old))
+        .when(~changed, F.array(refreshed))
         .when(old["effective_from"] >= F.lit(as_of), F.array(new))
         .otherwise(F.array(closed, new))
     )

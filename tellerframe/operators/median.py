@@ -15,6 +15,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tellerframe.sources.storage import materialize
 
@@ -28,13 +29,21 @@ def _same(columns: Sequence[str], left: str, right: str) -> Column:
     return condition
 
 
-def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), scale: int = 2) -> DataFrame:
+def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), scale: int | None = None) -> DataFrame:
     """Columns of ``by`` plus ``median`` and ``n`` over the non-null values.
 
-    ``value`` is numeric with at most ``scale`` decimals.  The mean of the two
-    middle values is taken for even counts.  Null groups are kept.
+    ``value`` is a decimal or an integer, which say themselves how many decimals
+    they have; other types need ``scale``, to which they are rounded.  The mean
+    of the two middle values is taken for even counts.  Null groups are kept.
     """
     by = list(by)
+    kind = df.schema[value].dataType
+    if isinstance(kind, T.DecimalType):
+        scale = kind.scale
+    elif isinstance(kind, T.IntegralType):
+        scale = 0
+    elif scale is None:
+        raise TypeError(f"the median of a {kind.simpleString()} needs a scale")
     unscaled = (F.col(value).cast(f"decimal(20,{scale})") * 10**scale).cast("long")
     values = df.select(*by, unscaled.alias("_v")).filter(F.col("_v").isNotNull())
     data = materialize(values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w")), "median-values")

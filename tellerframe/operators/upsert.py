@@ -20,18 +20,21 @@ def matching(target: DataFrame, keys: DataFrame, pk: Sequence[str], how: str) ->
     return target.join(named, same, how)
 
 
-def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], version: str | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, batch: DataFrame, pk: Sequence[str], version: str | None = None, keys: DataFrame | None = None
+) -> DataFrame:
     """``target`` with the rows of ``batch`` in place of those with equal keys.
 
     Columns only one side has are kept and null on the other.  With
     ``version`` the newer row wins instead of the batch, so batches may arrive
-    in any order.
+    in any order.  ``keys`` are keys whose rows go from the target even if the
+    batch has none for them.
     """
     if not pk:
         raise ValueError("upsert needs primary-key columns")
     if version is not None:
         return dedup_latest(target.unionByName(batch, allowMissingColumns=True), pk, version)
-    kept = matching(target, batch, pk, "left_anti")
+    kept = matching(target, batch if keys is None else keys, pk, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
@@ -45,7 +48,9 @@ def within_bounds(target: DataFrame, batch: DataFrame, pk: Sequence[str]) -> Dat
     return target
 
 
-def touched_partitions(target: DataFrame, batch: DataFrame, pk: Sequence[str], partition: str) -> tuple[set, set]:
+def touched_partitions(
+    target: DataFrame, batch: DataFrame, pk: Sequence[str], partition: str, keys: DataFrame | None = None
+) -> tuple[set, set]:
     """Partition values that hold keys of the batch (before, after) the load.
 
     Only these have to be rewritten.  The sets are as long as the table has
@@ -53,19 +58,21 @@ def touched_partitions(target: DataFrame, batch: DataFrame, pk: Sequence[str], p
     only, and only files whose statistics overlap the key range of the batch;
     where ids grow with time that leaves the recent ones.
     """
-    before = matching(within_bounds(target, batch, pk), batch, pk, "left_semi")
+    keys = batch if keys is None else keys
+    before = matching(within_bounds(target, keys, pk), keys, pk, "left_semi")
     return tuple({row[0] for row in df.select(partition).distinct().collect()} for df in (before, batch))
 
 
 def high_water_mark(target: DataFrame, column: str):
-    """Greatest loaded value, None for an empty target."""
+    """Greatest loaded value of an arrival column, None for an empty target."""
     return target.agg(F.max(column)).first()[0]
 
 
-def newer_than(source: DataFrame, column: str, mark, lookback_days: int = 0) -> DataFrame:
-    """Rows after the mark.  A lookback loads the last days again, which a
-    later upsert makes harmless and without which late rows would be lost.
-    Rows without a date are taken every time; no mark means everything."""
+def newer_than(source: DataFrame, column: str, mark) -> DataFrame:
+    """Rows that arrived with or after the mark; a later upsert makes loading the
+    mark's own rows again harmless.  ``column`` says when a row arrived, never
+    what day it is about: late rows and corrections of old days arrive like any
+    other.  Rows without it are taken every time; no mark means everything."""
     if mark is None:
         return source
-    return source.filter(F.col(column).isNull() | (F.col(column) > F.date_sub(F.lit(mark), lookback_days)))
+    return source.filter(F.col(column).isNull() | (F.col(column) >= F.lit(mark)))

@@ -2,12 +2,15 @@
 
 Every stage ends in a written table and the next one reads it, so plans stay
 short and a failed stage is repeated without its predecessors.  The clean
-transactions of the quality stage are what staging reads.
+transactions of the quality stage are what staging reads.  What arrived, not
+its date, decides what is loaded: the arrived ids and the days they had or have
+drive the fact and the KPI tables.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,7 @@ from tellerframe.config import Rules
 from tellerframe.operators import score
 from tellerframe.operators.checks import run_checks, with_samples
 from tellerframe.operators.quarantine import quarantine
-from tellerframe.operators.upsert import high_water_mark, newer_than
+from tellerframe.operators.upsert import matching
 from tellerframe.plans import governance, kpi, marts, staging, suites
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import seeds
@@ -56,21 +59,36 @@ def validate(feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> tuple
         outcome = materialize(with_samples(run_checks(df, checks), df, checks), "checks")
         held_back = quarantined if name == "transactions_raw" else None
         report = suites.quality_report(name, clean if held_back is not None else df, outcome, rules, held_back)
-        exports.write_report(report, f"{layout.root}/quality_reports")
+        exports.write_report(report, f"{layout.root}/quality_reports", name, rules.as_of.isoformat())
         named = outcome.withColumn("dataset", F.lit(name))
         results = named if results is None else results.unionByName(named)
     return clean, score.dataset_scores(results, rules)
 
 
-def stage(feeds: dict[str, DataFrame], clean: DataFrame, layout: Layout, rules: Rules) -> dict[str, int]:
-    """Write the staging tables; rows per table."""
-    staged = {
-        "stg_customers": staging.stage_customers(feeds["customers_raw"], rules),
-        "stg_accounts": staging.stage_accounts(feeds["accounts_raw"], rules),
-        "stg_transactions": staging.stage_transactions(clean, rules, sparse=True),
-        "stg_credit": staging.stage_credit(feeds["credit_data_raw"], rules),
-    }
-    return tables.load_all(staged, f"{layout.root}/staging")
+def stage(feeds: dict[str, DataFrame], clean: DataFrame, layout: Layout, rules: Rules) -> DataFrame:
+    """Write the staging tables; returns the transactions that arrived, staged
+    and stored.  Transactions go by month, and only months they touch are
+    rewritten."""
+    root = f"{layout.root}/staging"
+    tables.load_all(
+        {
+            "stg_customers": staging.stage_customers(feeds["customers_raw"], rules),
+            "stg_accounts": staging.stage_accounts(feeds["accounts_raw"], rules),
+            "stg_credit": staging.stage_credit(feeds["credit_data_raw"], rules),
+        },
+        root,
+    )
+    staged = staging.stage_transactions(clean, rules, keep_version=True, sparse=True)
+    batch = materialize(tables.with_month(staged, "transaction_date"), "arrived")
+    path = layout.table("staging", "stg_transactions")
+    known = read_optional(clean.sparkSession, path, merge_schema=True)
+    if known is not None:
+        # an older extract that arrives after a newer one changes nothing
+        stored = matching(known, batch, ["transaction_id"], "left_semi").select(F.col("transaction_id").alias("_id"), F.col("extract_ts").alias("_stored"))
+        newer = F.col("_stored").isNull() | (F.col("extract_ts") >= F.col("_stored"))
+        batch = materialize(batch.join(stored, F.col("transaction_id") == F.col("_id"), "left").filter(newer).drop("_id", "_stored"), "arrived")
+    tables.load_table(batch, path, "upsert", ["transaction_id"], tables.MONTH, ("account_id",))
+    return batch
 
 
 def _replace(df: DataFrame, path: str) -> DataFrame:
@@ -79,43 +97,61 @@ def _replace(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def build_marts(spark: SparkSession, layout: Layout, rules: Rules) -> None:
-    """Dimensions with history, then the fact's touched months."""
+def build_marts(spark: SparkSession, arrived: DataFrame, layout: Layout, rules: Rules) -> DataFrame:
+    """Dimensions with history, then the fact's rows of the arrived
+    transactions, whatever their day.  Returns the days on which the fact had or
+    has rows of them."""
     customers_path, accounts_path = layout.table("marts", "dim_customer"), layout.table("marts", "dim_account")
     staged_customers, staged_accounts = (_stored(spark, layout, "staging", n) for n in ("stg_customers", "stg_accounts"))
     customers = _replace(marts.dim_customer(staged_customers, rules, read_optional(spark, customers_path)), customers_path)
     accounts = _replace(marts.dim_account(staged_accounts, customers, rules, read_optional(spark, accounts_path)), accounts_path)
-    dates = _replace(marts.dim_date(spark), layout.table("marts", "dim_date"))
+    first, last = _span(arrived)
+    known_dates = read_optional(spark, layout.table("marts", "dim_date"))
+    if known_dates is not None:
+        span = known_dates.agg(F.min("full_date"), F.max("full_date")).first()
+        first, last = min(first, span[0]), max(last, span[1])
+    dates = _replace(marts.dim_date(spark, first, last), layout.table("marts", "dim_date"))
     merchants = _replace(marts.dim_merchant(seeds.merchant_categories(spark), rules), layout.table("marts", "dim_merchant"))
     fact_path = layout.table("marts", "fact_transactions")
-    recent = _since_mark(_stored(spark, layout, "staging", "stg_transactions"), read_optional(spark, fact_path), "transaction_date", rules)
-    fact = marts.fact_transactions(recent, accounts, dates, merchants, rules)
-    tables.load_table(
-        tables.with_month(fact, "transaction_date"), fact_path, "upsert", ["transaction_id"], tables.MONTH, marts.FACT_CLUSTER
-    )
-
-
-def _since_mark(source: DataFrame, target: DataFrame | None, mark_column: str, rules: Rules) -> DataFrame:
-    """What an incremental load has to read: the days after the newest loaded
-    one and the lookback before it, as a literal filter that prunes files."""
-    mark = None if target is None else high_water_mark(target, mark_column)
-    return newer_than(source, "transaction_date", mark, rules.lookback_days)
-
-
-def build_kpis(spark: SparkSession, layout: Layout, rules: Rules) -> None:
-    """Recompute the days and whole months that can have changed."""
+    fact = marts.fact_transactions(arrived.drop(tables.MONTH), accounts, dates, merchants, rules)
+    batch = materialize(tables.with_month(fact, "transaction_date"), "fact-batch")
+    days = batch.select("transaction_date")
+    known = read_optional(spark, fact_path)
+    if known is not None:
+        days = days.unionByName(matching(known, arrived, ["transaction_id"], "left_semi").select("transaction_date"))
+    days = materialize(days.distinct(), "touched-days")
+    tables.load_table(batch, fact_path, "upsert", ["transaction_id"], tables.MONTH, marts.FACT_CLUSTER, keys=arrived)
+    return days
+
+
+def _span(arrived: DataFrame) -> tuple[date, date]:
+    """The calendar's fixed span, made wider where transactions lie outside."""
+    low, high = arrived.agg(F.min("transaction_date"), F.max("transaction_date")).first()
+    return min(marts.FIRST_DAY, low or marts.FIRST_DAY), max(marts.LAST_DAY, high or marts.LAST_DAY)
+
+
+def build_kpis(spark: SparkSession, days: DataFrame, layout: Layout, rules: Rules) -> None:
+    """Recompute the days and whole months that changed; a day or month without
+    rows any more goes."""
     fact = _stored(spark, layout, "marts", "fact_transactions")
     customers = _stored(spark, layout, "marts", "dim_customer")
     staged_accounts = _stored(spark, layout, "staging", "stg_accounts")
-    daily_path, monthly_path = (layout.table("metrics", n) for n in ("kpi_daily_summary", "kpi_customer_segment"))
+    months = tables.with_month(days, "transaction_date").select(tables.MONTH).distinct()
+    # as many as the calendar has months; a literal list prunes partitions
+    touched = fact.filter(tables.among(tables.MONTH, {row[0] for row in months.collect()}))
+
+    daily = kpi.daily_kpi(matching(touched, days, ["transaction_date"], "left_semi"), rules)
+    _exchange(daily, days.select(F.col("transaction_date").alias("summary_date")), layout.table("metrics", "kpi_daily_summary"))
+    segments = kpi.segment_kpi(touched, customers, staged_accounts, rules)
+    firsts = days.select(F.trunc("transaction_date", "month").alias("summary_date")).distinct()
+    _exchange(segments, firsts, layout.table("metrics", "kpi_customer_segment"))
+
 
-    recent = _since_mark(fact, read_optional(spark, daily_path), "summary_date", rules)
-    first_month = recent.agg(F.min(tables.MONTH)).first()[0]
-    tables.load_table(kpi.daily_kpi(recent, rules), daily_path, "upsert", ["summary_date"])
-    if first_month is not None:
-        months = fact.filter(F.col(tables.MONTH).isNull() | (F.col(tables.MONTH) >= first_month))
-        segments = kpi.segment_kpi(months, customers, staged_accounts, rules)
-        tables.load_table(segments, monthly_path, "upsert", ["summary_date", "customer_segment"])
+def _exchange(rows: DataFrame, days: DataFrame, path: str) -> None:
+    """Put ``rows`` in place of everything the small table holds for ``days``."""
+    known = read_optional(rows.sparkSession, path)
+    kept = rows if known is None else matching(known, days, ["summary_date"], "left_anti").unionByName(rows)
+    tables.replace_table(kept, path)
 
 
 def govern(spark: SparkSession, feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> None:
@@ -143,8 +179,8 @@ def run_day(spark: SparkSession, feeds: dict[str, DataFrame], root: str, rules:
     clean, scores = validate(feeds, layout, rules)
     if not score.may_proceed(scores, ["transactions_raw", "accounts_raw"], rules):
         raise QualityHalt(f"quality below {rules.halt_below_score}")
-    stage(feeds, clean, layout, rules)
-    build_marts(spark, layout, rules)
-    build_kpis(spark, layout, rules)
+    arrived = stage(feeds, clean, layout, rules)
+    days = build_marts(spark, arrived, layout, rules)
+    build_kpis(spark, days, layout, rules)
     govern(spark, feeds, layout, rules)
     return inventory({name: _stored(spark, layout, layer, name) for layer, names in LAYERS.items() for name in names})

@@ -43,9 +43,10 @@ def _finish(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def stage_customers(raw: DataFrame, rules: Rules) -> DataFrame:
-    """Dates, age, tenure, band, KYC default, province code; personal fields
-    masked outside production."""
-    typed = raw.filter(F.col("customer_id").isNotNull()).withColumns(
+    """The newest extract of each customer: dates, age, tenure, band, KYC default,
+    province code; personal fields masked outside production."""
+    single = dedup_latest(raw.filter(F.col("customer_id").isNotNull()), ["customer_id"], "_extract_ts")
+    typed = single.withColumns(
         {
             "join_date": parse_date(F.col("join_date")),
             "date_of_birth": parse_date(F.col("date_of_birth")),
@@ -63,10 +64,11 @@ def stage_customers(raw: DataFrame, rules: Rules) -> DataFrame:
 
 
 def stage_accounts(raw: DataFrame, rules: Rules, tiers: Bands = BALANCE_TIERS) -> DataFrame:
-    """Ages, dormancy, tier, overdraft; a missing available balance is the
-    current one."""
+    """The newest extract of each account: ages, dormancy, tier, overdraft; a
+    missing available balance is the current one."""
     balance = F.col("current_balance")
-    typed = raw.filter(F.col("account_id").isNotNull() & F.col("customer_id").isNotNull()).withColumns(
+    known = raw.filter(F.col("account_id").isNotNull() & F.col("customer_id").isNotNull())
+    typed = dedup_latest(known, ["account_id"], "_extract_ts").withColumns(
         {
             "open_date": parse_date(F.col("open_date")),
             "last_activity_date": parse_date(F.col("last_activity_date")),

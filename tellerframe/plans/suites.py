@@ -142,10 +142,10 @@ def model_checks(tables: dict[str, DataFrame]) -> dict[str, list[Check]]:
             allowed("status", TRANSACTION_STATUS),
         ],
         "dim_customer": [
-            not_null("customer_sk"), unique("customer_sk"), not_null("customer_id"), not_null("is_current"), not_null("effective_from"),
+            not_null("customer_sk"), unique("version_sk"), not_null("customer_id"), not_null("is_current"), not_null("effective_from"),
         ],
         "dim_account": [
-            not_null("account_sk"), unique("account_sk"), not_null("account_id"), not_null("customer_sk"),
+            not_null("account_sk"), unique("version_sk"), not_null("account_id"), not_null("customer_sk"),
             references("customer_sk", tables["dim_customer"]),
         ],
         "fact_transactions": [

@@ -221,13 +221,13 @@ FROM (VALUES ('Grocery', 'Food & Beverage', TRUE), ('Restaurant', 'Food & Bevera
 """
 
 DIM_CUSTOMER = f"""
-SELECT md5(customer_id || '-{AS_OF}') AS customer_sk, customer_id, customer_segment, kyc_status, province_code AS province,
+SELECT md5(customer_id) AS customer_sk, md5(customer_id || '-{AS_OF}') AS version_sk, customer_id, customer_segment, kyc_status, province_code AS province,
   age_band, tenure_years, is_active, '{AS_OF}' AS effective_from, CAST(NULL AS VARCHAR) AS effective_to, TRUE AS is_current
 FROM stg_customers
 """
 
 DIM_ACCOUNT = f"""
-SELECT md5(a.account_id || '-{AS_OF}') AS account_sk, a.account_id, c.customer_sk, account_type, account_status, currency,
+SELECT md5(a.account_id) AS account_sk, md5(a.account_id || '-{AS_OF}') AS version_sk, a.account_id, c.customer_sk, account_type, account_status, currency,
   balance_tier, branch_id, is_dormant, is_overdraft, open_date, '{AS_OF}' AS effective_from,
   CAST(NULL AS VARCHAR) AS effective_to, TRUE AS is_current
 FROM stg_accounts a LEFT JOIN dim_customer c ON c.customer_id = a.customer_id
@@ -244,18 +244,20 @@ LEFT JOIN dim_merchant m ON m.merchant_category = t.merchant_category_clean
 """
 
 
-REASONS = """
+def reasons(source: str) -> str:
+    return f"""
 SELECT t.*, concat_ws(';',
   CASE WHEN transaction_id IS NULL THEN 'not_null_transaction_id' END,
   CASE WHEN account_id IS NULL THEN 'not_null_account_id' END,
   CASE WHEN amount IS NULL THEN 'not_null_amount' END,
   CASE WHEN transaction_date IS NULL THEN 'not_null_transaction_date' END,
-  CASE WHEN _ingest_order > MIN(_ingest_order) OVER (PARTITION BY transaction_id) THEN 'unique_transaction_id' END,
+  CASE WHEN ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY _extract_ts DESC NULLS LAST, _ingest_order) > 1 THEN 'unique_transaction_id' END,
   CASE WHEN account_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM raw_accounts a WHERE a.account_id = t.account_id)
        THEN 'referential_integrity_account_id' END) AS reasons
-FROM raw_transactions t
+FROM {source} t
 """
 
+
 EDGES = """
 SELECT 'orders' AS source_dataset, CAST(o_orderkey AS VARCHAR) AS source_column, 'customer' AS target_dataset,
   CAST(o_custkey AS VARCHAR) AS target_column, 'orders to customer ' || CAST(o_custkey AS VARCHAR) AS transformation_rule,
@@ -271,21 +273,23 @@ UNION ALL SELECT 'nation', CAST(n_nationkey AS VARCHAR), 'region', CAST(n_region
 LOAD_DAYS = ("2020-01-01", "2023-01-01", "2026-01-01")
 
 SCD_CUSTOMER = f"""
-SELECT md5(customer_id || '-' || load_day) AS customer_sk, customer_id, customer_segment, kyc_status, province, age_band,
-  tenure_years, is_active, load_day AS effective_from,
+SELECT md5(customer_id) AS customer_sk, md5(customer_id || '-' || load_day) AS version_sk, customer_id, customer_segment, kyc_status,
+  province, age_band, tenure_last AS tenure_years, is_active, load_day AS effective_from,
   LEAD(load_day) OVER (PARTITION BY customer_id ORDER BY load_day) AS effective_to,
   LEAD(load_day) OVER (PARTITION BY customer_id ORDER BY load_day) IS NULL AS is_current
-FROM (SELECT *, LAG(print) OVER (PARTITION BY customer_id ORDER BY load_day) IS DISTINCT FROM print AS opens
+FROM (SELECT *, arg_max(tenure_years, load_day) OVER (PARTITION BY customer_id, version) AS tenure_last
+ FROM (SELECT *, COUNT(*) FILTER (WHERE opens) OVER (PARTITION BY customer_id ORDER BY load_day) AS version
+  FROM (SELECT *, LAG(print) OVER (PARTITION BY customer_id ORDER BY load_day) IS DISTINCT FROM print AS opens
       FROM (SELECT *, concat_ws('|', customer_segment, kyc_status, coalesce(province, '?'), coalesce(age_band, '?'),
                                 CAST(is_active AS VARCHAR)) AS print
             FROM ({' UNION ALL '.join(
                 f"SELECT '{d}' AS load_day, customer_id, customer_segment, kyc_status, province_code AS province, age_band, "
-                f"tenure_years, is_active FROM ({staged_customers(d, f"join_date <= '{d}'")})" for d in LOAD_DAYS)})))
+                f"tenure_years, is_active FROM ({staged_customers(d, f"join_date <= '{d}'")})" for d in LOAD_DAYS)})))))
 WHERE opens
 """
 
 SCD_ACCOUNT = f"""
-SELECT md5(account_id || '-' || load_day) AS account_sk, account_id, customer_sk, account_type, account_status, currency, balance_tier,
+SELECT md5(account_id) AS account_sk, md5(account_id || '-' || load_day) AS version_sk, account_id, customer_sk, account_type, account_status, currency, balance_tier,
   branch_id, is_dormant, is_overdraft, CAST(open_date AS VARCHAR) AS open_date, load_day AS effective_from,
   LEAD(load_day) OVER (PARTITION BY account_id ORDER BY load_day) AS effective_to,
   LEAD(load_day) OVER (PARTITION BY account_id ORDER BY load_day) IS NULL AS is_current
@@ -315,7 +319,7 @@ TABLES = {
     "dim_customer": DIM_CUSTOMER,
     "dim_account": DIM_ACCOUNT,
     "fact_transactions": fact("stg_transactions"),
-    "flagged": REASONS,
+    "flagged": reasons("raw_transactions"),
     "edges": EDGES,
     "scd_customer": SCD_CUSTOMER,
     "scd_account": SCD_ACCOUNT,

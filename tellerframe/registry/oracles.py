@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from tellerframe.registry.oracle_tables import (
     AS_OF,
+    DIM_ACCOUNT,
+    DIM_CUSTOMER,
     STAMP,
     cents,
     fact,
     half_up,
     mean_money,
     pct,
+    reasons,
+    staged_accounts,
+    staged_customers,
     staged_transactions,
     with_tables,
 )
@@ -17,7 +22,11 @@ from tellerframe.registry.oracle_tables import (
 ORACLES: dict[str, str] = {}
 
 
+BODIES: dict[str, str] = {}
+
+
 def add(name: str, body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> None:
+    BODIES[name] = body
     ORACLES[name] = with_tables(body, extra, recursive)
 
 
@@ -623,7 +632,7 @@ add(
 add(
     "dq_failures",
     """SELECT dataset, check_index, check_name, failed_count, failed_pct FROM checked WHERE NOT passed
-       ORDER BY dataset, check_index LIMIT 5""",
+       QUALIFY ROW_NUMBER() OVER (PARTITION BY dataset ORDER BY check_index) <= 5""",
     SCORES,
 )
 PROFILED = [*RAW_COLUMNS["raw_transactions"], "_extract_ts"]
@@ -742,11 +751,11 @@ MODEL_RULES = {
         nn("stg_transactions", "is_large_transaction"), alw("stg_transactions", "status", *STATUS),
     ],
     "dim_customer": [
-        nn("dim_customer", "customer_sk"), uq("dim_customer", "customer_sk"), nn("dim_customer", "customer_id"),
+        nn("dim_customer", "customer_sk"), uq("dim_customer", "version_sk"), nn("dim_customer", "customer_id"),
         nn("dim_customer", "is_current"), nn("dim_customer", "effective_from"),
     ],
     "dim_account": [
-        nn("dim_account", "account_sk"), uq("dim_account", "account_sk"), nn("dim_account", "account_id"),
+        nn("dim_account", "account_sk"), uq("dim_account", "version_sk"), nn("dim_account", "account_id"),
         nn("dim_account", "customer_sk"), ref("dim_account", "customer_sk", "dim_customer"),
     ],
     "fact_transactions": [
@@ -785,17 +794,17 @@ add(
 # ---- incremental loads -----------------------------------------------------
 
 MONTH_KEY = "CAST(year(transaction_date) * 100 + month(transaction_date) AS INTEGER) AS month_key"
+# every load ends in what a full rebuild gives
+add("incremental_fact", f"SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_transactions")
+add("incremental_correction", f"SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_transactions")
 add(
-    "incremental_fact",
-    f"""SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_old
-          WHERE transaction_date <= DATE '2025-12-31' AND transaction_date <= (SELECT day FROM mark)
-        UNION ALL SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_transactions
-          WHERE transaction_date IS NULL OR transaction_date > (SELECT day FROM mark)""",
+    "incremental_late",
+    f"SELECT {FACT_OUT}, {MONTH_KEY} FROM fact_late",
     {
-        "first_extract": "SELECT * FROM raw_transactions WHERE _extract_ts = '2026-08-02T00:00:00'",
-        "stg_old": staged_transactions("first_extract"),
-        "fact_old": fact("stg_old"),
-        "mark": "SELECT MAX(transaction_date) - 30 AS day FROM fact_old WHERE transaction_date <= DATE '2025-12-31'",
+        "raw_late": """SELECT * REPLACE (CASE WHEN transaction_id = 'TXN0000000007' THEN '2029-12-31' ELSE transaction_date END
+            AS transaction_date) FROM raw_transactions""",
+        "stg_late": staged_transactions("raw_late"),
+        "fact_late": fact("stg_late"),
     },
 )
 
@@ -828,7 +837,7 @@ add(
     {
         "walked": f"""SELECT source_dataset AS root_dataset, source_column AS root_column, 1 AS hop, {ENDS} FROM edges
             UNION ALL SELECT w.root_dataset, w.root_column, w.hop + 1, e.source_dataset, e.source_column, e.target_dataset, e.target_column
-            FROM walked w JOIN edges e ON e.source_dataset = w.target_dataset AND e.source_column = w.target_column WHERE w.hop < 10"""
+            FROM walked w JOIN edges e ON e.source_dataset = w.target_dataset AND e.source_column = w.target_column"""
     },
     True,
 )
@@ -954,3 +963,26 @@ add(
         "clean_fact": fact("stg_clean"),
     },
 )
+add(
+    "daily_run_fact",
+    f"SELECT * REPLACE ({double('amount_cad', 'signed_amount_cad')}, {text('transaction_date')}) FROM clean_fact",
+    {
+        "day_1": "SELECT * FROM raw_transactions WHERE _extract_ts = '2026-08-02T00:00:00'",
+        "day_2": "SELECT * FROM raw_transactions WHERE _extract_ts <> '2026-08-02T00:00:00'",
+        "flagged_1": reasons("day_1"),
+        "flagged_2": reasons("day_2"),
+        "clean": "SELECT * EXCLUDE (reasons) FROM flagged_1 WHERE reasons = '' UNION ALL SELECT * EXCLUDE (reasons) FROM flagged_2 WHERE reasons = ''",
+        "stg_clean": staged_transactions("clean"),
+        "clean_fact": fact("stg_clean"),
+    },
+)
+
+# ---- reports after history: the totals of the first load under the third load's attributes
+
+AFTER = {
+    "dim_customer": DIM_CUSTOMER.replace("FROM stg_customers", f"FROM ({staged_customers('2026-01-01')})"),
+    "dim_account": DIM_ACCOUNT.replace("FROM stg_accounts a", f"FROM ({staged_accounts('2026-01-01')}) a"),
+}
+for _name in ("q2_segment_analysis", "q5_large_register", "q7_lifetime_value"):
+    add(f"{_name[:2]}_after_history", BODIES[_name], AFTER)
+add("kpi_segment_after_history", BODIES["kpi_customer_segment"], AFTER)

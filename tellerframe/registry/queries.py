@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -527,6 +527,42 @@ def scd2_account(bank: Bank) -> DataFrame:
     return _histories(bank)[1]
 
 
+def _after_history(bank: Bank) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Facts loaded with the first dimensions; customers and accounts after the third load."""
+    customers = accounts = fact = None
+    for day in LOAD_DAYS:
+        rules = rules_at(day)
+        customers = materialize(marts.dim_customer(staging.stage_customers(bank.raw_customers, rules), rules, customers), "dim-customer")
+        accounts = materialize(marts.dim_account(staging.stage_accounts(bank.raw_accounts, rules), customers, rules, accounts), "dim-account")
+        if fact is None:
+            fact = materialize(marts.fact_transactions(bank.transactions, accounts, bank.dates, bank.merchants, rules), "fact")
+    return fact, customers, accounts
+
+
+@query
+def q2_after_history(bank: Bank) -> DataFrame:
+    fact, customers, _ = _after_history(bank)
+    return reports.segment_analysis(fact, customers)
+
+
+@query
+def q5_after_history(bank: Bank) -> DataFrame:
+    fact, customers, accounts = _after_history(bank)
+    return reports.large_transaction_register(fact, accounts, customers)
+
+
+@query
+def q7_after_history(bank: Bank) -> DataFrame:
+    fact, customers, _ = _after_history(bank)
+    return reports.lifetime_value(fact, customers)
+
+
+@query
+def kpi_segment_after_history(bank: Bank) -> DataFrame:
+    fact, customers, _ = _after_history(bank)
+    return kpi.segment_kpi(fact, customers, bank.accounts, bank.rules)
+
+
 @query
 def pit_segment(bank: Bank) -> DataFrame:
     """Volume by the segment and age band valid on the transaction day."""
@@ -558,22 +594,53 @@ def upsert_staging(bank: Bank) -> DataFrame:
     return upsert(target, staging.stage_transactions(later, bank.rules), ["transaction_id"])
 
 
-INCREMENT_FROM = date(2025, 12, 31)
+def _loaded_twice(bank: Bank, first: DataFrame, second: DataFrame) -> DataFrame:
+    """The fact after a first load and one of what arrived later, twice."""
+    path = fresh_path(bank.spark, "fact")
+    tables.write_by_month(bank.fact_of(staging.stage_transactions(first, bank.rules)), path, "transaction_date", marts.FACT_CLUSTER)
+    batch = tables.with_month(bank.fact_of(staging.stage_transactions(second, bank.rules)), "transaction_date")
+    arrived = materialize(second.select("transaction_id").distinct(), "arrived")
+    for _ in range(2):
+        tables.load_table(batch, path, "upsert", ["transaction_id"], tables.MONTH, marts.FACT_CLUSTER, keys=arrived)
+    return bank.spark.read.parquet(path)
 
 
 @query
 def incremental_fact(bank: Bank) -> DataFrame:
-    """A first load, then the increment behind its high-water mark with a
-    lookback, upserted into month partitions."""
-    path = fresh_path(bank.spark, "fact")
-    initial = staging.stage_transactions(_first_extract(bank), bank.rules).filter(F.col("transaction_date") <= F.lit(INCREMENT_FROM))
-    tables.write_by_month(bank.fact_of(initial), path, "transaction_date", marts.FACT_CLUSTER)
-    target = bank.spark.read.parquet(path)
-    mark = high_water_mark(target, "transaction_date")
-    increment = newer_than(bank.transactions, "transaction_date", mark, bank.rules.lookback_days)
-    batch = tables.with_month(bank.fact_of(increment), "transaction_date")
-    tables.load_table(batch, path, "upsert", ["transaction_id"], tables.MONTH, marts.FACT_CLUSTER)
-    return bank.spark.read.parquet(path)
+    """A first load, then what arrived from the newest loaded extract on, upserted
+    into month partitions."""
+    first = _first_extract(bank)
+    mark = high_water_mark(first, "_extract_ts")
+    return _loaded_twice(bank, first, newer_than(bank.raw_transactions, "_extract_ts", mark))
+
+
+# ours: transactions of every seventh account arrive last, whatever their day
+def _late() -> Column:
+    return F.pmod(F.substring("account_id", -6, 6).try_cast("int"), F.lit(7)) == 0
+
+
+@query
+def incremental_late(bank: Bank) -> DataFrame:
+    """Rows of all years, one of them far in the future, that arrive after newer days were loaded."""
+    late = F.coalesce(_late(), F.lit(False))
+    future = F.when(F.col("transaction_id") == "TXN0000000007", F.lit("2029-12-31")).otherwise(F.col("transaction_date"))
+    raw = bank.raw_transactions.withColumn("transaction_date", future)
+    return _loaded_twice(bank, raw.filter(~late), raw.filter(late))
+
+
+@query
+def incremental_correction(bank: Bank) -> DataFrame:
+    """The first load has every transaction of the late accounts 400 days before its day and with another
+    amount; the corrections move them to another month."""
+    late = F.coalesce(_late(), F.lit(False))
+    earlier = F.date_format(F.date_sub(F.col("transaction_date").try_cast("date"), 400), "yyyy-MM-dd")
+    wrong = bank.raw_transactions.withColumns(
+        {
+            "transaction_date": F.when(late, earlier).otherwise(F.col("transaction_date")),
+            "amount": F.when(late, F.lit(1).cast("decimal(18,2)")).otherwise(F.col("amount")),
+        }
+    )
+    return _loaded_twice(bank, wrong, bank.raw_transactions.filter(late))
 
 
 # ---- lineage ---------------------------------------------------------------
@@ -736,7 +803,7 @@ def io_report(bank: Bank) -> DataFrame:
     raw, checks = bank.raw_accounts, suites.account_checks(bank.raw_customers)
     results = materialize(check_engine.run_checks(raw, checks), "checks")
     report = suites.quality_report("accounts_raw", raw, results, bank.rules)
-    exports.write_report(report, path)
+    exports.write_report(report, path, "accounts_raw", bank.rules.as_of.isoformat())
     stored = bank.spark.read.schema(report.schema).json(path)
     return stored.select("dataset_name", "overall_score", F.explode("checks").alias("c")).select(
         "dataset_name", "overall_score", "c.check_name", "c.passed", "c.failed_count"
@@ -773,6 +840,25 @@ def stream_dedup(bank: Bank) -> DataFrame:
 # ---- all stages ------------------------------------------------------------
 
 
+def _two_days(bank: Bank) -> str:
+    """Two run days and a repeated one: the first extract, then the later one with customers changed."""
+    root = fresh_path(bank.spark, "run")
+    landed = {name: materialize(df, name) for name, df in bank.feeds.items()}
+    transactions = landed["transactions_raw"]
+    first = F.col("_extract_ts") == sample_feed.FIRST_EXTRACT
+    changed = F.when(F.col("customer_segment") == "Mass Market", "Affluent").otherwise("Mass Market")
+    customers = materialize(landed["customers_raw"].withColumn("customer_segment", changed), "customers")
+    days = [
+        (date(2026, 8, 1), transactions.filter(first), customers),
+        (bank.rules.as_of, transactions.filter(~first), landed["customers_raw"]),
+        (bank.rules.as_of, transactions.filter(~first), landed["customers_raw"]),
+    ]
+    for day, arrived, known in days:
+        feeds = {**landed, "transactions_raw": materialize(arrived, "day"), "customers_raw": known}
+        daily.run_day(bank.spark, feeds, root, rules_at(day))
+    return root
+
+
 @query
 def daily_run(bank: Bank) -> DataFrame:
     """Landed feeds to KPI tables in one go; the rows of every table written."""
@@ -780,4 +866,10 @@ def daily_run(bank: Bank) -> DataFrame:
     return daily.run_day(bank.spark, landed, fresh_path(bank.spark, "run"), bank.rules).select("dataset", "row_count")
 
 
+@query
+def daily_run_fact(bank: Bank) -> DataFrame:
+    """The fact after two run days, the second repeated."""
+    return bank.spark.read.parquet(f"{_two_days(bank)}/marts/fact_transactions").drop("_loaded_at", tables.MONTH)
+
+
 __all__ = ["QUERIES", "RULES"]

@@ -106,10 +106,12 @@ def load_table(
     pk: Sequence[str] = (),
     partition: str | None = None,
     cluster: Sequence[str] = (),
+    keys: DataFrame | None = None,
 ) -> int:
     """Write ``df`` to the table at ``path``, by ``partition`` and sorted by
     ``cluster`` if given; returns the rows given.  An empty frame changes
-    nothing."""
+    nothing.  ``keys``, for a partitioned upsert, are those that arrived: a
+    stored frame with ``pk``; rows of theirs that ``df`` has no more go."""
     if mode not in ("replace", "append", "upsert"):
         raise ValueError(f"unknown load mode {mode!r}")
     if mode == "upsert" and not pk:
@@ -127,8 +129,8 @@ def load_table(
     # the batch is written once; everything below reads that copy
     batch = materialize(df, "batch")
     rows = batch.count()
-    if rows and partition:
-        merge_partitions(target, batch, path, pk, partition, cluster=cluster)
+    if partition and (rows or keys is not None):
+        merge_partitions(target, batch, path, pk, partition, cluster=cluster, keys=keys)
     elif rows:
         replace_table(upsert(target, batch, pk), path)
     return rows
@@ -142,6 +144,7 @@ def merge_partitions(
     partition: str,
     version: str | None = None,
     cluster: Sequence[str] = (),
+    keys: DataFrame | None = None,
 ) -> None:
     """Upsert that rewrites only the partitions the batch touches.
 
@@ -149,18 +152,20 @@ def merge_partitions(
     files in when the job commits, and until then the old ones stay.
     ``batch`` is a stored table, as it is read more than once.
     """
-    before, after = touched_partitions(target, batch, pk, partition)
-    merged = upsert(target.filter(_among(partition, before | after)), batch, pk, version)
+    before, after = touched_partitions(target, batch, pk, partition, keys)
+    if not before | after:
+        return
+    merged = upsert(target.filter(among(partition, before | after)), batch, pk, version, keys)
     left = before - after
     if left:
         # rows moved away from here; a partition they leave empty gets no new files
-        left -= {row[0] for row in merged.filter(_among(partition, left)).select(partition).distinct().collect()}
+        left -= {row[0] for row in merged.filter(among(partition, left)).select(partition).distinct().collect()}
     overwrite_partitions(merged, path, partition, cluster)
     for value in left:
         delete_path(batch.sparkSession, f"{path}/{partition}={_HIVE_NULL if value is None else value}")
 
 
-def _among(column: str, values: set) -> Column:
+def among(column: str, values: set) -> Column:
     """``column`` in ``values``, null included; a literal list that prunes partitions."""
     inside = F.col(column).isin(*[v for v in values if v is not None])
     return inside | F.col(column).isNull() if None in values else inside

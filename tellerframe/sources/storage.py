@@ -55,18 +55,34 @@ def _hadoop(spark: SparkSession, path: str):
     return location, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}.replaced"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``.  What a broken-off replacement has
+    left aside is put back first."""
     location, files = _hadoop(spark, path)
-    return files.exists(location)
+    if files.exists(location):
+        return True
+    aside, _ = _hadoop(spark, _aside(path))
+    return files.exists(aside) and files.rename(aside, location)
 
 
 def rename_path(spark: SparkSession, old: str, new: str) -> None:
-    """Put ``old`` in the place of ``new``."""
+    """Put ``old`` in the place of ``new``.  What stood there is moved aside, not
+    deleted, until the new table is in place: a driver that dies between leaves
+    one of the two, which :func:`path_exists` finds."""
     source, files = _hadoop(spark, old)
     target, _ = _hadoop(spark, new)
-    files.delete(target, True)
+    aside, _ = _hadoop(spark, _aside(new))
+    if path_exists(spark, new):
+        files.delete(aside, True)
+        if not files.rename(target, aside):
+            raise RuntimeError(f"could not move {new} aside")
     if not files.rename(source, target):
         raise RuntimeError(f"could not rename {old} to {new}")
+    files.delete(aside, True)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

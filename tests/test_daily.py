@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tellerframe.plans import daily, governance
 from tellerframe.registry.bank import RULES, Bank
 from tellerframe.schemas import RAW_ACCOUNTS
-from tellerframe.sources.storage import fresh_path
+from tellerframe.sources.storage import fresh_path, materialize
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -32,6 +32,47 @@ def test_two_days(spark):
     assert spark.read.parquet(f"{root}/governance/data_catalog").count() == 4
 
 
+def test_newest_extract_and_late_rows(spark):
+    """The newest of repeated ids wins; late rows and moved days are in the fact; a repeated day doubles nothing."""
+    bank, root = Bank(spark, TABLES), fresh_path(spark, "days")
+    transactions = materialize(bank.raw_transactions, "transactions")
+    old = transactions.filter("transaction_date is not null and amount is not null and account_id is not null").orderBy("transaction_date").first()
+    feeds = {**bank.feeds, "transactions_raw": transactions.filter(F.col("transaction_id") != old.transaction_id)}
+    daily.run_day(spark, feeds, root, RULES)
+    fact = lambda: spark.read.parquet(f"{root}/marts/fact_transactions")
+    repeated = transactions.groupBy("transaction_id").agg(F.count("*").alias("n"), F.max("_extract_ts").alias("newest")).filter("n > 1")
+    stored = spark.read.parquet(f"{root}/staging/stg_transactions").join(repeated, "transaction_id").select("extract_ts", "newest").collect()
+    assert stored and all(r.extract_ts == r.newest for r in stored)
+
+    other = fact().filter(F.col("transaction_id") != old.transaction_id).orderBy("transaction_id").first()
+    moved = transactions.filter(F.col("transaction_id") == other.transaction_id).withColumns(
+        {"transaction_date": F.lit("2031-05-05"), "_extract_ts": F.lit("2026-08-04T00:00:00")}
+    )
+    late = transactions.filter(F.col("transaction_id") == old.transaction_id).unionByName(moved)
+    rest = transactions.filter(F.col("transaction_id") > "TXN0000000500").limit(200)
+    next_day = replace(RULES, as_of=date(2026, 8, 5))
+    counts = []
+    for _ in range(2):
+        daily.run_day(spark, {**bank.feeds, "transactions_raw": materialize(late.unionByName(rest), "late")}, root, next_day)
+        kpis = spark.read.parquet(f"{root}/metrics/kpi_daily_summary")
+        counts.append((fact().count(), kpis.agg(F.sum("transaction_count")).first()[0], spark.read.option("header", True).csv(f"{root}/quarantine").count()))
+    assert fact().filter(F.col("transaction_id") == old.transaction_id).count() == 1
+    assert [r.transaction_date for r in fact().filter(F.col("transaction_id") == other.transaction_id).collect()] == [date(2031, 5, 5)]
+    assert fact().filter("date_sk is null and transaction_date is not null").count() == 0
+    assert counts[0] == counts[1] and counts[0][0] == counts[0][1]
+
+
+def test_repeated_customers_do_not_multiply_facts(spark):
+    from tellerframe.plans import staging
+
+    bank = Bank(spark, TABLES)
+    raw = bank.raw_customers
+    bank.raw_customers = raw.unionByName(raw.withColumns({"_extract_ts": F.lit("2026-08-09"), "customer_segment": F.lit("Affluent")}))
+    bank.raw_accounts = bank.raw_accounts.unionByName(bank.raw_accounts)
+    assert bank.fact.count() == bank.fact.select("transaction_id").distinct().count() > 0
+    assert {r[0] for r in staging.stage_customers(bank.raw_customers, RULES).select("customer_segment").distinct().collect()} == {"Affluent"}
+
+
 def test_gate_halts(spark):
     bank, root = Bank(spark, TABLES), fresh_path(spark, "days")
     broken = {**bank.feeds, "transactions_raw": bank.raw_transactions.withColumn("account_id", F.lit(None).cast("string"))

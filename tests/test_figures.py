@@ -5,6 +5,7 @@ from __future__ import annotations
 import statistics
 from decimal import Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -45,6 +46,14 @@ def test_median_of_whole_table_and_of_nothing(spark):
     assert exact_median(df.limit(0), "v", ["g"]).isEmpty()
 
 
+def test_median_keeps_the_decimals_of_its_type(spark):
+    df = spark.createDataFrame([(Decimal("0.0049"),), (Decimal("0.0040"),)], "v decimal(6,4)")
+    assert exact_median(df, "v").first().median == Decimal("0.00445")
+    assert exact_median(spark.createDataFrame([(1,), (4,)], "v int"), "v").first().median == Decimal("2.5")
+    with pytest.raises(TypeError):
+        exact_median(df.select(df.v.cast("double").alias("v")), "v")
+
+
 def test_histogram_counts_everything_once(spark):
     values = [0, 1, 2, 2, 5, 9, 10, 11, 5000, None]
     df = spark.createDataFrame([(v,) for v in values], "v int")

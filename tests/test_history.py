@@ -36,8 +36,14 @@ def test_merge_keeps_closes_and_inserts(spark, rows):
 
 
 def test_keys_are_unique_per_version(spark):
-    keys = [r.sk for r in history(spark).collect()]
-    assert len(keys) == len(set(keys)) == 5
+    found = history(spark).collect()
+    assert len({r.version_sk for r in found}) == len(found) == 5
+    assert len({r.sk for r in found}) == len({(r.sk, r.id) for r in found}) == 4
+
+
+def test_untracked_columns_are_refreshed(spark):
+    current = {r.id: r for r in history(spark).filter("is_current").collect()}
+    assert (current["a"].tenure, current["a"].effective_from) == (2, D1) and current["c"].tenure == 1
 
 
 def test_same_load_twice_changes_nothing(spark, rows):

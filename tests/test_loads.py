@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tellerframe.operators.upsert import newer_than, upsert
 from tellerframe.schemas import RAW_TRANSACTIONS
 from tellerframe.sinks import exports, tables
-from tellerframe.sources import raw, seeds
+from tellerframe.sources import raw, seeds, storage
 from tellerframe.sources.storage import fresh_path, shared_folder
 
 
@@ -95,11 +95,43 @@ class TestLoads:
         merged = tables.append_evolving(frame(spark, ("b", 1), schema="id string, extra int"), path)
         assert rows(merged, "id", "extra") == [("a", None), ("b", 1)]
 
-    def test_high_water_mark(self, spark):
-        df = frame(spark, (date(2024, 1, 1),), (date(2024, 1, 9),), (date(2024, 1, 10),), (None,), schema="day date")
-        assert newer_than(df, "day", None).count() == 4
-        assert newer_than(df, "day", date(2024, 1, 9)).count() == 2
-        assert newer_than(df, "day", date(2024, 1, 9), lookback_days=2).count() == 3
+    def test_arrival_mark(self, spark):
+        df = frame(spark, (date(2024, 1, 1),), (date(2024, 1, 9),), (date(2024, 1, 10),), (None,), schema="arrived date")
+        assert newer_than(df, "arrived", None).count() == 4
+        assert newer_than(df, "arrived", date(2024, 1, 9)).count() == 3
+
+    def test_arrived_keys_without_rows_go(self, spark, path, rows):
+        load = lambda keys, *data: tables.load_table(frame(spark, *data), path, "upsert", ["id"], "month", keys=keys)
+        load(None, ("a", 1, 1), ("b", 1, 1), ("c", 2, 1))
+        load(frame(spark, ("b",), ("c",), schema="id string"), ("b", 1, 2))
+        assert rows(spark.read.parquet(path), "id", "v") == [("a", 1), ("b", 2)]
+
+    def test_a_broken_off_replacement_is_found_again(self, spark, path, rows, monkeypatch):
+        table = f"{path}/t"
+        tables.load_table(frame(spark, ("a", 1, 1)), table, "replace")
+        real = storage._hadoop
+
+        class Dies:
+            """A file system whose driver is lost before the new table is in place."""
+
+            def __init__(self, files):
+                self.files = files
+
+            def __getattr__(self, name):
+                return getattr(self.files, name)
+
+            def rename(self, source, target):
+                if ".new-" in source.toString():
+                    raise KeyboardInterrupt
+                return self.files.rename(source, target)
+
+        monkeypatch.setattr(storage, "_hadoop", lambda s, p: (real(s, p)[0], Dies(real(s, p)[1])))
+        with pytest.raises(KeyboardInterrupt):
+            tables.load_table(frame(spark, ("b", 1, 1)), table, "replace")
+        monkeypatch.undo()
+        assert rows(raw.read_optional(spark, table), "id") == [("a",)]
+        tables.load_table(frame(spark, ("b", 1, 1)), table, "replace")
+        assert rows(spark.read.parquet(table), "id") == [("b",)]
 
 
 class TestSources:
@@ -142,6 +174,7 @@ class TestSources:
 def test_quarantine_file_only_with_rows(spark, path):
     bad = frame(spark, ("a", ["r1", "r2"]), schema="id string, reasons array<string>")
     assert not exports.write_quarantine(bad.limit(0), path, "d", "2024-01-01")
-    assert raw.read_optional(spark, path) is None
-    assert exports.write_quarantine(bad, path, "d", "2024-01-01")
+    assert not storage.path_exists(spark, f"{path}/dataset=d/run_date=2024-01-01")
+    assert all(exports.write_quarantine(bad, path, "d", "2024-01-01") for _ in range(2))
+    assert spark.read.option("header", True).csv(path).count() == 1
     assert spark.read.option("header", True).csv(path).first().reasons == "r1;r2"

@@ -78,7 +78,6 @@ class TestTransactions:
         expected = rows(dedup_latest(raw, ["transaction_id"], "_extract_ts"))
         assert len(expected) == 52
         assert rows(dedup_sparse(raw, ["transaction_id"], "_extract_ts")) == expected
-        assert rows(dedup_sparse(raw, ["transaction_id"], "_extract_ts", limit=0)) == expected
 
     def test_bad_date_becomes_null(self, spark, rules):
         raw = transactions(spark, ("A", "ACC1", "Debit", 1, "CAD", None, "not a date", "t1"))
