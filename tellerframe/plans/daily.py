@@ -21,6 +21,7 @@ from tellerframe.operators.checks import run_checks, with_samples
 from tellerframe.operators.quarantine import quarantine
 from tellerframe.operators.upsert import matching
 from tellerframe.plans import governance, kpi, marts, staging, suites
+from tellerframe.schemas import RAW_FEEDS
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import seeds
 from tellerframe.sources.raw import inventory, read_optional
@@ -31,6 +32,17 @@ class QualityHalt(RuntimeError):
     """The quality gate stopped the run."""
 
 
+class SchemaDrift(RuntimeError):
+    """A feed lacks a declared column or has it with another type."""
+
+
+def check_schemas(feeds: dict[str, DataFrame]) -> None:
+    """Stop before anything is read from a feed that does not fit its schema."""
+    drifted = [name for name, df in feeds.items() if governance.has_drifted(df, RAW_FEEDS[name])]
+    if drifted:
+        raise SchemaDrift(f"feeds with another schema than declared: {', '.join(drifted)}")
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a run keeps its tables."""
@@ -51,6 +63,8 @@ def validate(feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> tuple
     rulesets = {
         "transactions_raw": (transactions, suites.transaction_checks(accounts, rules)),
         "accounts_raw": (accounts, suites.account_checks(customers)),
+        "customers_raw": (customers, suites.customer_checks()),
+        "credit_data_raw": (feeds["credit_data_raw"], suites.credit_checks(customers)),
     }
     clean, quarantined = quarantine(transactions, rulesets["transactions_raw"][1])
     exports.write_quarantine(quarantined, f"{layout.root}/quarantine", "transactions_raw", rules.as_of.isoformat())
@@ -58,7 +72,7 @@ def validate(feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> tuple
     for name, (df, checks) in rulesets.items():
         outcome = materialize(with_samples(run_checks(df, checks), df, checks), "checks")
         held_back = quarantined if name == "transactions_raw" else None
-        report = suites.quality_report(name, clean if held_back is not None else df, outcome, rules, held_back)
+        report = suites.quality_report(name, clean if held_back is not None else df, outcome, rules, held_back, approximate=True)
         exports.write_report(report, f"{layout.root}/quality_reports", name, rules.as_of.isoformat())
         named = outcome.withColumn("dataset", F.lit(name))
         results = named if results is None else results.unionByName(named)
@@ -154,6 +168,17 @@ def _exchange(rows: DataFrame, days: DataFrame, path: str) -> None:
     tables.replace_table(kept, path)
 
 
+def test_models(spark: SparkSession, feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> DataFrame:
+    """Run the tests of feeds and models on the written tables; the results of
+    a run day replace those of an earlier run of that day."""
+    written = {**feeds, **{n: _stored(spark, layout, layer, n) for layer, names in LAYERS.items() for n in names}}
+    tests = suites.model_checks(written)
+    results = suites.checked({name: (written[name], checks) for name, checks in tests.items()})
+    path = f"{layout.table('governance', 'model_tests')}/run_date={rules.as_of.isoformat()}"
+    results.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def govern(spark: SparkSession, feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> None:
     edges = seeds.lineage_edges(spark)
     exports.write_lineage_json(edges, f"{layout.root}/governance/lineage_json", rules.run_at)
@@ -176,11 +201,13 @@ def run_day(spark: SparkSession, feeds: dict[str, DataFrame], root: str, rules:
     ``feeds`` are landed tables: most stages read them more than once.
     """
     layout = Layout(root)
+    check_schemas(feeds)
     clean, scores = validate(feeds, layout, rules)
     if not score.may_proceed(scores, ["transactions_raw", "accounts_raw"], rules):
         raise QualityHalt(f"quality below {rules.halt_below_score}")
     arrived = stage(feeds, clean, layout, rules)
     days = build_marts(spark, arrived, layout, rules)
     build_kpis(spark, days, layout, rules)
+    test_models(spark, feeds, layout, rules)
     govern(spark, feeds, layout, rules)
     return inventory({name: _stored(spark, layout, layer, name) for layer, names in LAYERS.items() for name in names})

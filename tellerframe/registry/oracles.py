@@ -921,8 +921,9 @@ add(
     "io_load_all",
     """SELECT 'stg_customers' AS dataset, 'loaded' AS status, COUNT(*) AS row_count FROM stg_customers
        UNION ALL SELECT 'stg_accounts', 'loaded', COUNT(*) FROM stg_accounts
-       UNION ALL SELECT 'stg_transactions', 'skipped', NULL
-       UNION ALL SELECT 'stg_credit', 'skipped', NULL""",
+       UNION ALL SELECT 'stg_transactions', 'loaded', COUNT(*) FROM stg_transactions
+       UNION ALL SELECT 'stg_credit', 'loaded', COUNT(*) FROM stg_credit
+       UNION ALL SELECT 'stg_absent', 'skipped', NULL""",
 )
 add(
     "io_quarantine",

@@ -61,13 +61,14 @@ class Load:
     dataset: str
     mode: str
     pk: tuple[str, ...]
+    day: str | None = None  # the table goes by the months of this column
 
 
 # Appending transactions would store a re-run twice; they are upserted.
 STANDARD_LOADS = (
     Load("stg_customers", "replace", ("customer_id",)),
     Load("stg_accounts", "replace", ("account_id",)),
-    Load("stg_transactions", "upsert", ("transaction_id",)),
+    Load("stg_transactions", "upsert", ("transaction_id",), "transaction_date"),
     Load("stg_credit", "replace", ("loan_id",)),
 )
 
@@ -173,11 +174,13 @@ def among(column: str, values: set) -> Column:
 
 def load_all(datasets: dict[str, DataFrame], root: str, loads: Sequence[Load] = STANDARD_LOADS) -> dict[str, int]:
     """Load every dataset present by its own mode; rows per dataset."""
-    return {
-        load.dataset: load_table(datasets[load.dataset], f"{root}/{load.dataset}", load.mode, load.pk)
-        for load in loads
-        if load.dataset in datasets
-    }
+    return {load.dataset: _load(load, datasets[load.dataset], f"{root}/{load.dataset}") for load in loads if load.dataset in datasets}
+
+
+def _load(load: Load, df: DataFrame, path: str) -> int:
+    if load.day is None:
+        return load_table(df, path, load.mode, load.pk)
+    return load_table(with_month(df, load.day), path, load.mode, load.pk, MONTH, load.pk)
 
 
 def append_evolving(df: DataFrame, path: str) -> DataFrame:

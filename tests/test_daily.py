@@ -28,7 +28,9 @@ def test_two_days(spark):
     versions = customers.filter("customer_id = 'CUST0000007'").orderBy("effective_from").collect()
     assert [(v.is_current, v.effective_to) for v in versions] == [(False, date(2026, 8, 3)), (True, None)]
     assert customers.filter("is_current").count() == first["dim_customer"]
-    assert spark.read.json(f"{root}/quality_reports").count() == 4
+    assert spark.read.json(f"{root}/quality_reports").count() == 8
+    tested = spark.read.parquet(f"{root}/governance/model_tests")
+    assert tested.select("run_date").distinct().count() == 2 and tested.filter("dataset = 'fact_transactions' and not passed and check_name like 'unique%'").isEmpty()
     assert spark.read.parquet(f"{root}/governance/data_catalog").count() == 4
 
 
@@ -73,6 +75,13 @@ def test_repeated_customers_do_not_multiply_facts(spark):
     assert {r[0] for r in staging.stage_customers(bank.raw_customers, RULES).select("customer_segment").distinct().collect()} == {"Affluent"}
 
 
+def test_drifted_feed_halts(spark):
+    bank, root = Bank(spark, TABLES), fresh_path(spark, "days")
+    with pytest.raises(daily.SchemaDrift, match="accounts_raw"):
+        daily.run_day(spark, {**bank.feeds, "accounts_raw": bank.raw_accounts.drop("branch_id")}, root, RULES)
+    assert daily.read_optional(spark, f"{root}/staging/stg_accounts") is None
+
+
 def test_gate_halts(spark):
     bank, root = Bank(spark, TABLES), fresh_path(spark, "days")
     broken = {**bank.feeds, "transactions_raw": bank.raw_transactions.withColumn("account_id", F.lit(None).cast("string"))
