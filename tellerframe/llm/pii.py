@@ -145,22 +145,30 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     apart = ~F.exists("spans", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start")))
     beside = materialize(beside.where(apart).select("doc_id", "text_key", "entity", "t.term", "t.start", "t.end").distinct(), "pii-terms")
 
+    texts = F.lit(found.select("text_key").distinct().count()).cast("long")
+
+    def share(n_term: Column) -> Column:
+        # An entity that every text holds has no information to disclose: the share is null.
+        together = texts * F.col("n_both") / (F.col("n_entity") * n_term)
+        return F.try_divide(F.ln(together), F.ln(texts / F.col("n_entity")))
+
     together = beside.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("n_both")).where(F.col("n_both") >= MIN_SUPPORT)
-    together = materialize(together, "pii-pairs")
+    # A term is in all the texts at least in which it stands beside some entity; a term that discloses too little
+    # even if it is in no other text need not be looked for in the corpus.
+    least = beside.groupBy("term").agg(F.count_distinct("text_key").alias("n_beside"))
+    entities = found.select("text_key", F.explode("spans.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    pairs = together.join(least, "term").join(entities, "entity").where(share(F.col("n_beside")) >= GENERALISE)
+    pairs = materialize(pairs.drop("n_beside"), "pii-pairs")
     # Texts of every candidate term, over all documents.
-    wanted = together.select("term").distinct()
+    wanted = pairs.select("term").distinct()
     letters = F.array_distinct(F.transform(words_column(F.lower(F.col("text"))), lambda w: F.regexp_replace(w, r"^\P{L}+|\P{L}+$", "")))
     if wanted.isEmpty():
-        texts, terms = F.lit(0).cast("long"), wanted.withColumn("n_term", F.lit(0).cast("long"))
+        terms = wanted.withColumn("n_term", F.lit(0).cast("long"))
     else:
         terms = docs.select(F.xxhash64("text").alias("text_key"), F.explode(letters).alias("term")).join(wanted, "term", "left_semi")
         terms = terms.distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-        texts = F.lit(found.select("text_key").distinct().count()).cast("long")
-    entities = found.select("text_key", F.explode("spans.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = together.join(terms, "term").join(entities, "entity")
-    # An entity that every text holds has no information to disclose: the share is null.
-    information = F.try_divide(F.ln(texts * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))), F.ln(texts / F.col("n_entity")))
-    flagged = pairs.withColumn("share", information).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
+    scored = pairs.join(terms, "term").withColumn("share", share(F.col("n_term")))
+    flagged = scored.where(F.col("share") >= GENERALISE).select("entity", "term", "share")
     spans = beside.join(flagged, ["entity", "term"])
     return spans.groupBy("doc_id", "text_key", "start", "end").agg((F.max("share") >= REMOVE).alias("removed"))
 
