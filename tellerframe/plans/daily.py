@@ -25,7 +25,7 @@ from tellerframe.schemas import RAW_FEEDS
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import seeds
 from tellerframe.sources.raw import inventory, read_optional
-from tellerframe.sources.storage import materialize
+from tellerframe.sources.storage import materialize, working
 
 
 class QualityHalt(RuntimeError):
@@ -202,12 +202,13 @@ def run_day(spark: SparkSession, feeds: dict[str, DataFrame], root: str, rules:
     """
     layout = Layout(root)
     check_schemas(feeds)
-    clean, scores = validate(feeds, layout, rules)
-    if not score.may_proceed(scores, ["transactions_raw", "accounts_raw"], rules):
-        raise QualityHalt(f"quality below {rules.halt_below_score}")
-    arrived = stage(feeds, clean, layout, rules)
-    days = build_marts(spark, arrived, layout, rules)
-    build_kpis(spark, days, layout, rules)
-    test_models(spark, feeds, layout, rules)
-    govern(spark, feeds, layout, rules)
+    with working(spark):
+        clean, scores = validate(feeds, layout, rules)
+        if not score.may_proceed(scores, ["transactions_raw", "accounts_raw"], rules):
+            raise QualityHalt(f"quality below {rules.halt_below_score}")
+        arrived = stage(feeds, clean, layout, rules)
+        days = build_marts(spark, arrived, layout, rules)
+        build_kpis(spark, days, layout, rules)
+        test_models(spark, feeds, layout, rules)
+        govern(spark, feeds, layout, rules)
     return inventory({name: _stored(spark, layout, layer, name) for layer, names in LAYERS.items() for name in names})

@@ -900,6 +900,11 @@ add(
 # ---- sources and sinks -----------------------------------------------------
 
 add("io_csv", "SELECT * EXCLUDE (_ingest_order) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM raw_transactions")
+add(
+    "io_corrupt_rows",
+    """SELECT 'kept' AS status, COUNT(*) FILTER (WHERE transaction_id IS NULL OR transaction_id NOT LIKE '%7') AS n FROM raw_transactions
+       UNION ALL SELECT 'corrupt', COUNT(*) FILTER (WHERE transaction_id LIKE '%7') FROM raw_transactions""",
+)
 add("io_named_source", "SELECT account_status, COUNT(*) AS n FROM raw_accounts GROUP BY account_status")
 add(
     "io_partitioned",

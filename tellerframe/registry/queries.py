@@ -24,7 +24,7 @@ from tellerframe.registry.bank import RULES, Bank, rules_at
 from tellerframe.schemas import RAW_ACCOUNTS, RAW_TRANSACTIONS, fields
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import sample_feed
-from tellerframe.sources.raw import inventory, optional_inventory, read_optional, read_raw_csv, register_raw
+from tellerframe.sources.raw import CORRUPT, inventory, land_csv, optional_inventory, read_optional, read_raw_csv, register_raw
 from tellerframe.sources.seeds import literal_table
 from tellerframe.sources.storage import fresh_path, materialize
 from tellerframe.streaming import ingest
@@ -727,6 +727,17 @@ def io_csv(bank: Bank) -> DataFrame:
     return read_raw_csv(bank.spark, path, RAW_TRANSACTIONS)
 
 
+@query
+def io_corrupt_rows(bank: Bank) -> DataFrame:
+    """A landing file in which every tenth amount is no number: rows kept and rows set aside, by status."""
+    path = fresh_path(bank.spark, "landing")
+    broken = F.when(F.col("transaction_id").endswith("7"), "n/a").otherwise(F.col("amount").cast("string"))
+    tables.write_landing_csv(bank.raw_transactions.drop("_ingest_order").withColumn("amount", broken), path)
+    good, corrupt = land_csv(bank.spark, path, RAW_TRANSACTIONS)
+    kept = good.agg(F.lit("kept").alias("status"), F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(corrupt.agg(F.lit("corrupt").alias("status"), F.count_if(F.col(CORRUPT).contains("n/a")).alias("n")))
+
+
 @query
 def io_parquet(bank: Bank) -> DataFrame:
     path = fresh_path(bank.spark, "staged")

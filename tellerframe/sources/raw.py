@@ -26,6 +26,13 @@ def read_feed_csv(spark: SparkSession, folder: str, feed: str) -> DataFrame:
     return read_raw_csv(spark, f"{folder}/{feed}.csv", RAW_FEEDS[feed])
 
 
+def land_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, text of those that do not) of a landing file,
+    from one written copy: no row turns into nulls unseen."""
+    landed = materialize(read_raw_csv(spark, path, schema, keep_corrupt=True), "landed")
+    return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), landed.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 

@@ -9,10 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_WORKING: ContextVar[str | None] = ContextVar("working folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,13 +33,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written to yet, inside this application's folder."""
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_WORKING.get() or _own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/tellerframe/{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def working(spark: SparkSession) -> Iterator[None]:
+    """Working tables written inside go to a folder of their own, which is
+    deleted at the end: frames that read them must not leave the block."""
+    folder = fresh_path(spark, "work")
+    before = _WORKING.set(folder)
+    try:
+        yield
+    finally:
+        _WORKING.reset(before)
+        delete_path(spark, folder)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the working tables of this application.  Frames that read them
     are of no use afterwards, so call it last."""

@@ -10,7 +10,7 @@ from tellerframe.config import Rules
 from tellerframe.plans.staging import stage_transactions
 from tellerframe.sinks.tables import MONTH, merge_partitions, overwrite_partitions, with_month
 from tellerframe.sources.raw import read_optional
-from tellerframe.sources.storage import materialize
+from tellerframe.sources.storage import materialize, working
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -28,13 +28,15 @@ def merge_batch(batch: DataFrame, path: str, rules: Rules) -> None:
     batch that is run again after a failure changes nothing.  Only the months
     the batch touches are rewritten.
     """
-    staged = with_month(stage_transactions(batch, rules, keep_version=True), "transaction_date")
-    staged = materialize(staged, "stream-batch")
-    target = read_optional(batch.sparkSession, path, merge_schema=True)
-    if target is None:
-        overwrite_partitions(staged, path, MONTH)
-    else:
-        merge_partitions(target, staged, path, ["transaction_id"], MONTH, version="extract_ts")
+    spark = batch.sparkSession
+    with working(spark):
+        staged = with_month(stage_transactions(batch, rules, keep_version=True), "transaction_date")
+        staged = materialize(staged, "stream-batch")
+        target = read_optional(spark, path, merge_schema=True)
+        if target is None:
+            overwrite_partitions(staged, path, MONTH)
+        else:
+            merge_partitions(target, staged, path, ["transaction_id"], MONTH, version="extract_ts")
 
 
 def ingest(raw: DataFrame, path: str, checkpoint: str, rules: Rules) -> StreamingQuery:
