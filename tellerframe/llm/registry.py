@@ -160,10 +160,6 @@ FROM c JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item_shingles
 """
 
 ORACLES: dict[str, str] = {
-    "op5_decontamination": decontamination,
-    "op6_mixing": mixing,
-    "op7_language_id": language_id,
-    "op5_decontamination": decontamination,
     "op5_decontamination": DECONTAMINATION,
     "op6_mixing": MIXING,
     "op8_lm_scoring": LM_SCORING,

@@ -71,3 +71,4 @@ def test_queries(spark, name):
 def test_all_ten_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
     assert numbers == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert all(isinstance(sql, str) for sql in contract.oracle_sql().values())
