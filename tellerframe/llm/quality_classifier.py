@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .shipping import ship
-from .words import SPACES, read_words, window_hashes, windows
+from .words import SPACES, buffers, pieces, read_words, window_hashes, windows
 
 DIMENSIONS = 1 << 18
 MAX_ROWS = 20_000
@@ -110,12 +110,16 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float], column: str = "scor
 
     def scored(batches):
         for batch in batches:
-            buckets, counts = features(batch.column(names.index("text")))
-            total = np.zeros(len(buckets) + 1)
-            np.cumsum(weights[buckets], out=total[1:], dtype=np.float64)
-            ends = np.cumsum(counts)
-            value = (total[ends] - total[ends - counts]) / np.sqrt(np.maximum(counts, 1)) + bias
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(value, -35, 35))))], names=[*names, column])
+            texts = batch.column(names.index("text")).cast(pa.large_string()).fill_null("")
+            values = np.full(batch.num_rows, bias)
+            # about 1 MB of text at a time, whatever the size of a batch
+            for a, b in pieces(buffers(texts)[1]):
+                buckets, counts = features(texts.slice(a, b - a))
+                total = np.zeros(len(buckets) + 1)
+                np.cumsum(weights[buckets], out=total[1:], dtype=np.float64)
+                ends = np.cumsum(counts)
+                values[a:b] += (total[ends] - total[ends - counts]) / np.sqrt(np.maximum(counts, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(values, -35, 35))))], names=[*names, column])
 
     schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
     return docs.mapInArrow(scored, schema)
