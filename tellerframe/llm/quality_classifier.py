@@ -46,12 +46,12 @@ def features(texts) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_shard(texts, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias after EPOCHS passes, one update for each document."""
-    buckets, counts = features(texts)
-    ends = np.cumsum(counts)
     documents = []
-    for end, n in zip(ends, counts):
-        own, times = np.unique(buckets[end - n : end], return_counts=True)
-        documents.append((own, times / np.sqrt(max(1, n))))
+    for a, b in pieces(buffers(texts)[1]):
+        buckets, counts = features(texts.slice(a, b - a))
+        for end, n in zip(np.cumsum(counts), counts):
+            own, times = np.unique(buckets[end - n : end], return_counts=True)
+            documents.append((own, times / np.sqrt(max(1, n))))
     z, n = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
     bias_z = bias_n = 0.0
     for _ in range(EPOCHS):
