@@ -1,17 +1,19 @@
-"""Sparse suffix arrays: passages that occur more than once.
+"""Passages that occur more than once, found at minimisers and decided for whole runs of min_words words.
 
-Only suffixes that begin at a minimiser are kept: the run of GRAM words with the smallest hash among WINDOW
-neighbouring ones, so that equal passages keep equal suffixes.  Suffixes whose first HEAD words occur
-elsewhere are sorted by what follows the head, and again by what stands before it; neighbours are compared,
-and each pair of neighbours is extended left and right, word by word, to the passage that both places share.  Every passage of WINDOW + HEAD - 1 words holds such a
-suffix with its whole head, so one of 50 words always has neighbours.
+Minimisers are the runs of GRAM words with the smallest hash among WINDOW neighbouring ones, so that equal
+passages have equal minimisers.  A run of min_words words is a candidate if the HEAD words at its first and at its
+last minimiser both occur again somewhere; only candidates are asked for in the whole corpus.  The holder of a
+run's hash knows every block that has it and names the smallest place, so no passage depends on which neighbour
+it happens to meet: two places that share min_words words are found whatever else shares a part of them.
 
-Neighbours are found twice: in each block of documents first, then between blocks, where each block has one
-suffix for each head.  A passage that a third of all documents share is therefore sorted once for each
-block, and the pairs stay as many as the suffixes.
+A block asks for each of its runs once, and pairs the places of a run that it holds more than once with the one
+before.  A passage that a third of all documents share is therefore asked for once for each block, and the pairs
+stay as many as the repeated runs.  Pairs on one diagonal become chains, which are extended left and right, word
+by word, to the passage that both places share.
 
 * Rows that share a doc_id are documents of their own; rows equal in doc_id and text too.
 * A null doc_id is a document without a number.  Null, empty and short texts have no passages.
+* Runs are decided by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
@@ -27,63 +28,78 @@ from . import blocks as B
 from .words import Words, read_words, window_hashes, windows
 
 GRAM, WINDOW, HEAD = 8, 24, 24
-REACH = WINDOW + HEAD  # words looked at beyond each end of a chain of suffixes
-_SUFFIXES = "head bigint, after_1 bigint, after_2 bigint, before_1 bigint, before_2 bigint, doc_id bigint, copy int, place bigint, mate_id bigint, mate_copy int, mate_place bigint"
-_ENDS = "chain bigint, side int, left_words binary, right_words binary"
+REACH = WINDOW + HEAD  # words looked at beyond each end of a chain
+_BLOCK_BITS = 36  # a place is a word of a block: block << _BLOCK_BITS | word
+_CHAINS = "block int, first bigint, last bigint, mate_block int, mate_first bigint, mate_last bigint"
+_ENDS = "chain bigint, side int, doc_id bigint, place bigint, n bigint, left_words binary, right_words binary"
 PASSAGES = "doc_id bigint, start bigint, other_doc_id bigint, other_start bigint, n_words bigint"
 
 
 def minimisers(found: Words) -> np.ndarray:
-    """Words at which the kept suffixes begin, of those that have HEAD words."""
-    at = windows(found, GRAM)
-    if not len(at):
-        return at
+    """The minimiser of the WINDOW runs of GRAM words that begin at each word, where a text has as many."""
     values = np.full(len(found.hash), np.iinfo(np.uint64).max)
+    at = windows(found, GRAM)
     values[at] = window_hashes(found, GRAM, at)
-    spans = windows(found, GRAM + WINDOW - 1)
-    if not len(spans):
-        return spans
     # The least of each run of WINDOW values by doubling, and where its leftmost one stands.
     best, place, have = values, np.arange(len(values)), 1
     while have < WINDOW:
         step = min(have, WINDOW - have)
-        size = len(best) - step
+        size = max(0, len(best) - step)
         other = best[step:] < best[:size]
         best, place = np.where(other, best[step:], best[:size]), np.where(other, place[step:], place[:size])
         have += step
-    chosen = np.zeros(len(values), bool)
-    chosen[place[spans]] = True
+    return place
+
+
+def _heads(found: Words, place: np.ndarray) -> np.ndarray:
+    """Minimisers that have HEAD words."""
+    chosen = np.zeros(len(found.hash), bool)
+    chosen[place[windows(found, GRAM + WINDOW - 1)]] = True
     return np.flatnonzero(chosen & (found.left() >= HEAD))
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """Pairs of places (doc_id, start) and (other_doc_id, other_start), counted in words from 0, that share
-    n_words words; the other place is that of the smaller doc_id, or of the smaller start.  A passage is
-    extended to the first differing word, or REACH words beyond the outermost suffix that has this
-    neighbour; where the neighbour changes within a passage, its parts are pairs of their own."""
+    n_words words; the other place is that of the smaller doc_id, or of the smaller start.  Every run of
+    min_words words that occurs again lies in a pair.  A passage is extended to the first differing word, or
+    REACH words beyond the outermost run that has this partner; where the partner changes within a passage,
+    its parts are pairs of their own."""
     if min_words < WINDOW + HEAD - 1:
-        raise ValueError(f"passages of {WINDOW + HEAD - 1} words are the shortest that always hold a kept suffix")
+        raise ValueError(f"passages of {WINDOW + HEAD - 1} words are the shortest that always hold a minimiser's head")
     dealt = B.deal(docs)
     n_ranges, bits = dealt.n_ranges, dealt.coarse_bits
 
     def heads(block: int, own: pa.Table) -> list[tuple]:
         found = read_words(own.column("text"))
-        return B.questions(block, np.unique(B.coarse(window_hashes(found, HEAD, minimisers(found)), bits)), n_ranges)
+        at = _heads(found, minimisers(found))
+        return B.questions(block, np.unique(B.coarse(window_hashes(found, HEAD, at), bits)), n_ranges)
+
+    def runs(block: int, own: pa.Table, replies: pa.Table) -> pa.Table:
+        found = read_words(own.column("text"))
+        at = _candidates(found, B.answers(replies), bits, min_words)
+        if not len(at):
+            return B.asked([])
+        keys, first = np.unique(window_hashes(found, min_words, at), return_index=True)
+        return B.asked([*B.questions(block, keys, n_ranges, (block << _BLOCK_BITS) + at[first]), B.carry(block, at)])
 
-    def suffixes(block: int, own: pa.Table, replies: pa.Table) -> pa.Table:
-        return _suffixes(own, B.answers(replies), bits)
+    def chains(block: int, own: pa.Table, replies: pa.Table) -> pa.Table:
+        return _chains(block, own, replies, min_words)
 
     told = B.answer(B.ask(dealt, heads), _elsewhere)
-    kept = materialize(B.tell(dealt, told, suffixes, _SUFFIXES), "suffixes")
-    chains = materialize(_chains(kept), "chains")
+    places = B.answer(B.tell(dealt, told, runs, B.ASKED), _smallest)
+    pairs = materialize(B.tell(dealt, places, chains, _CHAINS), "chains").withColumn("chain", F.xxhash64("block", "first", "mate_block", "mate_first"))
     both = [
-        chains.select(F.pmod(F.xxhash64(f"{p}doc_id"), F.lit(n_ranges)).cast("int").alias("block"), "chain", F.lit(s).alias("side"),
-                      F.col(f"{p}doc_id").alias("doc_id"), F.col(f"{p}copy").alias("copy"), F.col(f"{p}first").alias("first"), F.col(f"{p}last").alias("last"))
+        pairs.select(F.col(f"{p}block").alias("block"), "chain", F.lit(s).alias("side"), F.col(f"{p}first").alias("first"), F.col(f"{p}last").alias("last"))
         for s, p in enumerate(("", "mate_"))
-    ]
-    ends = B.tell(dealt, both[0].unionByName(both[1]), lambda _, own, asked: _ends(own, asked), _ENDS)
-    one, two = (ends.where(F.col("side") == s).select("chain", *(F.col(c).alias(f"{c}_{s}") for c in ("left_words", "right_words"))) for s in (0, 1))
-    extended = chains.join(one, "chain").join(two, "chain")
+    ]
+    ends = B.tell(dealt, both[0].unionByName(both[1]), lambda _, own, asked: _ends(own, asked, min_words), _ENDS)
+    one, two = (
+        ends.where(F.col("side") == s).select("chain", F.struct("doc_id", "place").alias(f"at_{s}"), "n", *(F.col(c).alias(f"{c}_{s}") for c in ("left_words", "right_words")))
+        for s in (0, 1)
+    )
+    # The place of the larger doc_id, or the later one of a document, comes first.
+    extended = one.join(two.drop("n"), "chain").withColumns({"x": F.greatest("at_0", "at_1"), "y": F.least("at_0", "at_1")})
+    extended = extended.select("x.doc_id", "x.place", F.col("y.doc_id").alias("mate_id"), F.col("y.place").alias("mate_place"), "n", *(f"{c}_words_{s}" for c in ("left", "right") for s in (0, 1)))
     return extended.mapInArrow(lambda batches: (_extended(b, min_words) for b in batches), PASSAGES).distinct()
 
 
@@ -92,106 +108,74 @@ def _elsewhere(keys: np.ndarray, _: np.ndarray) -> np.ndarray:
     return (counts[key] > 1).astype(np.uint8)
 
 
-def _copies(own: pa.Table) -> np.ndarray:
-    """The number of each row among those of its doc_id; rows come ordered."""
-    ids = own.column("doc_id").to_pylist()
-    copies = np.zeros(len(ids), np.int32)
-    for i in range(1, len(ids)):
-        if ids[i] == ids[i - 1]:
-            copies[i] = copies[i - 1] + 1
-    return copies
-
-
-def _suffixes(own: pa.Table, told: np.ndarray, bits: int) -> pa.Table:
-    found = read_words(own.column("text"))
-    at = minimisers(found)
-    head = window_hashes(found, HEAD, at)
-    _, key, counts = np.unique(B.coarse(head, bits), return_inverse=True, return_counts=True)
-    kept = (told[key] > 0) | (counts[key] > 1)
-    at, head = at[kept], head[kept]
-    after = [_near(found, at, HEAD, 16), _near(found, at, HEAD + 16, 32)]
-    before = [_near(found, at, -16, 16), _near(found, at, -REACH, REACH - 16)]
-    row, copies = found.row[at], _copies(own)
-    ids = own.column("doc_id").combine_chunks().take(pa.array(row)) if own.num_rows else pa.array([], pa.int64())
-    places = at - found.first[row]
-    names = ["doc_id", "copy", "place"]
-    spots = pa.table([ids, pa.array(copies[row]), pa.array(places, pa.int64())], names=names)
-    keys = pa.table([pa.array(v.view(np.int64)) for v in (head, *after, *before)], names=["head", "after_1", "after_2", "before_1", "before_2"])
-    parts = []
-    for near in (after, before):
-        order = np.lexsort((at, near[1], near[0], head))
-        same = head[order][1:] == head[order][:-1]
-        mates = spots.take(pa.array(order[:-1][same])).rename_columns(["mate_id", "mate_copy", "mate_place"])
-        parts.append(_beside(keys.take(pa.array(order[1:][same])), spots.take(pa.array(order[1:][same])), mates))
-        if near is after:
-            first = order[np.concatenate([[True], ~same])] if len(order) else order
-            none = pa.table([pa.nulls(len(first), f.type) for f in spots.schema], names=["mate_id", "mate_copy", "mate_place"])
-            parts.append(_beside(keys.take(pa.array(first)), spots.take(pa.array(first)), none))
-    return pa.concat_tables(parts)
-
-
-def _beside(*tables: pa.Table) -> pa.Table:
-    return pa.table([c for t in tables for c in t.columns], names=[n for t in tables for n in t.column_names])
-
-
-def _near(found: Words, at: np.ndarray, skip: int, n: int) -> np.ndarray:
-    """Hash of the n words that begin ``skip`` words from each place; 0 where the text has fewer."""
-    result = np.zeros(len(at), np.uint64)
-    inside = (found.left()[at] >= skip + n) & (at + skip >= found.first[found.row[at]])
-    result[inside] = window_hashes(found, n, at[inside] + skip)
+def _smallest(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The smallest place of each key, plus 1; 0 where it is the asking block's own."""
+    order = np.lexsort((places, keys))
+    ordered, own = keys[order], places[order]
+    starts = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    least = own[np.flatnonzero(starts)[np.cumsum(starts) - 1]]
+    result = np.zeros(len(keys), np.int64)
+    result[order] = np.where(least == own, 0, least + 1)
     return result
 
 
-def _chains(kept: DataFrame) -> DataFrame:
-    """Neighbours on one diagonal whose heads touch, from the first to the last."""
-    inside = kept.where("mate_place IS NOT NULL").select("doc_id", "copy", "place", "mate_id", "mate_copy", "mate_place")
-    heads = kept.where("mate_place IS NULL")
-    pairs = inside
-    for near in ("after", "before"):
-        order = W.partitionBy("head").orderBy(f"{near}_1", f"{near}_2", "doc_id", "copy", "place")
-        mates = (F.lag(c).over(order).alias(f"mate_{n}") for c, n in (("doc_id", "id"), ("copy", "copy"), ("place", "place")))
-        pairs = pairs.unionByName(heads.select("doc_id", "copy", "place", *mates).where("mate_place IS NOT NULL"))
-    # The place of the larger doc_id, or the later one of a document, comes first.
-    own, mate = F.struct("doc_id", "copy", "place"), F.struct(F.col("mate_id").alias("doc_id"), F.col("mate_copy").alias("copy"), F.col("mate_place").alias("place"))
-    pairs = pairs.select(F.greatest(own, mate).alias("x"), F.least(own, mate).alias("y"))
-    pairs = pairs.distinct()
-    line = ["x.doc_id", "x.copy", "y.doc_id", "y.copy", F.col("x.place") - F.col("y.place")]
-    along = W.partitionBy(*line).orderBy("x.place")
-    pairs = pairs.withColumn("breaks", F.coalesce((F.col("x.place") - F.lag("x.place").over(along) > HEAD).cast("int"), F.lit(1)))
-    pairs = pairs.withColumn("part", F.sum("breaks").over(along))
-    names = ("doc_id", "copy", "mate_doc_id", "mate_copy", "shift")
-    grouped = pairs.groupBy(*(F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for c, n in zip(line, names)), "part")
-    return grouped.agg(F.min("x.place").alias("first"), F.max("x.place").alias("last")).select(
-        F.xxhash64(*names, "part").alias("chain"), *names[:4], "first", "last",
-        (F.col("first") - F.col("shift")).alias("mate_first"), (F.col("last") - F.col("shift")).alias("mate_last"),
-    )
-
-
-def _ends(own: pa.Table, asked: pa.Table) -> pa.Table:
-    """The words before each chain, backwards, and those behind it."""
+def _candidates(found: Words, told: np.ndarray, bits: int, min_words: int) -> np.ndarray:
+    """First words of the runs of min_words words whose first and last minimiser have heads that occur again."""
+    place = minimisers(found)
+    at = _heads(found, place)
+    _, key, counts = np.unique(B.coarse(window_hashes(found, HEAD, at), bits), return_inverse=True, return_counts=True)
+    again = np.zeros(len(found.hash), bool)
+    again[at] = (told[key] > 0) | (counts[key] > 1)
+    runs = windows(found, min_words)
+    return runs[again[place[runs]] & again[place[runs + min_words - REACH + 1]]]
+
+
+def _chains(block: int, own: pa.Table, replies: pa.Table, min_words: int) -> pa.Table:
+    """Pairs on one diagonal whose runs overlap, from the first to the last."""
+    at, told = B.carried(replies), B.answers(replies, np.int64)
+    if at is None:
+        at = np.zeros(0, np.int64)
+    keys = window_hashes(read_words(own.column("text")), min_words, at)
+    order = np.argsort(keys, kind="stable")
+    again = keys[order][1:] == keys[order][:-1]
+    first = order[np.concatenate([[True], ~again])] if len(order) else order
+    place = np.concatenate([at[order[1:][again]], at[first[told > 0]]])
+    mate = np.concatenate([(block << _BLOCK_BITS) + at[order[:-1][again]], told[told > 0] - 1])
+    along = np.lexsort((place, mate - place))
+    place, mate = place[along], mate[along]
+    breaks = (np.diff(mate - place) != 0) | (np.diff(place) >= min_words)
+    starts = np.flatnonzero(np.concatenate([[True], breaks])) if len(place) else along
+    stops = np.flatnonzero(np.concatenate([breaks, [True]])) if len(place) else along
+    word = (1 << _BLOCK_BITS) - 1
+    rows = (np.full(len(starts), block), place[starts], place[stops], mate[starts] >> _BLOCK_BITS, mate[starts] & word, mate[stops] & word)
+    names = ["block", "first", "last", "mate_block", "mate_first", "mate_last"]
+    return pa.table([pa.array(v.astype(np.int32 if n.endswith("block") else np.int64)) for n, v in zip(names, rows)], names=names)
+
+
+def _ends(own: pa.Table, asked: pa.Table, min_words: int) -> pa.Table:
+    """Where each chain begins, its words, the words before it, backwards, and those behind it."""
     found = read_words(own.column("text"))
-    copies, ids = _copies(own).tolist(), own.column("doc_id").to_pylist()
-    row = {(i, c): n for n, (i, c) in enumerate(zip(ids, copies))}
-    lefts, rights = [], []
-    columns = [asked.column(c).to_pylist() for c in ("doc_id", "copy", "first", "last")]
-    for doc, copy, first, last in zip(*columns):
-        r = row[doc, copy]
-        start, end = int(found.first[r]), int(found.first[r] + found.counts[r])
-        lefts.append(found.hash[max(start, start + first - REACH) : start + first][::-1].tobytes())
-        rights.append(found.hash[start + last + HEAD : min(end, start + last + HEAD + REACH)].tobytes())
+    firsts, lasts = (asked.column(c).to_numpy() for c in ("first", "last"))
+    rows, begins = found.row[firsts], found.first
+    starts = begins[rows]
+    stops = starts + found.counts[rows]
+    after = lasts + min_words
+    lefts = [found.hash[max(s, a - REACH) : a][::-1].tobytes() for s, a in zip(starts.tolist(), firsts.tolist())]
+    rights = [found.hash[a : min(e, a + REACH)].tobytes() for e, a in zip(stops.tolist(), after.tolist())]
+    ids = own.column("doc_id").combine_chunks().take(pa.array(rows)) if own.num_rows else pa.array([], pa.int64())
     return pa.table(
-        [asked.column("chain"), asked.column("side"), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
-        names=["chain", "side", "left_words", "right_words"],
+        [asked.column("chain"), asked.column("side"), ids, pa.array(firsts - starts, pa.int64()), pa.array(after - firsts, pa.int64()), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
+        names=["chain", "side", "doc_id", "place", "n", "left_words", "right_words"],
     )
 
 
 def _extended(batch: pa.RecordBatch, min_words: int) -> pa.RecordBatch:
     left = _common(batch, "left_words_0", "left_words_1")
     right = _common(batch, "right_words_0", "right_words_1")
-    first, mate, last = (batch.column(c).to_numpy() for c in ("first", "mate_first", "last"))
-    n = left + last + HEAD - first + right
+    place, mate, n = (batch.column(c).to_numpy() for c in ("place", "mate_place", "n"))
+    n = left + n + right
     table = pa.record_batch(
-        [batch.column("doc_id"), pa.array(first - left), batch.column("mate_doc_id"), pa.array(mate - left), pa.array(n)],
+        [batch.column("doc_id"), pa.array(place - left), batch.column("mate_id"), pa.array(mate - left), pa.array(n)],
         names=["doc_id", "start", "other_doc_id", "other_start", "n_words"],
     )
     return table.filter(pa.array(n >= min_words))

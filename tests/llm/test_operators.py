@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -58,6 +59,26 @@ def test_repeated_passages(odd_docs, odd_rows):
     assert sum(len(true[d] - covered[d]) for d in true) <= 0.02 * sum(map(len, true.values()))
 
 
+def test_passages_beside_a_hot_clause(spark):
+    """A clause of 40 words that every document holds hides no longer passage that a few of them share."""
+    draw = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(500)]
+    say = lambda n: " ".join(draw.choice(vocabulary) for _ in range(n))
+    clause = say(40)
+    rows = [(i, f"{say(30)} {clause} {say(30)}") for i in range(300)]
+    for i in range(0, 300, 3):  # pairs with 10 or more words in common, before the clause, behind it or on both sides
+        before = draw.randrange(0, 11)
+        left, right = say(before), say(10 - before + i % 4)
+        rows[i : i + 2] = [(n, f"{say(25)} {left} {clause} {right} {say(25)}") for n in (i, i + 1)]
+    true = plain.repeated_places(rows)
+    assert sum(map(bool, true)) >= 200
+    covered = [set() for _ in rows]
+    for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect():
+        covered[r.doc_id].update(range(r.start, r.start + r.n_words))
+        covered[r.other_doc_id].update(range(r.other_start, r.other_start + r.n_words))
+    assert covered == true
+
+
 def test_short_passages_are_refused(odd_docs):
     with pytest.raises(ValueError):
         suffix_dedup.repeated_passages(odd_docs, 30)
