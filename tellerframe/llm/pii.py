@@ -1,15 +1,15 @@
 """Personal data: base patterns, and terms that give away the protected values they stand beside.
 
 Base kinds are e-mail addresses, IP addresses, card numbers and telephone numbers, found by pattern and checked.
-A found value is a protected entity.  Terms are the words within CONTEXT characters of an entity.  Over the whole
-corpus, with N distinct texts, n(e) that hold the entity, n(t) that hold the term and n(e, t) where they stand
-together, the term discloses
+A found value is a protected entity.  Terms are the words of the texts that hold an entity, wherever they stand.
+Over the whole corpus, with N distinct texts, n(e) that hold the entity, n(t) that hold the term and n(e, t) that
+hold both, the term discloses
 
     ln(N n(e, t) / (n(e) n(t))) / ln(N / n(e))
 
 of the entity's information: 1 if it occurs nowhere else, 0 if it is independent.  With a support of MIN_SUPPORT
-texts or more, terms of GENERALISE or more are spans of kind ``term``: generalised to their form, or removed where
-the share is REMOVE or more.
+texts or more, terms of GENERALISE or more are spans of kind ``term`` in every text that holds the entity:
+generalised to their form.  Where the share is REMOVE or more they are removed, in every text that holds the term.
 
 * Equal texts count once, so copies alone support nothing.  Null and empty texts have no spans.
 * A document row is known by doc_id and text; equal rows have equal spans.  Null ids are kept as such.
@@ -25,7 +25,6 @@ from ..sources.storage import materialize
 from .words import let, unused, words_column
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 60
 MIN_SUPPORT = 3
 GENERALISE, REMOVE = 0.9, 0.99
 MIN_LETTERS = 3
@@ -43,6 +42,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+_PLACES = "array<struct<start:bigint,end:bigint,removed:boolean>>"
 _SPAN = "array<struct<kind:int,start:bigint,end:bigint,value:string>>"
 
 
@@ -70,21 +70,26 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _starts(found: Column, pieces: Column) -> Column:
+    """Where the finds begin, by the lengths of what lies between."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+
+    def step(a: Column, i: Column, gaps: Column) -> Column:
+        start = a["at"] + F.get(gaps, i)
+        return F.struct((start + F.char_length(F.get(found, i))).alias("at"), F.concat(a["starts"], F.array(start)).alias("starts"))
+
+    between = F.transform(pieces, lambda p: F.char_length(p).cast("long"))
+    every = lambda gaps: F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, lambda a, i: step(a, i, gaps))["starts"]
+    return F.when(F.size(found) > 0, let(between, every)).otherwise(F.array().cast("array<bigint>"))
+
+
 def _matches(text: Column, kind: str) -> Column:
-    """Checked spans of one kind: what the pattern finds, placed by the lengths of what lies between."""
+    """Checked spans of one kind."""
     pattern, code = PATTERNS[kind], KINDS.index(kind)
 
     def placed(found: Column) -> Column:
-        between = F.transform(F.split(text, pattern, -1), lambda p: F.char_length(p).cast("long"))
-        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-
-        def step(a: Column, i: Column, gaps: Column) -> Column:
-            start = a["at"] + F.get(gaps, i)
-            return F.struct((start + F.char_length(F.get(found, i))).alias("at"), F.concat(a["starts"], F.array(start)).alias("starts"))
-
-        starts = lambda gaps: F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, lambda a, i: step(a, i, gaps))["starts"]
         span = lambda v, s: F.struct(F.lit(code).alias("kind"), s.alias("start"), (s + F.char_length(v)).alias("end"), v.alias("value"))
-        spans = let(between, lambda gaps: F.zip_with(found, starts(gaps), span))
+        spans = F.zip_with(found, _starts(found, F.split(text, pattern, -1)), span)
         return F.filter(spans, lambda s: _holds(kind, s["value"]))
 
     none = F.array().cast(_SPAN)
@@ -101,50 +106,52 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.xxhash64(kind, F.when(kind == 0, F.lower(value)).otherwise(_digits(value)))
 
 
-def found_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, spans) for every row, and the words around each span, written."""
+def _core(word: Column) -> Column:
+    return F.regexp_replace(word, r"^\P{L}+|\P{L}+$", "")
+
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text: words without what is not a letter at their ends, if only letters are left."""
+    cores = F.transform(words_column(text), lambda w: F.lower(_core(w)))
+    return F.array_distinct(F.filter(cores, lambda t: (F.char_length(t) >= MIN_LETTERS) & t.rlike(r"^\p{L}+$")))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    window = lambda text, s: F.struct(
-        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _entity(s["kind"], s["value"]).alias("entity"),
-        F.greatest(s["start"] - CONTEXT, F.lit(0).cast("long")).alias("from"),
-        F.substring(text, (F.greatest(s["start"] - CONTEXT, F.lit(0).cast("long")) + 1).cast("int"), F.least(s["start"], F.lit(CONTEXT).cast("long")).cast("int")).alias("before"),
-        F.substring(text, (s["end"] + 1).cast("int"), F.lit(CONTEXT)).alias("after"),
-        (F.char_length(text) > s["end"] + CONTEXT).alias("more"),
-    )
-    spans = let(base_spans(F.col("text")), lambda found: F.transform(found, lambda s: window(F.col("text"), s)))
-    return materialize(rows.select("doc_id", F.xxhash64("text").alias("text_key"), spans.alias("spans")), "pii-spans")
+    return rows.withColumn("text_key", F.xxhash64("text"))
 
 
-def _terms(piece: Column, at: Column, cut_first: Column, cut_last: Column) -> Column:
-    """(term, start, end) of the whole words of a piece of text that begins at code point ``at``."""
-    words, gaps = F.regexp_extract_all(piece, F.lit(r"[^\x20\x09-\x0D]+"), 0), F.split(piece, r"[^\x20\x09-\x0D]+", -1)
+def found_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, spans, terms) for every row, written; terms of texts with spans only."""
+    span = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _entity(s["kind"], s["value"]).alias("entity"))
+    both = lambda spans: F.struct(spans.alias("spans"), F.when(F.size(spans) > 0, _terms(F.col("text"))).alias("terms"))
+    found = let(F.transform(base_spans(F.col("text")), span), both)
+    return materialize(_rows(docs).select("doc_id", "text_key", found.alias("found")), "pii-spans").select("doc_id", "text_key", "found.*")
 
-    def placed(w: Column, g: Column) -> Column:
-        length = lambda array, n: F.aggregate(F.slice(array, F.lit(1), n), F.lit(0).cast("long"), lambda a, x: a + F.char_length(x))
-        core = lambda v: F.regexp_extract(v, r"^(\P{L}*)(\p{L}.*?)(?:\P{L}*)$", 2)
-        lead = lambda v: F.char_length(F.regexp_extract(v, r"^(\P{L}*)", 1))
 
-        def one(v: Column, i: Column) -> Column:
-            start = at + length(g, i + 1) + length(w, i) + lead(v)
-            first = (i == 0) & cut_first & (F.char_length(F.get(g, F.lit(0))) == 0)
-            last = (i == F.size(w) - 1) & cut_last & (F.char_length(F.get(g, F.size(w))) == 0)
-            whole = ~(F.coalesce(first, F.lit(False)) | F.coalesce(last, F.lit(False)))
-            return F.struct(F.lower(core(v)).alias("term"), start.alias("start"), (start + F.char_length(core(v))).alias("end"), whole.alias("whole"))
+def _placed(text: Column, terms: Column) -> Column:
+    """(start, end, removed) of every word of a text that is one of the terms, an array of (term, removed)."""
+    # The terms hold letters only.
+    blank = r"\x20\x09-\x0D"
+    names = F.array_join(terms["term"], "|")
+    pattern = F.concat(F.lit(rf"(?iu)(?<![^{blank}])[^\p{{L}}{blank}]*+(?:"), names, F.lit(rf")[^\p{{L}}{blank}]*+(?![^{blank}])"))
 
-        return F.filter(F.transform(w, one), lambda x: x["whole"] & (F.char_length(x["term"]) >= MIN_LETTERS) & x["term"].rlike(r"^\p{L}+$"))
+    def placed(words: Column, starts: Column) -> Column:
+        def one(w: Column, start: Column) -> Column:
+            at = start + F.char_length(F.regexp_extract(w, r"^(\P{L}*)", 1))
+            term = F.filter(terms, lambda t: t["term"] == F.lower(_core(w)))
+            return F.struct(at.alias("start"), (at + F.char_length(_core(w))).alias("end"), F.get(term, F.lit(0))["removed"].alias("removed"))
 
-    return let(words, lambda w: let(gaps, lambda g: placed(w, g)))
+        return F.filter(F.zip_with(words, starts, one), lambda s: s["removed"].isNotNull())
 
+    words = F.regexp_extract_all(text, pattern, F.lit(0))
+    return let(words, lambda w: let(_starts(w, F.split(text, pattern, -1)), lambda at: placed(w, at)))
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, end, removed) of the terms of the corpus that disclose an entity beside them."""
-    mentions = found.select("doc_id", "text_key", "spans", F.explode("spans").alias("m"))
-    left = _terms(F.col("m.before"), F.col("m.from"), F.col("m.from") > 0, F.lit(True))
-    right = _terms(F.col("m.after"), F.col("m.end"), F.lit(True), F.col("m.more"))
-    beside = mentions.select("doc_id", "text_key", "spans", "m.entity", F.explode(F.concat(left, right)).alias("t"))
-    apart = ~F.exists("spans", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start")))
-    beside = materialize(beside.where(apart).select("doc_id", "text_key", "entity", "t.term", "t.start", "t.end").distinct(), "pii-terms")
 
+def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, text_key, terms) of the rows that hold terms to replace: an array of (start, end, removed)."""
+    holders = found.where(F.size("spans") > 0).select("text_key", F.array_distinct(F.col("spans.entity")).alias("entities"), "terms")
+    holders = materialize(holders.dropDuplicates(["text_key"]), "pii-holders")
     texts = F.lit(found.select("text_key").distinct().count()).cast("long")
 
     def share(n_term: Column) -> Column:
@@ -152,41 +159,43 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
         together = texts * F.col("n_both") / (F.col("n_entity") * n_term)
         return F.try_divide(F.ln(together), F.ln(texts / F.col("n_entity")))
 
-    together = beside.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("n_both")).where(F.col("n_both") >= MIN_SUPPORT)
-    # A term is in all the texts at least in which it stands beside some entity; a term that discloses too little
+    mentions = holders.select("text_key", F.explode("entities").alias("entity"))
+    entities = mentions.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= MIN_SUPPORT)
+    mentions = materialize(mentions.join(entities, "entity"), "pii-mentions")
+    together = mentions.join(holders.select("text_key", "terms"), "text_key").select("entity", "n_entity", F.explode("terms").alias("term"))
+    together = together.groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= MIN_SUPPORT)
+    # A term is in all the texts at least in which it stands with some entity; a term that discloses too little
     # even if it is in no other text need not be looked for in the corpus.
-    least = beside.groupBy("term").agg(F.count_distinct("text_key").alias("n_beside"))
-    entities = found.select("text_key", F.explode("spans.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = together.join(least, "term").join(entities, "entity").where(share(F.col("n_beside")) >= GENERALISE)
-    pairs = materialize(pairs.drop("n_beside"), "pii-pairs")
-    # Texts of every candidate term, over all documents.
+    least = holders.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_least")).where(F.col("n_least") >= MIN_SUPPORT)
+    pairs = materialize(together.join(least, "term").where(share(F.col("n_least")) >= GENERALISE).drop("n_least"), "pii-pairs")
     wanted = pairs.select("term").distinct()
-    letters = F.array_distinct(F.transform(words_column(F.lower(F.col("text"))), lambda w: F.regexp_replace(w, r"^\P{L}+|\P{L}+$", "")))
     if wanted.isEmpty():
-        terms = wanted.withColumn("n_term", F.lit(0).cast("long"))
-    else:
-        terms = docs.select(F.xxhash64("text").alias("text_key"), F.explode(letters).alias("term")).join(wanted, "term", "left_semi")
-        terms = terms.distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    scored = pairs.join(terms, "term").withColumn("share", share(F.col("n_term")))
-    flagged = scored.where(F.col("share") >= GENERALISE).select("entity", "term", "share")
-    spans = beside.join(flagged, ["entity", "term"])
-    return spans.groupBy("doc_id", "text_key", "start", "end").agg((F.max("share") >= REMOVE).alias("removed"))
+        return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key bigint, terms {_PLACES}")
+    # Rows of every candidate term, over all documents.
+    hits = _rows(docs).select("doc_id", "text_key", F.explode(_terms(F.col("text"))).alias("term")).join(wanted, "term", "left_semi")
+    hits = materialize(hits.distinct(), "pii-hits")
+    terms = hits.select("text_key", "term").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
+    flagged = pairs.join(terms, "term").withColumn("share", share(F.col("n_term"))).where(F.col("share") >= GENERALISE)
+    flagged = hits.join(flagged.select("entity", "term", (F.col("share") >= REMOVE).alias("removed")), "term")
+    everywhere = flagged.where("removed")
+    beside = flagged.where("NOT removed").join(mentions, ["text_key", "entity"], "left_semi").select(*everywhere.columns)
+    chosen = everywhere.unionByName(beside).groupBy("doc_id", "text_key", "term").agg(F.max("removed").alias("removed"))
+    chosen = chosen.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(F.collect_list(F.struct("term", "removed")).alias("chosen"))
+    rows = _rows(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")))
+    return rows.select("doc_id", "text_key", _placed(F.col("text"), F.col("chosen")).cast(_PLACES).alias("terms")).dropDuplicates(["doc_id", "text_key"])
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, base, spans) of every row: arrays of (start, kind, end, removed), ordered."""
     found = found_spans(docs)
-    terms = disclosing_terms(docs, found)
-    term = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", "removed")
-    terms = terms.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(F.collect_set(term).alias("terms"))
+    terms = disclosing_terms(docs, found).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.col("terms").alias("placed"))
+    rows = found.drop("terms").join(terms, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
     base = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("removed"))))
-    some = found.where(F.size("spans") > 0).withColumn("base", base)
-    some = some.join(terms, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
-    every = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms")))
-    some = some.select("doc_id", "text_key", "base", every.alias("spans"))
-    none = found.where(F.size("spans") == 0).select("doc_id", "text_key")
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,removed:boolean>>")
-    return some.unionByName(none.withColumns({"base": empty, "spans": empty}))
+    apart = F.filter("placed", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
+    term = F.transform(apart, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), t["end"].alias("end"), t["removed"].alias("removed")))
+    rows = rows.withColumns({"base": base, "own": term})
+    every = F.when(F.col("own").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "own")))
+    return rows.select("doc_id", "text_key", "base", every.alias("spans"))
 
 
 def described(spans: Column) -> Column:

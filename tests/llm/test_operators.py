@@ -209,6 +209,22 @@ def test_disclosing_terms(spark):
     assert clean[0] == "note 0 from  <[EMAIL]> about the weather 0" and clean[12] == dict(rows)[12]
 
 
+def test_disclosing_terms_far_from_the_entity(spark):
+    """A name that gives an address away goes wherever it stands: far behind the address, and in a text without it."""
+    far = "the weather is a matter of note " * 6
+    rows = [(i, f"number {i} of <zeb@example.com> {far}and ZEBULON, {far}(Zebulon) again") for i in range(3)]
+    rows += [(10 + i, f"number {i} {far}and again") for i in range(200)]
+    docs = spark.createDataFrame([*rows, (None, "of number 77 (Zebulon)")], "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert clean[1] == f"number 1 of <[EMAIL]> {far}and [TERM], {far}([TERM]) again" and clean[15] == rows[8][1] and clean[None] == "of number 77 (Zebulon)"
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs.where("doc_id IS NOT NULL OR text IS NULL")).collect()}
+    assert clean[1] == f"number 1 of <[EMAIL]> {far}and , {far}() again"
+    # 200 texts in which they stand together, one without the address: a share of 0.999.
+    many = [(i, f"number {i} of <zeb@example.com> {far}and Zebulon") for i in range(200)] + [(1000 + i, f"number {i} {far}and again of") for i in range(20000)]
+    docs = spark.createDataFrame([*many, (None, "of number 77 (Zebulon)")], "doc_id bigint, text string")
+    assert pii.sanitised(docs).where("doc_id IS NULL").first().text == "of number 77 ()"
+
+
 def test_sanitised_keeps_the_rest(odd_docs, odd_rows):
     got = pii.sanitised(odd_docs)
     assert got.columns == odd_docs.columns
