@@ -11,6 +11,10 @@ of the entity's information: 1 if it occurs nowhere else, 0 if it is independent
 texts or more, terms of GENERALISE or more are spans of kind ``term`` in every text that holds the entity:
 generalised to their form.  Where the share is REMOVE or more they are removed, in every text that holds the term.
 
+Most values stand in one text or two, of which no share can be estimated.  They are pooled: what values have in common
+is an entity too, the domain of an e-mail address and each name in it, the network of an IP address (all but the last
+number), the issuer of a card (six digits) and a telephone number without its last four digits.
+
 * Equal texts count once, so copies alone support nothing.  Null and empty texts have no spans.
 * A document row is known by doc_id and text; equal rows have equal spans.  Null ids are kept as such.
 * Offsets count code points, the end is exclusive.
@@ -102,8 +106,19 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[_matches(text, k) for k in KINDS[:4]]).cast(_SPAN)
 
 
-def _entity(kind: Column, value: Column) -> Column:
-    return F.xxhash64(kind, F.when(kind == 0, F.lower(value)).otherwise(_digits(value)))
+def _entities(kind: Column, value: Column) -> Column:
+    """The value itself, then what it has in common with others of its kind."""
+    lower, digits = F.lower(value), _digits(value)
+    name, domain = F.substring_index(lower, "@", 1), F.substring_index(lower, "@", -1)
+    names = F.filter(F.split(name, "[^a-z]+"), lambda n: F.char_length(n) >= MIN_LETTERS)
+    common = (
+        F.when(kind == 0, F.concat(F.array(F.concat(F.lit("@"), domain)), names))
+        .when(kind == 1, F.array(F.substring_index(value, ".", 3)))
+        .when(kind == 2, F.array(F.substring(digits, 1, 6)))
+        .otherwise(F.array(F.left(digits, F.char_length(digits) - 4)))
+    )
+    own = F.xxhash64(kind, F.when(kind == 0, lower).otherwise(digits))
+    return F.concat(F.array(own), F.transform(common, lambda c: F.xxhash64(kind, F.lit("common"), c)))
 
 
 def _core(word: Column) -> Column:
@@ -123,7 +138,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def found_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, spans, terms) for every row, written; terms of texts with spans only."""
-    span = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _entity(s["kind"], s["value"]).alias("entity"))
+    span = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _entities(s["kind"], s["value"]).alias("entities"))
     both = lambda spans: F.struct(spans.alias("spans"), F.when(F.size(spans) > 0, _terms(F.col("text"))).alias("terms"))
     found = let(F.transform(base_spans(F.col("text")), span), both)
     return materialize(_rows(docs).select("doc_id", "text_key", found.alias("found")), "pii-spans").select("doc_id", "text_key", "found.*")
@@ -150,7 +165,7 @@ def _placed(text: Column, terms: Column) -> Column:
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(doc_id, text_key, terms) of the rows that hold terms to replace: an array of (start, end, removed)."""
-    holders = found.where(F.size("spans") > 0).select("text_key", F.array_distinct(F.col("spans.entity")).alias("entities"), "terms")
+    holders = found.where(F.size("spans") > 0).select("text_key", F.array_distinct(F.flatten("spans.entities")).alias("entities"), "terms")
     holders = materialize(holders.dropDuplicates(["text_key"]), "pii-holders")
     texts = F.lit(found.select("text_key").distinct().count()).cast("long")
 

@@ -225,6 +225,17 @@ def test_disclosing_terms_far_from_the_entity(spark):
     assert pii.sanitised(docs).where("doc_id IS NULL").first().text == "of number 77 ()"
 
 
+def test_disclosing_terms_of_values_in_one_text(spark):
+    """Addresses of one text each: what they have in common is disclosed, a word beside one of them is not."""
+    rows = [(i, f"number {i} {w} from <zebulon.{w}@acme{i}.example> about the weather") for i, w in enumerate(("ash", "oak", "elm"))]
+    rows += [(5 + i, f"number {i} {w} from Acmeworks {w}@acme.example, 10.1.1.{i} about the weather") for i, w in enumerate(("ida", "uma", "eva"))]
+    rows += [(10 + i, f"the weather about number {i} is a note from no one") for i in range(60)]
+    rows += [(80 + i, f"number {i} {w} {i} Zebulon <zebulon{i}@x{i}.example>") for i, w in enumerate(("fir", "yew", "bay"))]
+    clean = {r.doc_id: r.text for r in pii.sanitised(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert clean[5] == "number 0 ida from  [EMAIL], [IP] about the weather" and clean[0] == "number 0 ash from <[EMAIL]> about the weather"
+    assert "Zebulon" not in clean[80] and clean[12] == rows[8][1]
+
+
 def test_sanitised_keeps_the_rest(odd_docs, odd_rows):
     got = pii.sanitised(odd_docs)
     assert got.columns == odd_docs.columns
