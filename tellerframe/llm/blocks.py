@@ -1,6 +1,7 @@
 """Questions about the whole corpus, asked by blocks of documents and answered by ranges of hashes.
 
-Documents are dealt to blocks by the hash of their doc_id.  Each block sends the distinct
+Documents are dealt to blocks by the hash of their doc_id and text, so rows without doc_id and rows of a
+repeated one are spread too; only rows equal in both go to one block.  Each block sends the distinct
 hashes it asks about, packed in one row for each range of hashes; the holder of a range sees
 every block's hashes of that range and answers each block in the order in which it asked.
 A hash therefore reaches its holder once for each block at most, however often it occurs:
@@ -49,7 +50,7 @@ def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
     block_bytes = int(block_bytes * max(1.0, math.sqrt(total / LARGEST_PLAN)))
     n = max(1, math.ceil(total / block_bytes))
     frame = docs.select(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(n)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")), F.lit(n)).cast("int").alias("block"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )

@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tellerframe.llm import decontamination, jaccard_join, language_id, lm_scoring, mixing, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup
+from tellerframe.llm import blocks, decontamination, jaccard_join, language_id, lm_scoring, mixing, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup
 
 from . import plain
 
@@ -79,6 +79,14 @@ def test_passages_beside_a_hot_clause(spark):
     assert covered == true
 
 
+def test_rows_of_one_doc_id_are_spread_over_blocks(spark):
+    """Rows without doc_id, and rows of a repeated one, are as many in a block as others."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " * 50) for i in range(1200)]
+    dealt = blocks.deal(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    sizes = [r["count"] for r in dealt.frame.groupBy("block").count().collect()]
+    assert len(sizes) == dealt.n_ranges > 20 and max(sizes) < 3 * 1200 / len(sizes)
+
+
 def test_short_passages_are_refused(odd_docs):
     with pytest.raises(ValueError):
         suffix_dedup.repeated_passages(odd_docs, 30)
