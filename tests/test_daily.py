@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tellerframe.plans import daily, governance
 from tellerframe.registry.bank import RULES, Bank
 from tellerframe.schemas import RAW_ACCOUNTS
-from tellerframe.sources.storage import fresh_path, materialize
+from tellerframe.sources.storage import fresh_path, materialize, working
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -123,3 +123,14 @@ def test_month_gap_compares_with_the_previous_row(spark):
     fact = spark.createDataFrame([(int(d.strftime("%Y%m%d")), "ATM", Decimal("1")) for d in days], "date_sk int, channel string, amount_cad decimal(18,2)")
     growth = [r.txn_count_mom_pct for r in reports.channel_performance(fact, marts.dim_date(spark)).collect()]
     assert growth == [None, Decimal("50.00")]
+
+
+def test_stored_reports_hold_exact_profiles(spark):
+    bank, root = Bank(spark, TABLES), fresh_path(spark, "reports")
+    feeds = {name: materialize(df, name) for name, df in bank.feeds.items()}
+    with working(spark):
+        daily.validate(feeds, daily.Layout(root), RULES)
+    df = feeds["customers_raw"]
+    expected = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in df.columns]).first().asDict()
+    report = spark.read.json(f"{root}/quality_reports").filter("dataset_name = 'customers_raw'").first()
+    assert {p.column_name: p.unique_count for p in report.column_profiles} == expected
