@@ -7,16 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.storage import materialize
+from . import conversation_repair
 from .decontamination import contaminated
 from .jaccard_join import linked
 from .language_id import predicted_language
 from .lm_scoring import stupid_backoff
 from .mixing import curriculum, size_column
+from .packing import packed
 from .pii import personal_data
 from .quality_classifier import predicted_quality
 from .quality_rules import judged
 from .substring_dedup import repeated_words
 from .suffix_dedup import repeated_passages
+from .whitening import whitened
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,6 +75,24 @@ def pii(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(_documents(spark, folder))
 
 
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened(spark.read.parquet(f"{folder}/embeddings.parquet"), components=16, scale=64, shift=1_000_000)
+
+
+def conversation_repairs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversation_repair.damaged(spark.read.parquet(f"{folder}/conversations.parquet"))
+    reports = materialize(conversation_repair.verdicts(rows), "conversation-reports")
+    texts = conversation_repair.digests(rows, reports)
+    return reports.join(texts.withColumnRenamed("conv_id", "_id"), F.col("conv_id").eqNullSafe(F.col("_id"))).drop("_id")
+
+
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packed(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_quality_rules": quality_rules,
@@ -82,6 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": lm_scoring,
     "op9_pii": pii,
     "op10_jaccard_join": jaccard_join,
+    "op11_embedding_whitening": embedding_whitening,
+    "op12_conversation_repair": conversation_repairs,
+    "op13_packing": packing,
 }
 
 LM_SCORING = r"""
