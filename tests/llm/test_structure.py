@@ -7,6 +7,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -264,9 +265,16 @@ def test_no_conversations(spark, conversations, tmp_path):
 # Packing
 
 
-def encoded(text):
+@lru_cache
+def plain_tokenizer():
     tokenizer = Tokenizer.from_file(VOCABULARY)
     tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+@lru_cache(maxsize=None)
+def encoded(text):
+    tokenizer = plain_tokenizer()
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -274,9 +282,7 @@ def test_ids_do_not_depend_on_slices(monkeypatch):
     monkeypatch.setattr(packing, "_SLICE", 7)
     monkeypatch.setattr(packing, "_CACHED_WORDS", 20)
     draw = random.Random(8)
-    encode = packing.Encoder(VOCABULARY)
-    tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
+    encode, tokenizer = packing.Encoder(VOCABULARY), plain_tokenizer()
     texts = ["", " ", "  a", "a \n b\n\n  c\t d ", "x\x1c y　 z \x85 q", "it's   'll <|endoftext|> a", " \n "]
     texts += ["".join(draw.choice(" \n\tab1!'sé　\x1c\x85½") for _ in range(60)) for _ in range(500)]
     for text in texts:
