@@ -28,7 +28,8 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return repeated_passages(_documents(spark, folder), min_words=50)
+    """Passages that stand in another document too; repeats within one text are no sign of a copied document."""
+    return repeated_passages(_documents(spark, folder), min_words=50).where("NOT within").drop("within")
 
 
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

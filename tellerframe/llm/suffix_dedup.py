@@ -31,8 +31,8 @@ GRAM, WINDOW, HEAD = 8, 24, 24
 REACH = WINDOW + HEAD  # words looked at beyond each end of a chain
 _BLOCK_BITS = 36  # a place is a word of a block: block << _BLOCK_BITS | word
 _CHAINS = "block int, first bigint, last bigint, mate_block int, mate_first bigint, mate_last bigint"
-_ENDS = "chain bigint, side int, doc_id bigint, place bigint, n bigint, left_words binary, right_words binary"
-PASSAGES = "doc_id bigint, start bigint, other_doc_id bigint, other_start bigint, n_words bigint"
+_ENDS = "chain bigint, side int, text bigint, doc_id bigint, place bigint, n bigint, left_words binary, right_words binary"
+_PAIRS = "doc_id bigint, start bigint, other_doc_id bigint, other_start bigint, n_words bigint, within boolean"
 
 
 def minimisers(found: Words) -> np.ndarray:
@@ -59,11 +59,12 @@ def _heads(found: Words, place: np.ndarray) -> np.ndarray:
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """Pairs of places (doc_id, start) and (other_doc_id, other_start), counted in words from 0, that share
-    n_words words; the other place is that of the smaller doc_id, or of the smaller start.  Every run of
-    min_words words that occurs again lies in a pair.  A passage is extended to the first differing word, or
-    REACH words beyond the outermost run that has this partner; where the partner changes within a passage,
-    its parts are pairs of their own."""
+    """Passages (doc_id, start, n_words), counted in words from 0, that occur again at (other_doc_id, other_start);
+    ``within`` tells whether both places are in one document.  Every place of a repeated run of min_words words lies
+    in a passage of its own document: that of the larger doc_id, or the later one of a document, names the place
+    it is paired with, and that place's document gets the passage once, with one of those that name it.  A passage
+    is extended to the first differing word, or REACH words beyond the outermost run that has this partner; where
+    the partner changes within a passage, its parts are passages of their own."""
     if min_words < WINDOW + HEAD - 1:
         raise ValueError(f"passages of {WINDOW + HEAD - 1} words are the shortest that always hold a minimiser's head")
     dealt = B.deal(docs)
@@ -92,15 +93,25 @@ def repeated_passages(docs: DataFrame, min_words: int = 50) -> DataFrame:
         pairs.select(F.col(f"{p}block").alias("block"), "chain", F.lit(s).alias("side"), F.col(f"{p}first").alias("first"), F.col(f"{p}last").alias("last"))
         for s, p in enumerate(("", "mate_"))
     ]
-    ends = B.tell(dealt, both[0].unionByName(both[1]), lambda _, own, asked: _ends(own, asked, min_words), _ENDS)
+    ends = B.tell(dealt, both[0].unionByName(both[1]), lambda block, own, asked: _ends(block, own, asked, min_words), _ENDS)
     one, two = (
-        ends.where(F.col("side") == s).select("chain", F.struct("doc_id", "place").alias(f"at_{s}"), "n", *(F.col(c).alias(f"{c}_{s}") for c in ("left_words", "right_words")))
+        ends.where(F.col("side") == s).select("chain", F.struct("doc_id", "place", "text").alias(f"at_{s}"), "n", *(F.col(c).alias(f"{c}_{s}") for c in ("left_words", "right_words")))
         for s in (0, 1)
     )
     # The place of the larger doc_id, or the later one of a document, comes first.
     extended = one.join(two.drop("n"), "chain").withColumns({"x": F.greatest("at_0", "at_1"), "y": F.least("at_0", "at_1")})
-    extended = extended.select("x.doc_id", "x.place", F.col("y.doc_id").alias("mate_id"), F.col("y.place").alias("mate_place"), "n", *(f"{c}_words_{s}" for c in ("left", "right") for s in (0, 1)))
-    return extended.mapInArrow(lambda batches: (_extended(b, min_words) for b in batches), PASSAGES).distinct()
+    within = (F.col("x.text") == F.col("y.text")).alias("within")
+    sides = (f"{c}_words_{s}" for c in ("left", "right") for s in (0, 1))
+    extended = extended.select("x.doc_id", "x.place", F.col("y.doc_id").alias("mate_id"), F.col("y.place").alias("mate_place"), "n", within, *sides)
+    found = extended.mapInArrow(lambda batches: (_extended(b, min_words) for b in batches), _PAIRS)
+    # Each pair from both sides.  A place that very many others name is merged before the exchange.
+    def side(doc: str, start: str, other: str, other_start: str):
+        return F.struct(F.col(doc).alias("doc_id"), F.col(start).alias("start"), "n_words", "within", F.struct(F.col(other).alias("doc_id"), F.col(other_start).alias("start")).alias("other"))
+
+    places = ("doc_id", "start", "other_doc_id", "other_start")
+    sided = found.select(F.explode(F.array(side(*places), side(*places[2:], *places[:2]))).alias("p")).select("p.*")
+    passages = sided.groupBy("doc_id", "start", "n_words", "within").agg(F.min("other").alias("other"))
+    return passages.select("doc_id", "start", F.col("other.doc_id").alias("other_doc_id"), F.col("other.start").alias("other_start"), "n_words", "within")
 
 
 def _elsewhere(keys: np.ndarray, _: np.ndarray) -> np.ndarray:
@@ -152,7 +163,7 @@ def _chains(block: int, own: pa.Table, replies: pa.Table, min_words: int) -> pa.
     return pa.table([pa.array(v.astype(np.int32 if n.endswith("block") else np.int64)) for n, v in zip(names, rows)], names=names)
 
 
-def _ends(own: pa.Table, asked: pa.Table, min_words: int) -> pa.Table:
+def _ends(block: int, own: pa.Table, asked: pa.Table, min_words: int) -> pa.Table:
     """Where each chain begins, its words, the words before it, backwards, and those behind it."""
     found = read_words(own.column("text"))
     firsts, lasts = (asked.column(c).to_numpy() for c in ("first", "last"))
@@ -163,9 +174,10 @@ def _ends(own: pa.Table, asked: pa.Table, min_words: int) -> pa.Table:
     lefts = [found.hash[max(s, a - REACH) : a][::-1].tobytes() for s, a in zip(starts.tolist(), firsts.tolist())]
     rights = [found.hash[a : min(e, a + REACH)].tobytes() for e, a in zip(stops.tolist(), after.tolist())]
     ids = own.column("doc_id").combine_chunks().take(pa.array(rows)) if own.num_rows else pa.array([], pa.int64())
+    texts = (np.int64(block) << _BLOCK_BITS) + rows.astype(np.int64)
     return pa.table(
-        [asked.column("chain"), asked.column("side"), ids, pa.array(firsts - starts, pa.int64()), pa.array(after - firsts, pa.int64()), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
-        names=["chain", "side", "doc_id", "place", "n", "left_words", "right_words"],
+        [asked.column("chain"), asked.column("side"), pa.array(texts), ids, pa.array(firsts - starts, pa.int64()), pa.array(after - firsts, pa.int64()), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
+        names=["chain", "side", "text", "doc_id", "place", "n", "left_words", "right_words"],
     )
 
 
@@ -175,8 +187,8 @@ def _extended(batch: pa.RecordBatch, min_words: int) -> pa.RecordBatch:
     place, mate, n = (batch.column(c).to_numpy() for c in ("place", "mate_place", "n"))
     n = left + n + right
     table = pa.record_batch(
-        [batch.column("doc_id"), pa.array(place - left), batch.column("mate_id"), pa.array(mate - left), pa.array(n)],
-        names=["doc_id", "start", "other_doc_id", "other_start", "n_words"],
+        [batch.column("doc_id"), pa.array(place - left), batch.column("mate_id"), pa.array(mate - left), pa.array(n), batch.column("within")],
+        names=["doc_id", "start", "other_doc_id", "other_start", "n_words", "within"],
     )
     return table.filter(pa.array(n >= min_words))
 
