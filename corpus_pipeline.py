@@ -29,10 +29,13 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of every group of linked documents that with the smallest doc_id; of rows equal in doc_id and text one."""
-    gone = jaccard_join.linked(docs).where("component_id != doc_id").select("doc_id").distinct()
-    # A merge join leaves the rows dealt by doc_id, which the removal of equal rows then needs.
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """One document of every group of linked documents.  Rows are linked and removed as rows, by a written key, so that a
+    repeated doc_id takes no other text with it and rows without doc_id are compared too.  Texts without words stay."""
+    (key,) = unused(docs.columns, "row")
+    rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
+    found = jaccard_join.linked(rows.select(F.col(key).alias("doc_id"), "text"))
+    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias(key))
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
