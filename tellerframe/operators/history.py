@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tellerframe.functions.keys import surrogate_key
+from tellerframe.sources.raw import read_optional
+from tellerframe.sources.storage import materialize
 
 VALIDITY = ("effective_from", "effective_to", "is_current")
 VERSION = "version_sk"
+LOAD_DAY = "load_day"
 
 
 def start_history(staged: DataFrame, key: str, sk: str, as_of: date) -> DataFrame:
@@ -67,6 +70,77 @@ def merge_history(
     return dimension.filter(~F.col("is_current")).select(*columns).unionByName(merged)
 
 
+def record_load(staged: DataFrame, log: str, as_of: date) -> None:
+    """Keep what a load said in the log of loads, one partition a day; a load of a day already there takes its place."""
+    staged.write.mode("overwrite").parquet(f"{log}/{LOAD_DAY}={as_of.isoformat()}")
+
+
+def _seed_log(dimension: DataFrame, columns: Sequence[str], log: str) -> None:
+    """A log for a dimension that has none yet: every version was said on the day it began."""
+    said = dimension.select(*columns, F.col("effective_from").alias(LOAD_DAY))
+    said.write.mode("overwrite").partitionBy(LOAD_DAY).parquet(log)
+
+
+def timeline(log: DataFrame, key: str, sk: str, tracked: Sequence[str]) -> DataFrame:
+    """The versions that loads of any days make, whatever the order they came in.
+
+    The loads of a key stand on one timeline.  Neighbours with equal tracked columns are one version, which holds the
+    untracked columns of its last load; a version ends where the next begins.  All windows and the
+    aggregate go by the key, so the log is shuffled once.
+    """
+    columns = [c for c in log.columns if c != LOAD_DAY]
+    by_day = Window.partitionBy(key).orderBy(LOAD_DAY)
+    state = F.struct(*tracked)
+    opens = ~F.lag(state).over(by_day).eqNullSafe(state)
+    numbered = log.withColumn("_opens", opens.cast("int")).withColumn("_version", F.sum("_opens").over(by_day))
+    versions = numbered.groupBy(key, "_version").agg(
+        F.min(LOAD_DAY).alias("effective_from"), F.max_by(F.struct(*columns), LOAD_DAY).alias("_row")
+    )
+    until = F.lead("effective_from").over(Window.partitionBy(key).orderBy("effective_from"))
+    return versions.withColumn("effective_to", until).select(
+        surrogate_key(F.col(key)).alias(sk),
+        surrogate_key(F.col(key), F.col("effective_from")).alias(VERSION),
+        *[F.col("_row")[c].alias(c) for c in columns],
+        "effective_from",
+        "effective_to",
+        F.col("effective_to").isNull().alias("is_current"),
+    )
+
+
+def load_history(
+    dimension: DataFrame | None, staged: DataFrame, key: str, sk: str, tracked: Sequence[str], as_of: date, log: str
+) -> DataFrame:
+    """The dimension after a load of any day, which is added to the log at the path ``log``.
+
+    A load newer than all before it is merged with the current versions.  An older one, or one of a day that was
+    loaded before, rebuilds the timelines of the keys it has or had from the log; other keys stay.  The
+    table is then that of the same loads in the order of their days.
+    """
+    spark = staged.sparkSession
+    loads = read_optional(spark, log)
+    if loads is None and dimension is not None:
+        _seed_log(dimension, staged.columns, log)
+        loads = read_optional(spark, log)
+    newest = loads.agg(F.max(LOAD_DAY)).first()[0] if loads is not None else None
+    if newest is None or newest < as_of:
+        record_load(staged, log, as_of)
+        return start_history(staged, key, sk, as_of) if dimension is None else merge_history(dimension, staged, key, sk, tracked, as_of)
+    replaced = loads.filter(F.col(LOAD_DAY) == F.lit(as_of))
+    keys = materialize(staged.select(key).unionByName(replaced.select(key)).distinct().withColumnRenamed(key, "_key"), "loaded-keys")
+    record_load(staged, log, as_of)
+    return _rebuilt(spark, dimension, keys, key, sk, tracked, log)
+
+
+def _rebuilt(
+    spark: SparkSession, dimension: DataFrame | None, keys: DataFrame, key: str, sk: str, tracked: Sequence[str], log: str
+) -> DataFrame:
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    versions = timeline(read_optional(spark, log).join(keys, same, "left_semi"), key, sk, tracked)
+    if dimension is None:
+        return versions
+    return dimension.join(keys, same, "left_anti").select(*versions.columns).unionByName(versions)
+
+
 def as_of_join(facts: DataFrame, dimension: DataFrame, key: str, day: str, columns: Sequence[str]) -> DataFrame:
     """Facts with the dimension columns valid on the fact's own day.
 

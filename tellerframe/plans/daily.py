@@ -117,8 +117,9 @@ def build_marts(spark: SparkSession, arrived: DataFrame, layout: Layout, rules:
     has rows of them."""
     customers_path, accounts_path = layout.table("marts", "dim_customer"), layout.table("marts", "dim_account")
     staged_customers, staged_accounts = (_stored(spark, layout, "staging", n) for n in ("stg_customers", "stg_accounts"))
-    customers = _replace(marts.dim_customer(staged_customers, rules, read_optional(spark, customers_path)), customers_path)
-    accounts = _replace(marts.dim_account(staged_accounts, customers, rules, read_optional(spark, accounts_path)), accounts_path)
+    logs = (layout.table("history", "customer_loads"), layout.table("history", "account_loads"))
+    customers = _replace(marts.dim_customer(staged_customers, rules, read_optional(spark, customers_path), logs[0]), customers_path)
+    accounts = _replace(marts.dim_account(staged_accounts, customers, rules, read_optional(spark, accounts_path), logs[1]), accounts_path)
     first, last = _span(arrived)
     known_dates = read_optional(spark, layout.table("marts", "dim_date"))
     if known_dates is not None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerframe.config import Rules
 from tellerframe.functions.dates import calendar_attributes
-from tellerframe.operators.history import merge_history, start_history
+from tellerframe.operators.history import load_history, merge_history, start_history
 
 # ---- fixed values ----------------------------------------------------------
 FIRST_DAY = date(2020, 1, 1)
@@ -47,30 +47,37 @@ def customer_attributes(staged: DataFrame) -> DataFrame:
     )
 
 
-def account_attributes(staged: DataFrame, customers: DataFrame) -> DataFrame:
-    """Account columns with the key of the current customer version."""
-    current = customers.filter("is_current").select("customer_id", "customer_sk")
-    return staged.join(current, "customer_id", "left").select(
+def account_attributes(staged: DataFrame, customers: DataFrame, as_of: date | None = None) -> DataFrame:
+    """Account columns with the key of their customer, if it is known; on ``as_of``, if given, else now."""
+    known = customers.filter("is_current" if as_of is None else F.col("effective_from") <= F.lit(as_of)).select("customer_id", "customer_sk")
+    return staged.join(known if as_of is None else known.distinct(), "customer_id", "left").select(
         "account_id", "customer_sk", "account_type", "account_status", "currency", "balance_tier", "branch_id",
         "is_dormant", "is_overdraft", "open_date",
     )
 
 
-def dim_customer(staged: DataFrame, rules: Rules, previous: DataFrame | None = None) -> DataFrame:
-    """Customer versions after this load; without ``previous`` the first load."""
-    attributes = customer_attributes(staged)
-    if previous is None:
-        return start_history(attributes, "customer_id", "customer_sk", rules.as_of)
-    return merge_history(previous, attributes, "customer_id", "customer_sk", CUSTOMER_TRACKED, rules.as_of)
+def dim_customer(staged: DataFrame, rules: Rules, previous: DataFrame | None = None, log: str | None = None) -> DataFrame:
+    """Customer versions after this load; without ``previous`` the first load.  With the path of a log of loads,
+    loads may come in any order and again."""
+    return _dimension(customer_attributes(staged), "customer_id", "customer_sk", CUSTOMER_TRACKED, rules, previous, log)
+
 
+def dim_account(
+    staged: DataFrame, customers: DataFrame, rules: Rules, previous: DataFrame | None = None, log: str | None = None
+) -> DataFrame:
+    """Account versions after this load; a load out of order follows that of its day's customers."""
+    attributes = account_attributes(staged, customers, rules.as_of if log else None)
+    return _dimension(attributes, "account_id", "account_sk", ("customer_sk", *ACCOUNT_TRACKED), rules, previous, log)
 
-def dim_account(staged: DataFrame, customers: DataFrame, rules: Rules, previous: DataFrame | None = None) -> DataFrame:
-    """Account versions after this load."""
-    attributes = account_attributes(staged, customers)
+
+def _dimension(
+    attributes: DataFrame, key: str, sk: str, tracked: tuple[str, ...], rules: Rules, previous: DataFrame | None, log: str | None
+) -> DataFrame:
+    if log:
+        return load_history(previous, attributes, key, sk, tracked, rules.as_of, log)
     if previous is None:
-        return start_history(attributes, "account_id", "account_sk", rules.as_of)
-    tracked = ("customer_sk", *ACCOUNT_TRACKED)
-    return merge_history(previous, attributes, "account_id", "account_sk", tracked, rules.as_of)
+        return start_history(attributes, key, sk, rules.as_of)
+    return merge_history(previous, attributes, key, sk, tracked, rules.as_of)
 
 
 def fact_transactions(

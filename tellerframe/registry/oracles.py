@@ -782,14 +782,16 @@ add(
 
 add("scd2_customer", "SELECT * FROM scd_customer")
 add("scd2_account", "SELECT * FROM scd_account")
-add(
-    "pit_segment",
-    f"""SELECT c.customer_segment, c.age_band, t.txn_year, COUNT(*) AS n, {VOLUME} AS volume_cad
+# the order of loads makes no difference
+add("scd2_any_order", "SELECT * FROM scd_customer")
+add("scd2_account_any_order", "SELECT * FROM scd_account")
+POINT_IN_TIME = f"""SELECT c.customer_segment, c.age_band, t.txn_year, COUNT(*) AS n, {VOLUME} AS volume_cad
         FROM stg_transactions t JOIN stg_accounts a ON a.account_id = t.account_id
         LEFT JOIN scd_customer c ON c.customer_id = a.customer_id AND CAST(t.transaction_date AS VARCHAR) >= c.effective_from
              AND (c.effective_to IS NULL OR CAST(t.transaction_date AS VARCHAR) < c.effective_to)
-        GROUP BY c.customer_segment, c.age_band, t.txn_year""",
-)
+        GROUP BY c.customer_segment, c.age_band, t.txn_year"""
+add("pit_segment", POINT_IN_TIME)
+add("pit_any_order", POINT_IN_TIME)
 
 # ---- incremental loads -----------------------------------------------------
 

@@ -527,6 +527,40 @@ def scd2_account(bank: Bank) -> DataFrame:
     return _histories(bank)[1]
 
 
+# ours: the middle load comes first, the oldest after the newest, and one again
+ANY_ORDER = (LOAD_DAYS[1], LOAD_DAYS[2], LOAD_DAYS[0], LOAD_DAYS[1])
+
+
+def _any_order(bank: Bank) -> tuple[DataFrame, DataFrame]:
+    """Customer and account dimension after loads out of order."""
+    customers = accounts = None
+    logs = [fresh_path(bank.spark, name) for name in ("customer-loads", "account-loads")]
+    for day in ANY_ORDER:
+        rules = rules_at(day)
+        known_customers = bank.raw_customers.filter(F.col("join_date") <= day.isoformat())
+        known_accounts = bank.raw_accounts.filter(F.col("open_date") <= day.isoformat())
+        customers = materialize(marts.dim_customer(staging.stage_customers(known_customers, rules), rules, customers, logs[0]), "dim-customer")
+        accounts = materialize(marts.dim_account(staging.stage_accounts(known_accounts, rules), customers, rules, accounts, logs[1]), "dim-account")
+    return customers, accounts
+
+
+@query
+def scd2_any_order(bank: Bank) -> DataFrame:
+    """Customer versions after loads out of order: those of the loads in order."""
+    return _any_order(bank)[0]
+
+
+@query
+def scd2_account_any_order(bank: Bank) -> DataFrame:
+    return _any_order(bank)[1]
+
+
+@query
+def pit_any_order(bank: Bank) -> DataFrame:
+    """Volume by the segment valid on the transaction day, after a backdated load."""
+    return _point_in_time(bank, _any_order(bank)[0])
+
+
 def _after_history(bank: Bank) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Facts loaded with the first dimensions; customers and accounts after the third load."""
     customers = accounts = fact = None
@@ -571,6 +605,10 @@ def pit_segment(bank: Bank) -> DataFrame:
         rules = rules_at(day)
         known = bank.raw_customers.filter(F.col("join_date") <= day.isoformat())
         customers = marts.dim_customer(staging.stage_customers(known, rules), rules, customers)
+    return _point_in_time(bank, customers)
+
+
+def _point_in_time(bank: Bank, customers: DataFrame) -> DataFrame:
     owners = bank.accounts.select("account_id", "customer_id")
     owned = bank.transactions.join(owners, "account_id")
     dated = as_of_join(owned, customers, "customer_id", "transaction_date", ["customer_segment", "age_band"])

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 
-from tellerframe.operators.history import as_of_join, merge_history, start_history
+from tellerframe.operators.history import as_of_join, load_history, merge_history, start_history
 from tellerframe.plans.marts import dim_date
+from tellerframe.sources.storage import fresh_path, materialize
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 6, 1), date(2024, 9, 1)
 
@@ -69,6 +71,73 @@ def test_empty_batch_keeps_the_dimension(spark, rows):
     assert versions(rows, merge(once, staged(spark).limit(0), D3)) == versions(rows, once)
 
 
+def loaded(spark, loads, log=None, dimension=None):
+    log = log or fresh_path(spark, "loads")
+    for day, *data in loads:
+        after = load_history(dimension, staged(spark, *data), "id", "sk", ["segment"], day, log)
+        dimension = materialize(after, "dimension")
+    return dimension
+
+
+def test_backdated_load_keeps_the_newer_version(spark, rows):
+    """Loads of 1, 5 and 3 August."""
+    days = [date(2024, 8, d) for d in (1, 5, 3)]
+    got = loaded(spark, [(day, ("a", segment, 1)) for day, segment in zip(days, "ABC")])
+    assert versions(rows, got) == [
+        ("a", "A", days[0], days[2], False),
+        ("a", "B", days[1], None, True),
+        ("a", "C", days[2], days[1], False),
+    ]
+
+
+def test_any_order_of_loads_gives_one_table(spark, rows):
+    """Random loads, some keys missing from some, shuffled, some of them twice: the table of the plain timeline."""
+    draw = random.Random(11)
+    every = [None, "Mass", "Affluent"]
+    loads = [
+        (date(2024, 1, 1 + d), *((k, draw.choice(every), d) for k in "abcdef" if draw.random() < 0.7)) for d in range(5)
+    ]
+    expected = []
+    for key in "abcdef":
+        own = []
+        for day, *data in loads:
+            for k, segment, tenure in data:
+                if k != key:
+                    continue
+                if own and own[-1][1] == segment:
+                    own[-1] = (key, segment, tenure, own[-1][3])
+                else:
+                    own.append((key, segment, tenure, day))
+        ends = [v[3] for v in own[1:]] + [None]
+        expected += [(*v, end, end is None) for v, end in zip(own, ends)]
+    columns = ("id", "segment", "tenure", "effective_from", "effective_to", "is_current")
+    keys = None
+    for _ in range(2):
+        order = loads + [draw.choice(loads)]
+        draw.shuffle(order)
+        got = loaded(spark, order)
+        assert rows(got, *columns) == sorted(expected, key=lambda r: [(v is not None, v) for v in r])
+        found = rows(got, "sk", "version_sk")
+        assert len(set(found)) == len(found) and (keys is None or found == keys)
+        keys = found
+
+
+def test_a_repeated_day_takes_back_what_it_said(spark, rows):
+    """The second load of a day lacks a key and restores another: no version of the first one stays."""
+    got = loaded(spark, [(D1, ("a", "Mass", 1)), (D2, ("a", "Affluent", 1), ("b", "Mass", 1)), (D2, ("a", "Mass", 2))])
+    assert versions(rows, got) == [("a", "Mass", D1, None, True)]
+
+
+def test_dimension_without_a_log_gets_one(spark, rows):
+    got = loaded(spark, [(date(2024, 3, 1), ("b", "Private", 1))], dimension=materialize(history(spark), "dimension"))
+    assert [v for v in versions(rows, got) if v[0] == "b"] == [
+        ("b", "Affluent", D2, None, True),
+        ("b", "Mass", D1, date(2024, 3, 1), False),
+        ("b", "Private", date(2024, 3, 1), D2, False),
+    ]
+    assert [v for v in versions(rows, got) if v[0] != "b"] == [v for v in versions(rows, history(spark)) if v[0] != "b"]
+
+
 def test_point_in_time(spark, rows):
     facts = spark.createDataFrame(
         [("b", date(2023, 12, 31)), ("b", D1), ("b", date(2024, 5, 31)), ("b", D2), ("x", D2)], "id string, day date"
