@@ -9,6 +9,7 @@ drive the fact and the KPI tables.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerframe.config import Rules
-from tellerframe.operators import score
+from tellerframe.operators import score, uniques
 from tellerframe.operators.checks import run_checks, with_samples
 from tellerframe.operators.quarantine import quarantine
 from tellerframe.operators.upsert import matching
@@ -25,7 +26,7 @@ from tellerframe.schemas import RAW_FEEDS
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import seeds
 from tellerframe.sources.raw import inventory, read_optional
-from tellerframe.sources.storage import materialize, working
+from tellerframe.sources.storage import materialize, path_exists, rename_path, working
 
 
 class QualityHalt(RuntimeError):
@@ -146,20 +147,62 @@ def _span(arrived: DataFrame) -> tuple[date, date]:
 
 
 def build_kpis(spark: SparkSession, days: DataFrame, layout: Layout, rules: Rules) -> None:
-    """Recompute the days and whole months that changed; a day or month without
-    rows any more goes."""
+    """Recompute the days and whole months that changed, and move the months of customers whose segment
+    changed; a day or month without rows any more goes."""
     fact = _stored(spark, layout, "marts", "fact_transactions")
-    customers = _stored(spark, layout, "marts", "dim_customer")
-    staged_accounts = _stored(spark, layout, "staging", "stg_accounts")
-    months = tables.with_month(days, "transaction_date").select(tables.MONTH).distinct()
+    months = {row[0] for row in tables.with_month(days, "transaction_date").select(tables.MONTH).distinct().collect()}
     # as many as the calendar has months; a literal list prunes partitions
-    touched = fact.filter(tables.among(tables.MONTH, {row[0] for row in months.collect()}))
+    touched = fact.filter(tables.among(tables.MONTH, months))
+    changed = matching(touched, days, ["transaction_date"], "left_semi")
+    summary_days = days.select(F.col("transaction_date").alias("summary_date"))
+
+    holders = materialize(kpi.daily_holders(changed, *_numbers(spark, layout)), "day-holders")
+    _exchange(holders, summary_days, layout.table("metrics", "daily_holders"))
+    _exchange(kpi.daily_kpi(changed, rules, holders), summary_days, layout.table("metrics", "kpi_daily_summary"))
+    _build_segments(spark, fact, months, layout, rules)
+
+
+def _numbers(spark: SparkSession, layout: Layout) -> list[DataFrame]:
+    """Numbers of all accounts and customers, new ones included."""
+    found = []
+    for name, key in (("account", "account_sk"), ("customer", "customer_sk")):
+        path = layout.table("metrics", f"{name}_numbers")
+        found.append(_replace(uniques.numbered(_stored(spark, layout, "marts", f"dim_{name}"), key, read_optional(spark, path)), path))
+    return found
+
 
-    daily = kpi.daily_kpi(matching(touched, days, ["transaction_date"], "left_semi"), rules)
-    _exchange(daily, days.select(F.col("transaction_date").alias("summary_date")), layout.table("metrics", "kpi_daily_summary"))
-    segments = kpi.segment_kpi(touched, customers, staged_accounts, rules)
-    firsts = days.select(F.trunc("transaction_date", "month").alias("summary_date")).distinct()
-    _exchange(segments, firsts, layout.table("metrics", "kpi_customer_segment"))
+def _build_segments(spark: SparkSession, fact: DataFrame, months: set, layout: Layout, rules: Rules) -> None:
+    """The segment KPI, equal to one computed from the whole fact.
+
+    Kept are the transactions of each customer and month, by month, and beside the flow of each segment the
+    segments it was counted with.  Touched months are counted again; in all others only customers whose segment is another
+    than then are moved.  Flow and segments are put in place together, so that a broken-off run moves none twice.
+    Balances are of the run day in every month's row.
+    """
+    counts_path, state = layout.table("metrics", "customer_months"), layout.table("metrics", "segment_state")
+    first = not path_exists(spark, state) or not path_exists(spark, counts_path)
+    source = fact if first else fact.filter(tables.among(tables.MONTH, months))
+    counts = materialize(tables.with_month(kpi.customer_months(source), "summary_date"), "customer-months")
+    tables.overwrite_partitions(counts, counts_path, tables.MONTH, ("customer_sk",))
+    for month in months - {row[0] for row in counts.select(tables.MONTH).distinct().collect()}:
+        tables.drop_partition(spark, counts_path, tables.MONTH, month)
+
+    customers = _stored(spark, layout, "marts", "dim_customer")
+    segments = kpi.current_segments(customers)
+    flow = kpi.segment_flow(counts.drop(tables.MONTH), segments)
+    if not first:
+        untouched = ~F.coalesce(tables.among(tables.MONTH, months), F.lit(False))
+        kept = tables.with_month(spark.read.parquet(f"{state}/flow"), "summary_date").filter(untouched).drop(tables.MONTH)
+        moved = materialize(kpi.moved_customers(spark.read.parquet(f"{state}/segments"), segments), "moved-customers")
+        others = spark.read.parquet(counts_path).filter(untouched).drop(tables.MONTH)
+        flow = flow.unionByName(kpi.carried_flow(kept, others, moved))
+    beside = f"{state}.new-{uuid.uuid4().hex}"
+    flow.write.parquet(f"{beside}/flow")
+    segments.write.parquet(f"{beside}/segments")
+    rename_path(spark, beside, state)
+    staged_accounts = _stored(spark, layout, "staging", "stg_accounts")
+    result = kpi.segment_kpi_of(spark.read.parquet(f"{state}/flow"), customers, staged_accounts, rules)
+    tables.replace_table(result, layout.table("metrics", "kpi_customer_segment"))
 
 
 def _exchange(rows: DataFrame, days: DataFrame, path: str) -> None:

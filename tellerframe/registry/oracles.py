@@ -198,6 +198,14 @@ add(
           '{STAMP}' AS _computed_at
         FROM fact_transactions GROUP BY transaction_date""",
 )
+add(
+    "kpi_period_uniques",
+    " UNION ALL ".join(
+        f"""SELECT CAST(CAST(date_trunc('{unit}', transaction_date) AS DATE) AS VARCHAR) AS summary_date, COUNT(DISTINCT account_sk) AS unique_accounts,
+          COUNT(DISTINCT customer_sk) AS unique_customers, '{unit}' AS period FROM fact_transactions GROUP BY ALL"""
+        for unit in ("week", "month")
+    ),
+)
 add(
     "kpi_daily_staged",
     f"""SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, COUNT(transaction_id) AS transaction_count,
@@ -971,19 +979,19 @@ add(
         "clean_fact": fact("stg_clean"),
     },
 )
-add(
-    "daily_run_fact",
-    f"SELECT * REPLACE ({double('amount_cad', 'signed_amount_cad')}, {text('transaction_date')}) FROM clean_fact",
-    {
-        "day_1": "SELECT * FROM raw_transactions WHERE _extract_ts = '2026-08-02T00:00:00'",
-        "day_2": "SELECT * FROM raw_transactions WHERE _extract_ts <> '2026-08-02T00:00:00'",
-        "flagged_1": reasons("day_1"),
-        "flagged_2": reasons("day_2"),
-        "clean": "SELECT * EXCLUDE (reasons) FROM flagged_1 WHERE reasons = '' UNION ALL SELECT * EXCLUDE (reasons) FROM flagged_2 WHERE reasons = ''",
-        "stg_clean": staged_transactions("clean"),
-        "clean_fact": fact("stg_clean"),
-    },
-)
+TWO_DAYS = {
+    "day_1": "SELECT * FROM raw_transactions WHERE _extract_ts = '2026-08-02T00:00:00'",
+    "day_2": "SELECT * FROM raw_transactions WHERE _extract_ts <> '2026-08-02T00:00:00'",
+    "flagged_1": reasons("day_1"),
+    "flagged_2": reasons("day_2"),
+    "clean": "SELECT * EXCLUDE (reasons) FROM flagged_1 WHERE reasons = '' UNION ALL SELECT * EXCLUDE (reasons) FROM flagged_2 WHERE reasons = ''",
+    "stg_clean": staged_transactions("clean"),
+    "clean_fact": fact("stg_clean"),
+}
+add("daily_run_fact", f"SELECT * REPLACE ({double('amount_cad', 'signed_amount_cad')}, {text('transaction_date')}) FROM clean_fact", TWO_DAYS)
+add("run_two_days_stg", BODIES["stg_transactions"].replace("FROM stg_transactions", "FROM stg_clean"), TWO_DAYS)
+add("run_two_days_kpi", BODIES["kpi_daily_summary"].replace("FROM fact_transactions", "FROM clean_fact"), TWO_DAYS)
+add("kpi_segment_maintained", BODIES["kpi_customer_segment"].replace("FROM fact_transactions", "FROM clean_fact"), TWO_DAYS)
 
 # ---- reports after history: the totals of the first load under the third load's attributes
 

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tellerframe.operators.upsert import touched_partitions, upsert
@@ -163,7 +163,11 @@ def merge_partitions(
         left -= {row[0] for row in merged.filter(among(partition, left)).select(partition).distinct().collect()}
     overwrite_partitions(merged, path, partition, cluster)
     for value in left:
-        delete_path(batch.sparkSession, f"{path}/{partition}={_HIVE_NULL if value is None else value}")
+        drop_partition(batch.sparkSession, path, partition, value)
+
+
+def drop_partition(spark: SparkSession, path: str, partition: str, value) -> None:
+    delete_path(spark, f"{path}/{partition}={_HIVE_NULL if value is None else value}")
 
 
 def among(column: str, values: set) -> Column:
