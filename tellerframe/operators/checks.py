@@ -1,9 +1,8 @@
 """Declarative quality checks.
 
 A check is a small record; :func:`run_checks` turns a list of them into one
-row per check.  All row-local checks of a table share one aggregation pass.
-Uniqueness and references are counted per key value first, so a key that holds
-a third of the rows reaches its reducer as one partial count per map task.
+row per check.  All row-local checks of a table share one aggregation pass, all
+uniqueness and reference checks another one over its key columns.
 """
 
 from __future__ import annotations
@@ -230,19 +229,6 @@ def _observed(index: int, check: Check, value: Column, label: str) -> Column:
     return _outcome(index, check, F.when(inside, 0).otherwise(1), F.lit(1), details)
 
 
-def _uniqueness(df: DataFrame, index: int, check: Check) -> DataFrame:
-    sizes = df.groupBy(check.column).agg(F.count(F.lit(1)).alias("_n"))
-    if check.every_copy:
-        repeated = F.coalesce(F.sum(F.when((F.col("_n") > 1) & F.col(check.column).isNotNull(), F.col("_n"))), F.lit(0))
-    else:
-        repeated = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
-    totals = sizes.agg(repeated.alias("_bad"), F.sum("_n").alias("_rows"))
-    bad = F.col("_bad")
-    return totals.select(
-        _outcome(index, check, bad, F.col("_rows"), _count_text(bad, "", " duplicate rows detected")).alias("r")
-    ).select("r.*")
-
-
 def orphan_keys(df: DataFrame, column: str, table: DataFrame, table_column: str) -> DataFrame:
     """Non-null values of ``column`` absent from the reference, with row counts.
 
@@ -254,19 +240,45 @@ def orphan_keys(df: DataFrame, column: str, table: DataFrame, table_column: str)
     return used.join(known, column, "left_anti")
 
 
-def _reference(df: DataFrame, index: int, check: Check) -> DataFrame:
-    used = df.groupBy(check.column).agg(F.count(F.lit(1)).alias("_n"))
-    known = check.reference.select(F.col(check.reference_column).alias("_known")).distinct()
-    joined = used.join(known, used[check.column] == known["_known"], "left")
-    orphan = F.col(check.column).isNotNull() & F.col("_known").isNull()
-    totals = joined.agg(
-        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("_bad"),
-        F.count_if(orphan).alias("_keys"),
-        F.sum("_n").alias("_rows"),
-    )
-    bad = F.col("_bad")
-    details = F.when(bad == 0, "OK").otherwise(F.concat(F.lit("Orphan keys: "), F.col("_keys").cast("string")))
-    return totals.select(_outcome(index, check, bad, F.col("_rows"), details).alias("r")).select("r.*")
+def _keyed(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
+    """All uniqueness and reference checks of a table in one pass over it.
+
+    The key columns of a row become rows (check, key), those of the references too, marked as theirs.  One
+    aggregate counts both sides of every key, in partial counts before its shuffle, so a key
+    of a third of all rows is one row per map task; duplicates and orphans are read from the counts.
+    """
+    side = F.struct
+    own = [side(F.lit(i).alias("_check"), F.col(c.column).cast("string").alias("_key"), F.lit(1).cast("long").alias("_own"), F.lit(0).alias("_known")) for i, c in numbered]
+    tagged = df.select(F.inline(F.array(*own)))
+    types = dict(df.dtypes)
+    for i, check in numbered:
+        if check.kind == "reference":
+            key = F.col(check.reference_column).cast(types[check.column]).cast("string")
+            known = check.reference.select(F.lit(i).alias("_check"), key.alias("_key"), F.lit(0).cast("long").alias("_own"), F.lit(1).alias("_known"))
+            tagged = tagged.unionByName(known)
+    keys = tagged.groupBy("_check", "_key").agg(F.sum("_own").alias("_n"), F.max("_known").alias("_known")).filter("_n > 0")
+    repeated, present, orphan = F.col("_n") > 1, F.col("_key").isNotNull(), F.col("_key").isNotNull() & (F.col("_known") == 0)
+    figures = {
+        "rows": F.sum("_n"),
+        "copies": F.sum(F.col("_n") - 1),
+        "every_copy": F.coalesce(F.sum(F.when(repeated & present, F.col("_n"))), F.lit(0)),
+        "orphans": F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)),
+        "orphan_keys": F.count_if(orphan),
+    }
+    totals = keys.groupBy("_check").agg(*[e.alias(n) for n, e in figures.items()])
+    # one row for each check; an empty table has none
+    by_check = F.map_from_entries(F.collect_list(F.struct("_check", F.struct(*figures))))
+    outcomes = []
+    for i, check in numbered:
+        found = F.col("_totals")[i]
+        if check.kind == "unique":
+            bad = F.coalesce(found["every_copy" if check.every_copy else "copies"], F.lit(0))
+            details = _count_text(bad, "", " duplicate rows detected")
+        else:
+            bad = F.coalesce(found["orphans"], F.lit(0))
+            details = F.when(bad == 0, "OK").otherwise(F.concat(F.lit("Orphan keys: "), found["orphan_keys"].cast("string")))
+        outcomes.append(_outcome(i, check, bad, found["rows"], details))
+    return totals.agg(by_check.alias("_totals")).select(F.inline(F.array(*outcomes)))
 
 
 def _median(df: DataFrame, index: int, check: Check) -> DataFrame:
@@ -278,12 +290,10 @@ def _median(df: DataFrame, index: int, check: Check) -> DataFrame:
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per applicable check, in the order given (``check_index``)."""
     numbered = list(enumerate(applicable(df, checks)))
-    separate = {"unique": _uniqueness, "reference": _reference, "median": _median}
-    parts = []
-    local = [(i, c) for i, c in numbered if c.kind not in separate]
-    if local:
-        parts.append(_single_pass(df, local))
-    parts += [separate[c.kind](df, i, c) for i, c in numbered if c.kind in separate]
+    keyed = [(i, c) for i, c in numbered if c.kind in ("unique", "reference")]
+    local = [(i, c) for i, c in numbered if c.kind not in ("unique", "reference", "median")]
+    parts = [whole(df, some) for whole, some in ((_single_pass, local), (_keyed, keyed)) if some]
+    parts += [_median(df, i, c) for i, c in numbered if c.kind == "median"]
     if not parts:
         return df.sparkSession.createDataFrame([], RESULT)
     result = parts[0]

@@ -248,3 +248,18 @@ def test_report_is_nested(spark, dirty, rules):
     assert [r.check_index for r in report.checks] == list(range(10))
     # 4 of 7 quarantining checks and 2 flags fail with 20 percent each
     assert float(report.overall_score) == round(100 - 100 * (4 * 3 + 2 * 1) * 0.2 / (6 * 3 + 3 * 1 + 0.5), 1)
+
+
+def test_key_checks_read_the_table_once(spark):
+    """However many keys and references: one scan of the table, one of each reference, one exchange of keys."""
+    from tellerframe.operators.checks import references, run_checks, unique
+    from tellerframe.sources.storage import materialize
+
+    df = materialize(spark.range(50).selectExpr("id % 40 AS a", "id AS b", "id % 7 AS c", "cast(id % 3 AS int) AS d"), "checked")
+    known = materialize(spark.range(5).selectExpr("id AS k"), "known")
+    rules = [unique("a"), unique("b"), references("c", known, "k"), references("d", known, "k")]
+    results = run_checks(df, rules)
+    assert [r.failed_count for r in results.orderBy("check_index").collect()] == [10, 0, 14, 0]
+    plan = results._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan parquet") == 3
+    assert [r.failed_count for r in run_checks(df.limit(0), rules).collect()] == [0] * 4
