@@ -35,7 +35,7 @@ from .shipping import ship
 CAPACITY = 1024
 POOL = 4096  # pieces that wait for a sequence in a task
 _SLICE = 1 << 20  # characters encoded at a time
-_CACHED_WORDS, _CACHED_LENGTH = 400_000, 64
+_CACHED_WORDS, _CACHED_LENGTH = 1_000_000, 64
 _OUT_BYTES = 4 << 20
 _ID_BYTES = 4
 _PARTITION_BITS = 33  # a sequence is a number within a partition: partition << _PARTITION_BITS | number
@@ -44,11 +44,15 @@ _NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offs
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit numbers, for byte-level vocabularies whose words begin at a space."""
+    """Ids of whole texts as little-endian 32-bit numbers, for byte-level vocabularies whose words begin at a space.
+
+    Words are looked up; those not met yet are encoded together, a line for each, as a line's end is always an id of its own."""
 
     # A space with a visible character behind it always begins a new word of the vocabulary's pattern, and
     # nothing before it depends on what follows.
     _BEGIN = re.compile(r" (?=\S)")
+    _PLAIN = re.compile(r" ?\S+")
+    _LINE = re.compile(r"(?<=\S)\n(?=\S)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -57,6 +61,8 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        (self._line_end,) = self._ids("\n")
+        self._newline = np.array([self._line_end], "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         parts, at = [], 0
@@ -67,21 +73,39 @@ class Encoder:
             at = end
         return b"".join(parts)
 
+    def _ids(self, text: str) -> list[int]:
+        return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _slice(self, text: str) -> bytes:
-        first, *words = self._BEGIN.split(text)
+        words, ends = [], []
+        for line in self._LINE.split(text):
+            # the first word of a line has no space before it
+            first, *others = self._BEGIN.split(line)
+            words.append("\n" + first)
+            words += others
+            ends.append(len(words))
         known = self._known
         ids = list(map(known.get, words))
         missing = list({w for w, i in zip(words, ids) if i is None})
-        encoded = self._tokenizer.encode_batch_fast([first, *(" " + w for w in missing)], add_special_tokens=False)
-        opening, *found = [np.array(e.ids, "<u4").tobytes() for e in encoded]
         if missing:
-            new = dict(zip(missing, found))
+            new = self._new(missing)
             ids = [new[w] if i is None else i for w, i in zip(words, ids)]
             known.update((w, i) for w, i in new.items() if len(w) <= _CACHED_LENGTH)
             if len(known) > _CACHED_WORDS:  # the oldest half goes; words that are still in use come back
                 for w in list(known)[: len(known) // 2]:
                     del known[w]
-        return b"".join([opening, *ids])
+        for end in ends[:-1]:
+            ids[end - 1] += self._newline
+        return b"".join(ids)
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        own = [w[1:] if w[0] == "\n" else " " + w for w in words]
+        plain = list(map(self._PLAIN.fullmatch, own))
+        found = np.array(self._ids("\n".join([o for o, p in zip(own, plain) if p])), "<u4")
+        ends = (np.flatnonzero(found == self._line_end) * _ID_BYTES).tolist()
+        ids = found.tobytes()
+        lines = map(ids.__getitem__, map(slice, [0, *(e + _ID_BYTES for e in ends)], [*ends, len(ids)]))
+        return {w: next(lines) if p else np.array(self._ids(o), "<u4").tobytes() for w, o, p in zip(words, own, plain)}
 
 
 @lru_cache(maxsize=2)
