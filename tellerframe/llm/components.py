@@ -5,25 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.storage import materialize
+from ..sources.storage import delete_path, fresh_path
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, component) for every vertex of the edges (a, b), which are numbers: the component is its
     smallest vertex.  Null ends and loops are ignored; repeated edges are one edge.  Each round is
-    written, so a lost executor costs one round at most.  Rounds go on until nothing changes."""
-    state = materialize(
-        edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
+    written, so a lost executor costs one round at most; the round before it is then deleted.  Rounds go on until
+    nothing changes."""
+    spark = edges.sparkSession
+    ordered = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    state, path = _written(ordered.distinct())
     before = None
     while (now := _print(state)) != before:
-        before = now
-        state = materialize(_small_star(_large_star(state)), "edges")
+        before, done = now, path
+        state, path = _written(_small_star(_large_star(state)))
+        delete_path(spark, done)
     return state.groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("component")).unionByName(
         state.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
     )
 
 
+def _written(state: DataFrame) -> tuple[DataFrame, str]:
+    path = fresh_path(state.sparkSession, "edges")
+    state.write.parquet(path)
+    return state.sparkSession.read.schema(state.schema).parquet(path), path
+
+
 def _print(state: DataFrame) -> tuple:
     hashed = F.xxhash64("u", "v")
     return tuple(state.agg(F.count("*"), F.bit_xor(hashed), F.sum(F.shiftright(hashed, 20))).first())

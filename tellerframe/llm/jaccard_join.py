@@ -171,12 +171,18 @@ def _between(postings: DataFrame, found: DataFrame, similarity: int) -> DataFram
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs that share prefix tokens under the other orders too and whose sets reach the similarity."""
-    some = sets.where(F.col("n_tokens").isNotNull())
-    one = some.select(F.col("doc_id").alias("a"), *(F.col(c).alias(f"{c}_a") for c in ("n_tokens", "tokens", "prefix_2", "prefix_3")))
-    two = some.select(F.col("doc_id").alias("b"), *(F.col(c).alias(f"{c}_b") for c in ("n_tokens", "tokens", "prefix_2", "prefix_3")))
-    both = pairs.join(one, "a").join(two, "b")
+    """The pairs that share prefix tokens under the other orders too and whose sets reach the similarity.  Prefixes are
+    fetched for the documents of pairs alone, whole sets for those of the pairs that pass."""
+    shared = F.arrays_overlap("prefix_2_a", "prefix_2_b") & F.arrays_overlap("prefix_3_a", "prefix_3_b")
+    passed = _beside(materialize(pairs, "pairs"), sets, "prefix_2", "prefix_3").where(shared).select("a", "b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    passed = F.arrays_overlap("prefix_2_a", "prefix_2_b") & F.arrays_overlap("prefix_3_a", "prefix_3_b")
     similar = 100 * common >= similarity * (F.col("n_tokens_a") + F.col("n_tokens_b") - common)
-    return both.where(passed & similar).select("a", "b")
+    return _beside(materialize(passed, "pairs"), sets, "n_tokens", "tokens").where(similar).select("a", "b")
+
+
+def _beside(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with these columns of every set of both documents."""
+    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    some = sets.where(F.col("n_tokens").isNotNull()).select("doc_id", *columns).join(used, "doc_id", "left_semi")
+    one, two = (some.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)) for side in ("a", "b"))
+    return pairs.join(one, "a").join(two, "b")
