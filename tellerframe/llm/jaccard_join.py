@@ -127,10 +127,11 @@ def linked(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     members = some.select("doc_id", "n_tokens", "sum_1", "sum_2").join(classes, ["n_tokens", "sum_1", "sum_2"])
     members = materialize(members.select(F.col("doc_id").alias("a"), F.col("first_id").alias("b"), "n_tokens", "sum_1", "sum_2"), "classes")
     heads = members.where("a = b").select(F.col("b").alias("doc_id"), "n_tokens", "sum_1", "sum_2").distinct()
-    heads = some.join(heads, ["doc_id", "n_tokens", "sum_1", "sum_2"], "left_semi")
+    # the number of tokens is taken before the exchange, so that the tokens stay behind
+    heads = some.withColumn("n", F.size("tokens")).drop("tokens", "prefix_2", "prefix_3").join(heads, ["doc_id", "n_tokens", "sum_1", "sum_2"], "left_semi")
     # ``rest``: tokens of the document from this one on that others have too.  Two sets share no more than the
     # smaller rest at the first token they have in common.
-    exploded = heads.select("doc_id", "n_tokens", "commonness", F.size("tokens").alias("n"), F.posexplode("prefix_1").alias("rank", "token"))
+    exploded = heads.select("doc_id", "n_tokens", "commonness", "n", F.posexplode("prefix_1").alias("rank", "token"))
     postings = materialize(exploded.withColumn("rest", F.col("n") - F.col("rank")).drop("n", "rank"), "postings")
     edges = members.select("a", "b")
 
