@@ -146,7 +146,8 @@ def as_of_join(facts: DataFrame, dimension: DataFrame, key: str, day: str, colum
 
     The equality on ``key`` keeps it a hash or merge join; validity is a
     residual condition, evaluated inside the join.  Facts before the first
-    version keep nulls.
+    version keep nulls.  Each fact meets all versions of its key: for keys
+    with many versions there is :func:`as_of_fill`.
     """
     versions = dimension.select(F.col(key).alias("_dim_key"), "effective_from", "effective_to", *columns)
     return facts.join(
@@ -156,3 +157,38 @@ def as_of_join(facts: DataFrame, dimension: DataFrame, key: str, day: str, colum
         & (F.col("effective_to").isNull() | (F.col(day) < F.col("effective_to"))),
         "left",
     ).drop("_dim_key", "effective_from", "effective_to")
+
+
+def as_of_fill(facts: DataFrame, dimension: DataFrame, key: str, day: str, columns: Sequence[str], slice_by: str = "month") -> DataFrame:
+    """The rows of :func:`as_of_join` for keys with any number of versions.
+
+    The distinct (key, day) of the facts and the versions stand on one timeline, on which the last version is
+    carried forward; the facts then take theirs by an equi join on key and day, which adaptive execution splits
+    where a key is hot.  A timeline is cut into slices of time (a unit of ``date_trunc``), each of which begins with the version it inherits: a
+    hot key is as many groups as slices, and only one row for each slice is ordered over the whole key.
+    """
+    moment = facts.schema[day].dataType
+    at = F.col("_day")
+    valid = F.col("effective_to").isNull() | (F.col("effective_from") < F.col("effective_to"))
+    asked = facts.select(F.col(key).alias("_key"), F.col(day).alias("_day")).dropna().distinct()
+    known = dimension.filter(valid).select(
+        F.col(key).alias("_key"), F.col("effective_from").cast(moment).alias("_day"), F.struct("effective_to", *columns).alias("_version")
+    )
+    known = known.dropna(subset=["_key", "_day"])
+    nothing = F.lit(None).cast(known.schema["_version"].dataType)
+    timeline_rows = (
+        known.withColumn("_kind", F.lit(1))
+        .unionByName(asked.select("_key", "_day", nothing.alias("_version"), F.lit(2).alias("_kind")))
+        .withColumn("_slice", F.date_trunc(slice_by, at))
+    )
+    slices = timeline_rows.groupBy("_key", "_slice").agg(F.max_by("_version", F.when(F.col("_kind") == 1, at)).alias("_last"))
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = slices.select(
+        "_key", F.col("_slice").cast(moment).alias("_day"), F.last("_last", ignorenulls=True).over(earlier).alias("_version"), F.lit(0).alias("_kind"), "_slice"
+    ).filter("_version is not null")
+    so_far = Window.partitionBy("_key", "_slice").orderBy("_day", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = timeline_rows.unionByName(inherited).withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).filter("_kind = 2")
+    ends = F.col("_version")["effective_to"]
+    filled = filled.select("_key", "_day", F.when(ends.isNull() | (at < ends), F.col("_version")).alias("_version"))
+    joined = facts.join(filled, (F.col(key) == F.col("_key")) & (F.col(day) == at), "left")
+    return joined.select(*facts.columns, *[F.col("_version")[c].alias(c) for c in columns])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerframe.config import Rules
-from tellerframe.operators import score, uniques
+from tellerframe.operators import score, sketches, uniques
 from tellerframe.operators.checks import run_checks, with_samples
 from tellerframe.operators.quarantine import quarantine
 from tellerframe.operators.upsert import matching
@@ -59,7 +59,7 @@ def _stored(spark: SparkSession, layout: Layout, layer: str, name: str) -> DataF
 
 
 def validate(feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """(clean transactions, scores); writes quarantine and reports."""
+    """(clean transactions, scores); writes quarantine, reports and the day's profiles."""
     transactions, accounts, customers = feeds["transactions_raw"], feeds["accounts_raw"], feeds["customers_raw"]
     rulesets = {
         "transactions_raw": (transactions, suites.transaction_checks(accounts, rules)),
@@ -75,6 +75,7 @@ def validate(feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> tuple
         held_back = quarantined if name == "transactions_raw" else None
         report = suites.quality_report(name, clean if held_back is not None else df, outcome, rules, held_back)
         exports.write_report(report, f"{layout.root}/quality_reports", name, rules.as_of.isoformat())
+        sketches.store_day(df, name, rules.as_of, f"{layout.root}/profiles")
         named = outcome.withColumn("dataset", F.lit(name))
         results = named if results is None else results.unionByName(named)
     return clean, score.dataset_scores(results, rules)

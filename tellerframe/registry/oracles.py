@@ -786,6 +786,47 @@ add(
     },
 )
 
+# ---- profiles of stored days -----------------------------------------------
+
+SKETCHED = ("account_id", "channel", "status", "merchant_category", "amount_cad", "signed_amount_cad", "txn_year", "txn_month")
+NUMBERS = SKETCHED[4:]
+BASE_MONTHS = "transaction_date BETWEEN DATE '2020-01-01' AND DATE '2021-12-31'"
+OTHER_MONTHS = "transaction_date BETWEEN DATE '2022-01-01' AND DATE '2023-12-31'"
+
+
+def stored_mean(c: str, where: str) -> str:
+    """A mean with four decimals, half away from zero."""
+    total, n = f"CAST(SUM({c}) FILTER (WHERE {where}) * 100 AS HUGEINT)", f"COUNT({c}) FILTER (WHERE {where})"
+    return f"sign({total}) * ((abs({total}) * 200 + {n}) // (2 * NULLIF({n}, 0)))"
+
+
+def sketched(c: str) -> str:
+    number = c in NUMBERS
+    least, greatest, mean = (f"CAST(MIN({c}) AS DOUBLE)", f"CAST(MAX({c}) AS DOUBLE)", f"{stored_mean(c, BASE_MONTHS)} / 10000.0") if number else ("NULL",) * 3
+    return f"""SELECT '{c}' AS column_name, COUNT(*) AS total_count, COUNT(*) - COUNT({c}) AS null_count, CAST({least} AS DOUBLE) AS min_value,
+        CAST({greatest} AS DOUBLE) AS max_value, CAST({mean} AS DOUBLE) AS mean_value, TRUE AS unique_close
+        FROM stg_transactions WHERE {BASE_MONTHS} HAVING COUNT(*) > 0"""
+
+
+add("prof_range", " UNION ALL ".join(sketched(c) for c in SKETCHED))
+
+
+def drifted(c: str) -> str:
+    """Exact: the largest distance between both cumulative shares, and the change of the null share."""
+    nulls = [f"(1 - COUNT({c}) FILTER (WHERE {w}) / COUNT(*) FILTER (WHERE {w}))" for w in (BASE_MONTHS, OTHER_MONTHS)]
+    apart, shift = "FALSE", "NULL"
+    if c in NUMBERS:
+        shares = [f"SUM(CASE WHEN {w} THEN 1 ELSE 0 END) OVER (ORDER BY {c}) / (SUM(CASE WHEN {w} THEN 1.0 END) OVER ())" for w in (BASE_MONTHS, OTHER_MONTHS)]
+        apart = f"""coalesce((SELECT MAX(abs(one - two)) > 0.25 FROM (SELECT {shares[0]} AS one, {shares[1]} AS two
+            FROM stg_transactions WHERE {c} IS NOT NULL AND ({BASE_MONTHS} OR {OTHER_MONTHS}))), FALSE)"""
+        shift = f"({stored_mean(c, OTHER_MONTHS)} - {stored_mean(c, BASE_MONTHS)}) / 10000.0"
+    return f"""SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {BASE_MONTHS}) AS base_count, COUNT(*) FILTER (WHERE {OTHER_MONTHS}) AS other_count,
+        CAST({shift} AS DOUBLE) AS mean_shift, {apart} OR coalesce(abs({nulls[0]} - {nulls[1]}) > 0.25, FALSE) AS drifted
+        FROM stg_transactions WHERE {BASE_MONTHS} OR {OTHER_MONTHS} HAVING COUNT(*) > 0"""
+
+
+add("prof_drift", " UNION ALL ".join(drifted(c) for c in SKETCHED))
+
 # ---- history ---------------------------------------------------------------
 
 add("scd2_customer", "SELECT * FROM scd_customer")
@@ -800,6 +841,16 @@ POINT_IN_TIME = f"""SELECT c.customer_segment, c.age_band, t.txn_year, COUNT(*)
         GROUP BY c.customer_segment, c.age_band, t.txn_year"""
 add("pit_segment", POINT_IN_TIME)
 add("pit_any_order", POINT_IN_TIME)
+add("pit_segment_filled", POINT_IN_TIME)
+add(
+    "pit_last_activity",
+    """SELECT txn_year, COUNT(*) AS n, COUNT(day_volume) AS n_before, CAST(SUM(day_volume) AS DOUBLE) AS volume_before
+       FROM stg_transactions t LEFT JOIN (
+         SELECT account_id AS a, transaction_date AS d, lag(day_volume) OVER (PARTITION BY account_id ORDER BY transaction_date) AS day_volume
+         FROM (SELECT account_id, transaction_date, SUM(amount_cad) AS day_volume FROM stg_transactions
+               WHERE transaction_date IS NOT NULL GROUP BY account_id, transaction_date))
+       ON a = account_id AND d = transaction_date GROUP BY txn_year""",
+)
 
 # ---- incremental loads -----------------------------------------------------
 

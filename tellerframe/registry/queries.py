@@ -14,8 +14,8 @@ from tellerframe.functions.banding import BALANCE_TIERS
 from tellerframe.functions.masking import mask_names_md5
 from tellerframe.functions.money import add_cad_from_rates
 from tellerframe.operators import checks as check_engine
-from tellerframe.operators import lineage, score, uniques
-from tellerframe.operators.history import as_of_join
+from tellerframe.operators import lineage, score, sketches, uniques
+from tellerframe.operators.history import as_of_fill, as_of_join
 from tellerframe.operators.profile import profile
 from tellerframe.operators.quarantine import flag_rows, split
 from tellerframe.operators.upsert import high_water_mark, newer_than, upsert
@@ -510,6 +510,43 @@ def model_tests(bank: Bank) -> DataFrame:
     return results.select("dataset", "check_index", "check_name", "passed", "failed_count", "failed_pct")
 
 
+# ---- profiles of stored days -----------------------------------------------
+
+# ours: a figure of each kind
+SKETCHED = ("account_id", "channel", "status", "merchant_category", "amount_cad", "signed_amount_cad", "txn_year", "txn_month")
+# ours: two ranges of stored months
+BASE_MONTHS, OTHER_MONTHS = (date(2020, 1, 1), date(2021, 12, 31)), (date(2022, 1, 1), date(2023, 12, 31))
+
+
+def _stored_months(bank: Bank, transactions: DataFrame) -> DataFrame:
+    month = F.trunc("transaction_date", "month")
+    rows = sketches.sketch_days(transactions.select(*SKETCHED, "transaction_date"), "transactions", month)
+    return materialize(rows.filter(F.col("column_name") != "transaction_date"), "month-profiles")
+
+
+@query
+def prof_range(bank: Bank) -> DataFrame:
+    """Profile of two years merged from stored months; whether estimates lie within 5% of the data's own figures."""
+    transactions = materialize(bank.transactions.select(*SKETCHED, "transaction_date"), "transactions")
+    found = sketches.summarised(sketches.merged(_stored_months(bank, transactions), *BASE_MONTHS))
+    first, last = (F.lit(d) for d in BASE_MONTHS)
+    exact = profile(transactions.filter(F.col("transaction_date").between(first, last)).select(*SKETCHED))
+    exact = exact.select("column_name", F.col("unique_count").alias("_distinct"))
+    close = F.abs(F.col("unique_count") - F.col("_distinct")) * 20 <= F.greatest("_distinct", F.lit(20))
+    return found.join(exact, "column_name").select(
+        "column_name", "total_count", "null_count", "min_value", "max_value", "mean_value", close.alias("unique_close")
+    )
+
+
+@query
+def prof_drift(bank: Bank) -> DataFrame:
+    """Which columns differ between two ranges of stored months."""
+    transactions = materialize(bank.transactions.select(*SKETCHED, "transaction_date"), "transactions")
+    months = _stored_months(bank, transactions)
+    found = sketches.drift(sketches.merged(months, *BASE_MONTHS), sketches.merged(months, *OTHER_MONTHS))
+    return found.select("column_name", "base_count", "other_count", "mean_shift", "drifted")
+
+
 # ---- history ---------------------------------------------------------------
 
 # ours: three load days, so that customers join, age and go dormant between them
@@ -630,6 +667,28 @@ def _point_in_time(bank: Bank, customers: DataFrame) -> DataFrame:
     )
 
 
+@query
+def pit_segment_filled(bank: Bank) -> DataFrame:
+    """As ``pit_segment``, by versions carried forward on one timeline."""
+    owned = bank.transactions.join(bank.accounts.select("account_id", "customer_id"), "account_id")
+    dated = as_of_fill(owned, _histories(bank)[0], "customer_id", "transaction_date", ["customer_segment", "age_band"])
+    return dated.groupBy("customer_segment", "age_band", "txn_year").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_cad").alias("volume_cad")
+    )
+
+
+@query
+def pit_last_activity(bank: Bank) -> DataFrame:
+    """Every transaction beside its account's last active day before, as many versions an account as it has days."""
+    transactions = materialize(bank.transactions.select("account_id", "transaction_date", "txn_year", "amount_cad"), "transactions")
+    active = transactions.dropna(subset=["transaction_date"]).groupBy("account_id", "transaction_date").agg(F.sum("amount_cad").alias("day_volume"))
+    versions = active.select("account_id", F.date_add("transaction_date", 1).alias("effective_from"), F.lit(None).cast("date").alias("effective_to"), "day_volume")
+    dated = as_of_fill(transactions, versions, "account_id", "transaction_date", ["day_volume"])
+    return dated.groupBy("txn_year").agg(
+        F.count(F.lit(1)).alias("n"), F.count("day_volume").alias("n_before"), F.sum("day_volume").alias("volume_before")
+    )
+
+
 # ---- incremental loads -----------------------------------------------------
 
 

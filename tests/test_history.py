@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from datetime import date
 
-from tellerframe.operators.history import as_of_join, load_history, merge_history, start_history
+from tellerframe.operators.history import as_of_fill, as_of_join, load_history, merge_history, start_history
 from tellerframe.plans.marts import dim_date
 from tellerframe.sources.storage import fresh_path, materialize
 
@@ -160,3 +160,44 @@ def test_date_dimension(spark):
     assert (leap.last_day_of_month, leap.fiscal_period, leap.quarter_name, leap.is_holiday_ca) == (date(2024, 2, 29), "2024-Q1", "Q1", False)
     assert days[date(2024, 12, 26)].is_holiday_ca and days[date(2024, 12, 29)].day_of_week_num == 0
     assert days[date(2024, 12, 30)].week_of_year == 1
+
+
+def test_fill_gives_the_rows_of_the_range_join(spark, rows):
+    drawn = random.Random(3)
+    days = [date(2024, 1, 1).toordinal() + n for n in range(0, 400, 3)]
+    versions = []
+    for key in "abc":
+        starts = sorted(drawn.sample(days, 9))
+        ends = [*starts[1:], None]
+        ends[4] = starts[4] + 1  # a gap until the next version
+        versions += [(key, date.fromordinal(s), e and date.fromordinal(e), f"{key}{i}") for i, (s, e) in enumerate(zip(starts, ends))]
+    dimension = spark.createDataFrame(versions, "id string, effective_from date, effective_to date, label string")
+    facts = [(n, drawn.choice([*"abcd", None]), drawn.choice([None, *map(date.fromordinal, days)])) for n in range(500)]
+    facts = spark.createDataFrame(facts, "n int, id string, day date")
+    for unit in ("day", "month", "year"):
+        filled = as_of_fill(facts, dimension, "id", "day", ["label"], unit)
+        assert rows(filled) == rows(as_of_join(facts, dimension, "id", "day", ["label"]))
+
+
+def test_fill_takes_moments_and_versions_of_no_length(spark, rows):
+    dimension = spark.createDataFrame(
+        [("a", D1, D2, "one"), ("a", D2, D2, "never"), ("a", D2, None, "two")], "id string, effective_from date, effective_to date, label string"
+    )
+    facts = spark.sql("select 'a' as id, timestamp'2024-05-31 23:59:59' as at union all select 'a', timestamp'2024-06-01 00:00:00' union all select 'a', timestamp'2023-12-31 23:00:00'")
+    assert rows(as_of_fill(facts, dimension, "id", "at", ["label"]), "label") == [(None,), ("one",), ("two",)]
+
+
+def test_hot_key_is_filled_in_slices(spark):
+    hot = spark.range(10_000).selectExpr(
+        "'hot' as id", "timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, id * 6) as effective_from",
+        "timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, (id + 1) * 6) as effective_to", "id as version",
+    )
+    facts = spark.range(50_000).selectExpr(
+        "if(id % 10 = 0, 'hot', cast(id as string)) as id", "timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, id % 59999) as at", "id % 59999 div 6 as expected"
+    )
+    filled = as_of_fill(facts, hot, "id", "at", ["version"])
+    assert filled.filter("id = 'hot' and not version <=> expected or id != 'hot' and version is not null").isEmpty()
+    # the windows over moments are dealt by key and slice
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    over = [line for line in plan.splitlines() if "Window" in line]
+    assert sum("_slice" in line.rsplit("[_key", 1)[-1].split("]")[0] for line in over) == 1 and len(over) == 2
