@@ -10,6 +10,7 @@ drive the fact and the KPI tables.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -25,7 +26,7 @@ from tellerframe.plans import governance, kpi, marts, staging, suites
 from tellerframe.schemas import RAW_FEEDS
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import seeds
-from tellerframe.sources.raw import inventory, read_optional
+from tellerframe.sources.raw import inventory, land_feed, read_optional
 from tellerframe.sources.storage import materialize, path_exists, rename_path, working
 
 
@@ -33,6 +34,10 @@ class QualityHalt(RuntimeError):
     """The quality gate stopped the run."""
 
 
+class ModelTestFailure(RuntimeError):
+    """A test of a written model failed that must not."""
+
+
 class SchemaDrift(RuntimeError):
     """A feed lacks a declared column or has it with another type."""
 
@@ -223,6 +228,23 @@ def test_models(spark: SparkSession, feeds: dict[str, DataFrame], layout: Layout
     return spark.read.parquet(path)
 
 
+def stop_on_failures(results: DataFrame, blocking: Sequence[str]) -> None:
+    """Raise if a test of one of the models, not of the feeds, failed in a ``blocking`` dimension."""
+    models = [name for names in LAYERS.values() for name in names]
+    failed = results.filter(~F.col("passed") & F.col("dataset").isin(models) & F.col("dimension").isin(*blocking))
+    # at most as many as there are tests
+    names = [f"{r.dataset}.{r.check_name}" for r in failed.select("dataset", "check_name").orderBy("dataset", "check_name").collect()]
+    if names:
+        raise ModelTestFailure(f"failed: {', '.join(names)}")
+
+
+def archive(spark: SparkSession, layout: Layout, rules: Rules) -> None:
+    """Months of transactions past their retention go to the archive; what the KPI tables hold for them stays."""
+    for layer, name in (("staging", "stg_transactions"), ("marts", "fact_transactions")):
+        target = layout.table("archive", name)
+        governance.archive_months(spark, layout.table(layer, name), target, "transactions", rules.as_of, ["transaction_id"])
+
+
 def govern(spark: SparkSession, feeds: dict[str, DataFrame], layout: Layout, rules: Rules) -> None:
     edges = seeds.lineage_edges(spark)
     exports.write_lineage_json(edges, f"{layout.root}/governance/lineage_json", rules.run_at)
@@ -232,6 +254,8 @@ def govern(spark: SparkSession, feeds: dict[str, DataFrame], layout: Layout, rul
     _replace(governance.register(read_optional(spark, catalog_path), entries), catalog_path)
 
 
+BLOCKING = ("Uniqueness",)
+
 LAYERS = {
     "staging": ("stg_customers", "stg_accounts", "stg_transactions", "stg_credit"),
     "marts": ("dim_date", "dim_customer", "dim_account", "dim_merchant", "fact_transactions"),
@@ -239,10 +263,14 @@ LAYERS = {
 }
 
 
-def run_day(spark: SparkSession, feeds: dict[str, DataFrame], root: str, rules: Rules) -> DataFrame:
+def run_day(
+    spark: SparkSession, feeds: dict[str, DataFrame], root: str, rules: Rules, blocking: Sequence[str] = BLOCKING
+) -> DataFrame:
     """All stages; returns the inventory of the tables written.
 
-    ``feeds`` are landed tables: most stages read them more than once.
+    ``feeds`` are landed tables: most stages read them more than once.  Failed tests of models stop the run, after their
+    results are written, if their dimension is ``blocking``: repeated keys by default, as orphans and
+    nulls of a feed are kept on purpose.  Nothing is archived or registered then.
     """
     layout = Layout(root)
     check_schemas(feeds)
@@ -252,7 +280,24 @@ def run_day(spark: SparkSession, feeds: dict[str, DataFrame], root: str, rules:
             raise QualityHalt(f"quality below {rules.halt_below_score}")
         arrived = stage(feeds, clean, layout, rules)
         days = build_marts(spark, arrived, layout, rules)
+        # of older months the fact holds late rows only: their KPI rows stay as they are
+        first = governance.first_kept_month("transactions", rules.as_of)
+        inside = F.year("transaction_date") * 100 + F.month("transaction_date") >= first
+        days = days.filter(F.coalesce(inside, F.lit(True)))
         build_kpis(spark, days, layout, rules)
-        test_models(spark, feeds, layout, rules)
+        stop_on_failures(test_models(spark, feeds, layout, rules), blocking)
+        archive(spark, layout, rules)
         govern(spark, feeds, layout, rules)
     return inventory({name: _stored(spark, layout, layer, name) for layer, names in LAYERS.items() for name in names})
+
+
+def run_landed(spark: SparkSession, folder: str, root: str, rules: Rules, blocking: Sequence[str] = BLOCKING) -> DataFrame:
+    """:func:`run_day` on a folder of CSV feeds.  Rows that do not fit their schema are set aside as text, by feed and run
+    day, below ``quarantine_text``; a repeated run day replaces its own."""
+    feeds = {}
+    with working(spark):
+        for name in RAW_FEEDS:
+            feeds[name], corrupt = land_feed(spark, folder, name)
+            day = f"run_date={rules.as_of.isoformat()}"
+            corrupt.write.mode("overwrite").parquet(f"{root}/quarantine_text/dataset={name}/{day}")
+        return run_day(spark, feeds, root, rules, blocking)

@@ -76,6 +76,7 @@ def staged(source: str) -> str:
 
 add("stg_transactions", staged("stg_transactions"))
 add("stg_transactions_first", staged("stg_first"))
+add("stg_first_files", staged("stg_first"))
 add("stg_transactions_sparse", staged("stg_transactions"))
 add("upsert_staging", staged("stg_transactions"))
 add("stream_ingest", staged("stg_transactions"))
@@ -739,6 +740,11 @@ add(
           CASE WHEN bool_and(passed) THEN 'passed' ELSE 'failed' END AS status FROM results GROUP BY dataset""",
     {"results": suite(TRANSACTION_SUITE, "transactions") + " UNION ALL " + suite(ACCOUNT_SUITE, "accounts")},
 )
+add(
+    "ge_checkpoint",
+    f"SELECT * FROM ({BODIES['ge_summary']}) UNION ALL SELECT 'customers', NULL, NULL, NULL, 'skipped'",
+    {"results": suite(TRANSACTION_SUITE, "transactions") + " UNION ALL " + suite(ACCOUNT_SUITE, "accounts")},
+)
 MODEL_RULES = {
     "customers_raw": [nn("raw_customers", "customer_id"), uq("raw_customers", "customer_id"), alw("raw_customers", "kyc_status", *KYC)],
     "accounts_raw": [nn(A, "account_id"), uq(A, "account_id"), nn(A, "customer_id"), ref(A, "customer_id", "raw_customers")],
@@ -958,6 +964,12 @@ add(
     + retained("credit", "stg_credit", "origination_date", 10, "2020-06-30"),
 )
 
+add(
+    "retention_rows",
+    f"""SELECT {MONTH_KEY}, CASE WHEN transaction_date < DATE '2024-06-01' THEN 'archived' ELSE 'kept' END AS place, COUNT(*) AS n
+        FROM stg_transactions GROUP BY ALL""",
+)
+
 # ---- sources and sinks -----------------------------------------------------
 
 add("io_csv", "SELECT * EXCLUDE (_ingest_order) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM raw_transactions")
@@ -1008,6 +1020,23 @@ add(
        FROM raw_transactions GROUP BY transaction_type""",
 )
 
+add(
+    "stream_dedup_late",
+    """SELECT b AS batch_id, COUNT(*) AS rows_in, coalesce(MAX(kept), 0) AS kept,
+           COUNT(*) - coalesce(MAX(kept), 0) - COUNT(*) FILTER (WHERE late) AS duplicates, COUNT(*) FILTER (WHERE late) AS late
+       FROM split LEFT JOIN (SELECT b, COUNT(*) AS kept FROM kept_ids GROUP BY b) USING (b) GROUP BY b""",
+    {
+        "timed": """SELECT transaction_id, TRY_CAST(transaction_date AS TIMESTAMP) AS event_time,
+            CAST(CASE WHEN _extract_ts = '2026-08-02T00:00:00' THEN 0 ELSE 1 END AS INTEGER) AS b FROM raw_transactions""",
+        "mark": "SELECT MAX(event_time) - INTERVAL 180 DAY AS m FROM timed WHERE b = 0",
+        "split": "SELECT t.*, m, coalesce(b = 1 AND event_time < m, FALSE) AS late FROM timed t, mark",
+        "first_ids": """SELECT b, transaction_id, MAX(m) AS m, CASE WHEN COUNT(*) = COUNT(event_time) THEN MIN(event_time) END AS event_time
+            FROM split WHERE NOT late GROUP BY b, transaction_id""",
+        "kept_ids": """SELECT b, transaction_id FROM first_ids f WHERE b = 0 OR NOT EXISTS (
+            SELECT 1 FROM first_ids k WHERE k.b = 0 AND k.event_time >= k.m AND k.transaction_id IS NOT DISTINCT FROM f.transaction_id)""",
+    },
+)
+
 # ---- all stages ------------------------------------------------------------
 
 add(

@@ -24,7 +24,7 @@ from tellerframe.registry.bank import RULES, Bank, rules_at
 from tellerframe.schemas import RAW_ACCOUNTS, RAW_TRANSACTIONS, fields
 from tellerframe.sinks import exports, tables
 from tellerframe.sources import sample_feed
-from tellerframe.sources.raw import CORRUPT, inventory, land_csv, optional_inventory, read_optional, read_raw_csv, register_raw
+from tellerframe.sources.raw import CORRUPT, inventory, land_csv, optional_inventory, read_optional, read_raw_csv, register_raw, with_file_order
 from tellerframe.sources.seeds import literal_table
 from tellerframe.sources.storage import fresh_path, materialize, path_exists
 from tellerframe.streaming import ingest
@@ -100,6 +100,15 @@ def stg_transactions_first(bank: Bank) -> DataFrame:
     return staging.stage_transactions(bank.raw_transactions, bank.rules, keep="first")
 
 
+@query
+def stg_first_files(bank: Bank) -> DataFrame:
+    """The row read first wins, in a landing folder of files of unlike size that many tasks read out of order."""
+    path = fresh_path(bank.spark, "landing-files")
+    rows = bank.raw_transactions.orderBy("_ingest_order").drop("_ingest_order")
+    rows.write.parquet(path)
+    return staging.stage_transactions(with_file_order(bank.spark.read.parquet(path)), bank.rules, keep="first")
+
+
 @query
 def stg_transactions_sparse(bank: Bank) -> DataFrame:
     """Deduplicated through the few repeated ids of the landed feed."""
@@ -480,6 +489,16 @@ def ge_accounts(bank: Bank) -> DataFrame:
     return check_engine.run_checks(bank.raw_accounts, suites.account_expectations())
 
 
+@query
+def ge_checkpoint(bank: Bank) -> DataFrame:
+    """The summary of a checkpoint that expects a dataset that is not there."""
+    suites_of = {
+        "transactions": (bank.raw_transactions, suites.transaction_expectations()),
+        "accounts": (bank.raw_accounts, suites.account_expectations()),
+    }
+    return score.suite_results(suites.checked(suites_of), ["transactions", "accounts", "customers"])
+
+
 @query
 def ge_summary(bank: Bank) -> DataFrame:
     return score.suite_results(
@@ -826,6 +845,23 @@ def retention(bank: Bank) -> DataFrame:
     )
 
 
+@query
+def retention_rows(bank: Bank) -> DataFrame:
+    """Months of staged transactions past their retention moved to the archive, twice: rows kept and archived."""
+    spark, day = bank.spark, date(2031, 6, 30)
+    path, archive = fresh_path(spark, "retained"), fresh_path(spark, "archive")
+    tables.write_by_month(bank.transactions, path, "transaction_date", ("account_id",))
+    expired = governance.first_kept_month("transactions", day)
+    late = materialize(spark.read.parquet(path).filter(F.col(tables.MONTH) < expired), "late")
+    governance.archive_months(spark, path, archive, "transactions", day, ["transaction_id"])
+    # the same rows arrive once more and are archived once more
+    tables.load_table(late, path, "upsert", ["transaction_id"], tables.MONTH)
+    governance.archive_months(spark, path, archive, "transactions", day, ["transaction_id"])
+    places = {"kept": read_optional(spark, path), "archived": read_optional(spark, archive)}
+    found = [df.groupBy(tables.MONTH).agg(F.lit(place).alias("place"), F.count(F.lit(1)).alias("n")) for place, df in places.items() if df is not None]
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
 # ---- sources and sinks -----------------------------------------------------
 
 
@@ -959,6 +995,20 @@ def stream_dedup(bank: Bank) -> DataFrame:
     return stored.groupBy("transaction_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("transaction_id").alias("ids"))
 
 
+@query
+def stream_dedup_late(bank: Bank) -> DataFrame:
+    """Two arrivals through a dedup that keeps what is later than 180 days: where the rows of each went."""
+    landing, path, checkpoint = (fresh_path(bank.spark, p) for p in ("arrivals", "stream-split", "stream-state"))
+    first = F.col("_extract_ts") == sample_feed.FIRST_EXTRACT
+    for arrival in (first, ~first):
+        bank.raw_transactions.filter(arrival).write.mode("append").parquet(landing)
+        raw = ingest.read_landing(bank.spark, landing, bank.raw_transactions.schema)
+        timed = raw.select("transaction_id", F.col("transaction_date").try_cast("timestamp").alias("event_time"))
+        ingest.dedup_keeping_late(timed, "transaction_id", "event_time", "180 days", path, checkpoint).awaitTermination()
+    stored = bank.spark.read.parquet(f"{path}/counts")
+    return stored.select(F.col("batch_id").cast("int"), "rows_in", "kept", "duplicates", "late")
+
+
 # ---- all stages ------------------------------------------------------------
 
 

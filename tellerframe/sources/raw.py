@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tellerframe.operators.dedup import INGEST_ORDER
 from tellerframe.schemas import RAW_FEEDS
 from tellerframe.sources.storage import materialize, path_exists
 
@@ -51,9 +52,39 @@ def register_raw(feeds: dict[str, DataFrame]) -> None:
 def with_ingest_order(df: DataFrame) -> DataFrame:
     """Number the rows in read order, once, in a written table.
 
-    The number is fixed when written; computed twice it could differ.
+    The number is fixed when written; computed twice it could differ.  It follows how
+    Spark packs files into tasks; see :func:`with_file_order` for rows of files.
     """
-    return materialize(df.withColumn("_ingest_order", F.monotonically_increasing_id()), "ingest")
+    return materialize(df.withColumn(INGEST_ORDER, F.monotonically_increasing_id()), "ingest")
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Number the rows of files by file name and place in the file, however many tasks read them.
+
+    A piece of a file is read by one task in its order, so the running number within the piece is kept and the rows of
+    all pieces before are added.  Only the list of pieces, with their counts, goes through one task.  ``df`` is
+    read from files directly, without joins or aggregates between.
+    """
+    landed = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_read"),
+    )
+    landed = materialize(landed, "landed-pieces")
+    pieces = landed.groupBy("_file", "_block").agg(F.min("_read").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")
+    offsets = materialize(pieces.select("_file", "_block", start.alias("_start")), "pieces")
+    numbered = landed.join(offsets, ["_file", "_block"]).withColumn(INGEST_ORDER, F.col("_read") + F.col("_start"))
+    return materialize(numbered.drop("_file", "_block", "_read", "_start"), "ingest")
+
+
+def land_feed(spark: SparkSession, folder: str, feed: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of a feed's CSV that fit its schema, numbered in file order; number and text of those that do not)."""
+    numbered = with_file_order(read_raw_csv(spark, f"{folder}/{feed}.csv", RAW_FEEDS[feed], keep_corrupt=True))
+    corrupt = F.col(CORRUPT).isNotNull()
+    return numbered.filter(~corrupt).drop(CORRUPT), numbered.filter(corrupt).select(INGEST_ORDER, CORRUPT)
 
 
 def inventory(datasets: dict[str, DataFrame]) -> DataFrame:

@@ -102,6 +102,15 @@ def rename_path(spark: SparkSession, old: str, new: str) -> None:
     files.delete(aside, True)
 
 
+def move_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename ``old`` to ``new``, which must not exist; folders above it are made."""
+    source, files = _hadoop(spark, old)
+    target, _ = _hadoop(spark, new)
+    files.mkdirs(target.getParent())
+    if files.exists(target) or not files.rename(source, target):
+        raise RuntimeError(f"could not move {old} to {new}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     location, files = _hadoop(spark, path)
     files.delete(location, True)

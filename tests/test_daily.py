@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tellerframe.plans import daily, governance
 from tellerframe.registry.bank import RULES, Bank
 from tellerframe.schemas import RAW_ACCOUNTS
+from tellerframe.sinks import tables
 from tellerframe.sources.storage import fresh_path, materialize, working
 
 TABLES = "/root/testdata/sf0.001"
@@ -109,11 +110,61 @@ def test_retention_edges(spark):
 
 def test_archive(spark):
     path = fresh_path(spark, "archive")
-    df = spark.createDataFrame([(date(2024, 1, 1),), (date(2001, 1, 1),)], "day date")
-    assert governance.archive_expired(df, "day", "transactions", date(2024, 6, 30), path).count() == 1
+    df = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2001, 1, 1))], "id int, day date")
+    for _ in range(2):
+        assert governance.archive_expired(df, "day", "transactions", date(2024, 6, 30), path, ["id"]).count() == 1
     assert spark.read.parquet(f"{path}/transactions").count() == 1
 
 
+def test_whole_months_are_archived_once(spark):
+    path, archive = fresh_path(spark, "table"), fresh_path(spark, "archive")
+    rows = [("a", date(2017, 5, 31)), ("b", date(2017, 6, 1)), ("c", date(2017, 6, 30)), ("d", None), ("e", date(2016, 1, 1))]
+    tables.write_by_month(spark.createDataFrame(rows, "id string, day date"), path, "day", ())
+    run = lambda: governance.archive_months(spark, path, archive, "transactions", date(2024, 6, 30), ["id"])
+    ids = lambda folder: sorted(r.id for r in spark.read.parquet(folder).collect())
+    assert run() == [201601, 201705] and run() == []
+    assert (ids(path), ids(archive)) == (["b", "c", "d"], ["a", "e"])
+    # a month that is in the archive already: an archived row again, and a late one
+    again = spark.createDataFrame([("a", date(2017, 5, 31)), ("f", date(2017, 5, 2))], "id string, day date")
+    tables.write_by_month(again, path, "day", ())
+    assert run() == [201705]
+    assert (ids(path), ids(archive)) == (["b", "c", "d"], ["a", "e", "f"])
+    assert governance.archive_months(spark, fresh_path(spark, "none"), archive, "transactions", date(2024, 6, 30), ["id"]) == []
+
+
+def test_failed_model_tests_stop(spark):
+    row = lambda dataset, dimension, passed: (dataset, "c", dimension, passed)
+    make = lambda *rows: spark.createDataFrame(rows, "dataset string, check_name string, dimension string, passed boolean")
+    sound = [row("fact_transactions", "Uniqueness", True), row("transactions_raw", "Uniqueness", False), row("dim_account", "Completeness", False)]
+    daily.stop_on_failures(make(*sound), daily.BLOCKING)
+    with pytest.raises(daily.ModelTestFailure, match="dim_account.c"):
+        daily.stop_on_failures(make(*sound), ("Completeness",))
+    with pytest.raises(daily.ModelTestFailure, match="fact_transactions.c"):
+        daily.stop_on_failures(make(row("fact_transactions", "Uniqueness", False)), daily.BLOCKING)
+
+
+def test_run_of_landed_files(spark):
+    """Corrupt rows are kept as text by run day; the run goes on with the others, and archives what is past retention."""
+    bank, folder, root = Bank(spark, TABLES), fresh_path(spark, "landing"), fresh_path(spark, "days")
+    for name, df in bank.feeds.items():
+        df = df.drop("_ingest_order")
+        if name == "transactions_raw":
+            df = df.withColumn("amount", F.when(F.col("transaction_id").endswith("77"), "n/a").otherwise(F.col("amount").cast("string")))
+        tables.write_landing_csv(df, f"{folder}/{name}.csv")
+    broken = bank.raw_transactions.filter(F.col("transaction_id").endswith("77")).count()
+    late = replace(RULES, as_of=date(2031, 1, 15))
+    for rules in (late, late):
+        daily.run_landed(spark, folder, root, rules)
+    text = spark.read.parquet(f"{root}/quarantine_text")
+    assert broken and text.filter("dataset = 'transactions_raw' and run_date = '2031-01-15'").count() == broken
+    fact, archived = (spark.read.parquet(f"{root}/{layer}/fact_transactions") for layer in ("marts", "archive"))
+    assert archived.count() > 0 and archived.filter("transaction_date >= '2024-01-01'").isEmpty()
+    assert fact.filter("transaction_date < '2024-01-01'").isEmpty()
+    ids = fact.select("transaction_id").unionByName(archived.select("transaction_id"))
+    kpis = spark.read.parquet(f"{root}/metrics/kpi_daily_summary").agg(F.sum("transaction_count")).first()[0]
+    assert ids.count() == ids.distinct().count() == kpis
+
+
 def test_month_gap_compares_with_the_previous_row(spark):
     from decimal import Decimal
 

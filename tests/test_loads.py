@@ -178,3 +178,23 @@ def test_quarantine_file_only_with_rows(spark, path):
     assert all(exports.write_quarantine(bad, path, "d", "2024-01-01") for _ in range(2))
     assert spark.read.option("header", True).csv(path).count() == 1
     assert spark.read.option("header", True).csv(path).first().reasons == "r1;r2"
+
+
+def test_file_order_does_not_depend_on_tasks(spark):
+    """Files of unlike size are packed out of order; the numbers follow names and places all the same."""
+    from tellerframe.sources.raw import with_file_order
+
+    path = fresh_path(spark, "files")
+    sizes = [1, 400, 3, 2000, 50]
+    start = 0
+    for at, size in enumerate(sizes):
+        spark.range(start, start + size, 1, 1).selectExpr("id", "repeat('x', 50) AS pad").coalesce(1).write.option("header", True).csv(f"{path}/{at}")
+        start += size
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("128m", "20k", "2k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            rows = with_file_order(spark.read.option("header", True).schema("id long, pad string").csv([f"{path}/{i}" for i in range(len(sizes))]))
+            assert rows.filter("id <> _ingest_order").isEmpty() and rows.count() == start
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

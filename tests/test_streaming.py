@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import datetime
 from decimal import Decimal
 
 from tellerframe.schemas import RAW_TRANSACTIONS
@@ -38,3 +39,17 @@ def test_replayed_batch_changes_nothing(spark, rules):
     for _ in range(2):
         ingest.merge_batch(batch, table, rules)
     assert spark.read.parquet(table).count() == 1
+
+
+def test_late_rows_are_counted_and_handed_on(spark):
+    path, given = fresh_path(spark, "split"), []
+    make = lambda *rows: spark.createDataFrame([(i, t and datetime.fromisoformat(t)) for i, t in rows], "id string, at timestamp")
+    first = make(("a", "2024-01-10"), ("a", "2024-01-09"), (None, "2024-01-01"), (None, "2024-01-02"), ("b", None))
+    second = make(("a", "2024-01-11"), ("c", "2024-01-08"), ("d", "2024-01-09"), ("d", "2024-01-12"), ("b", None), (None, "2024-01-10"))
+    for batch in (0, 1, 1):  # the second batch is run again
+        ingest.split_batch((first, second)[batch], batch, "id", "at", "1 day", path, lambda late: given.append([r.id for r in late.collect()]))
+    stored = {r.batch_id: (r.rows_in, r.kept, r.duplicates, r.late) for r in spark.read.parquet(f"{path}/counts").collect()}
+    assert stored == {0: (5, 3, 2, 0), 1: (6, 3, 2, 1)}
+    assert given == [[], ["c"], ["c"]]
+    kept = sorted((str(r.id), str(r.at)[:10]) for r in spark.read.parquet(f"{path}/kept").filter("batch_id = 1").collect())
+    assert kept == [("None", "2024-01-10"), ("b", "None"), ("d", "2024-01-09")]
