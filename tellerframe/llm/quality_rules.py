@@ -1,28 +1,39 @@
 """Quality rules: counted properties of a text, and how much its n-grams resemble trusted text.
 
 Unigrams and bigrams are hashed into BUCKETS buckets.  Two multinomials over the buckets are counted, one
-over all documents and one over the trusted ones, both smoothed by SMOOTHING.  A document's verdict is the
-mean over its n-grams of the logarithm of their ratio, against one fixed threshold.
+over all documents and one over the trusted ones; the second is smoothed towards the first as if SMOOTHING
+n-grams of raw text stood in it.  A document's ratio is the mean over its n-grams of the logarithm of trusted
+share over raw share.
+
+No document is judged by trusted counts it is part of.  Texts are dealt to FOLDS folds by their hash, so that
+copies share one, and a text is judged by the trusted texts of the other folds.  The threshold is the ratio that
+``keep_percent`` of the trusted documents past the base rules reach in that way, so about as many unseen texts of their
+kind do; it is one number for all documents.
 
 * The base rules come first: fewer than ``min_words`` words, or more than ``max_repeat_percent`` of the words
   in three-word windows that occur twice or more, fail a text whatever its ratio.
 * A text without words has no ratio (null) and fails as too short.
 * Trusted ids may repeat or be missing from the documents; every row with such a doc_id is trusted.  Without any
-  trusted text all ratios are equal, and near 0.
+  trusted text all ratios are 0 and the base rules alone decide.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tellerframe.sources.storage import materialize
+
 from .words import let, words_column
 
 BUCKETS = 1 << 16
-SMOOTHING = 1.0
-MIN_MEAN_RATIO = -0.1
+SMOOTHING = 65_536.0
+FOLDS = 4
+KEEP_PERCENT = 99.0
+STEP = 1e-4
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
@@ -35,18 +46,29 @@ def grams_column(words: Column, buckets: int) -> Column:
     return F.concat(F.transform(words, lambda w: bucket(w)), F.transform(pairs, lambda w, i: bucket(w, F.get(words, i + 1))))
 
 
-def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """For every bucket, ln of its share in trusted texts over its share in all texts.  Two counts for each bucket
-    come to the driver, whatever the size of the corpus."""
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("is_trusted", F.lit(1))
+def _trusted_ids(trusted: DataFrame) -> DataFrame:
+    return trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("is_trusted", F.lit(1))
+
+
+def fold_column(text: Column, folds: int) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(folds)).cast("int")
+
+
+def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, folds: int = FOLDS) -> list[float]:
+    """For every fold and, in it, every bucket: ln of its share in trusted texts of the other folds over its share in
+    all texts.  Two counts for each fold and bucket come to the driver, whatever the size of the corpus."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Trusted ids grow with the corpus: both sides are dealt by doc_id, and the texts need no sort.
-    marked = texts.join(ids.hint("shuffle_hash"), "doc_id", "left")
-    grams = marked.select("is_trusted", F.explode(let(words_column("text"), lambda w: grams_column(w, buckets))).alias("bucket"))
-    counts = {r["bucket"]: (r["t"], r["r"]) for r in grams.groupBy("bucket").agg(F.count("is_trusted").alias("t"), F.count("*").alias("r")).collect()}
-    t_sum, r_sum = (sum(c[i] for c in counts.values()) + SMOOTHING * buckets for i in (0, 1))
-    shares = ((t + SMOOTHING, r + SMOOTHING) for t, r in (counts.get(b, (0, 0)) for b in range(buckets)))
-    return [math.log(t / t_sum) - math.log(r / r_sum) for t, r in shares]
+    marked = texts.join(_trusted_ids(trusted).hint("shuffle_hash"), "doc_id", "left")
+    cell = lambda grams: F.transform(grams, lambda b: fold_column(F.col("text"), folds) * buckets + b)
+    grams = marked.select("is_trusted", F.explode(let(words_column("text"), lambda w: cell(grams_column(w, buckets)))).alias("cell"))
+    raw, target = np.zeros((folds, buckets)), np.zeros((folds, buckets))
+    for r in grams.groupBy("cell").agg(F.count("is_trusted").alias("t"), F.count("*").alias("r")).collect():
+        target.flat[r["cell"]], raw.flat[r["cell"]] = r["t"], r["r"]
+    share = (raw.sum(axis=0) + 1) / (raw.sum() + buckets)
+    others = target.sum(axis=0) - target
+    smooth = (others + SMOOTHING * share) / (others.sum(axis=1, keepdims=True) + SMOOTHING)
+    return np.log(smooth / share).ravel().tolist()
 
 
 def repeat_words(words: Column) -> Column:
@@ -91,23 +113,43 @@ def judged(
     docs: DataFrame,
     trusted: DataFrame,
     buckets: int = BUCKETS,
-    min_mean_ratio: float = MIN_MEAN_RATIO,
+    folds: int = FOLDS,
+    keep_percent: float = KEEP_PERCENT,
     min_words: int = MIN_WORDS,
     max_repeat_percent: int = MAX_REPEAT_PERCENT,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): the base columns, base_failed, mean_ratio, kept."""
-    numbers = ",".join(f"{r:.6f}" for r in bucket_ratios(docs, trusted, buckets))
+    numbers = ",".join(f"{r:.6f}" for r in bucket_ratios(docs, trusted, buckets, folds))
     table = F.split(F.lit(numbers), ",").cast("array<double>")  # a constant of the scoring expression
 
-    def columns(words: Column, ratio: Column) -> Column:
-        total = F.aggregate(grams_column(words, buckets), F.lit(0.0), lambda a, b: a + F.coalesce(F.get(ratio, b), F.lit(0.0)))
+    def columns(words: Column, ratio: Column, first: Column) -> Column:
+        at = lambda b: F.coalesce(F.get(ratio, first + b), F.lit(0.0))
+        total = F.aggregate(grams_column(words, buckets), F.lit(0.0), lambda a, b: a + at(b))
         mean = F.when(F.size(words) > 0, total / (2 * F.size(words) - 1))
         base = base_columns(F.coalesce(F.col("text"), F.lit("")), words)
         return F.struct(*(c.alias(n) for n, c in base.items()), mean.alias("mean_ratio"))
 
+    scored = lambda ratio, words: let(fold_column(F.col("text"), folds) * buckets, lambda first: columns(words, ratio, first))
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select(
-        "doc_id", let(table, lambda ratio: let(words_column("text"), lambda words: columns(words, ratio))).alias("found")
+        "doc_id", let(table, lambda ratio: let(words_column("text"), lambda words: scored(ratio, words))).alias("found")
     )
-    found = found.select("doc_id", "found.*")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(F.col("mean_ratio") >= min_mean_ratio, F.lit(False)))
+    # a row of numbers for each text, so that the threshold does not read the texts again
+    found = materialize(found.select("doc_id", "found.*").withColumn("base_failed", failed), "quality-numbers")
+    enough = F.col("mean_ratio") >= threshold(found.where("NOT base_failed"), trusted, keep_percent)
+    return found.withColumn("kept", ~F.col("base_failed") & F.coalesce(enough, F.lit(False)))
+
+
+def threshold(found: DataFrame, trusted: DataFrame, keep_percent: float) -> float:
+    """The ratio, down to a multiple of STEP, that ``keep_percent`` of the trusted rows reach; without any, none is too low.
+
+    Equal multiples are counted, and the counts come to the driver: the logarithms are bounded, so these are some hundred
+    thousand at most, whatever the corpus."""
+    step = F.floor(F.col("mean_ratio") / F.lit(STEP)).alias("step")
+    rows = found.join(_trusted_ids(trusted), "doc_id", "left_semi").groupBy(step).count().where("step IS NOT NULL").collect()
+    wanted, reached = keep_percent / 100 * sum(r["count"] for r in rows), 0
+    for r in sorted(rows, key=lambda r: -r["step"]):
+        reached += r["count"]
+        if reached >= wanted:
+            return r["step"] * STEP
+    return -math.inf
