@@ -54,18 +54,25 @@ def fold_column(text: Column, folds: int) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(folds)).cast("int")
 
 
-def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, folds: int = FOLDS) -> list[float]:
-    """For every fold and, in it, every bucket: ln of its share in trusted texts of the other folds over its share in
-    all texts.  Two counts for each fold and bucket come to the driver, whatever the size of the corpus."""
+def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, folds: int = FOLDS) -> DataFrame:
+    """A row for each bucket that occurs: its n-grams in all texts (r), and in the trusted texts of each fold (t0, t1, ...)."""
+    # A fold is hashed from a whole text, so it is a column of its own below the n-grams, not part of each of them.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("fold", fold_column(F.col("text"), folds))
     # Trusted ids grow with the corpus: both sides are dealt by doc_id, and the texts need no sort.
     marked = texts.join(_trusted_ids(trusted).hint("shuffle_hash"), "doc_id", "left")
-    cell = lambda grams: F.transform(grams, lambda b: fold_column(F.col("text"), folds) * buckets + b)
-    grams = marked.select("is_trusted", F.explode(let(words_column("text"), lambda w: cell(grams_column(w, buckets)))).alias("cell"))
-    raw, target = np.zeros((folds, buckets)), np.zeros((folds, buckets))
-    for r in grams.groupBy("cell").agg(F.count("is_trusted").alias("t"), F.count("*").alias("r")).collect():
-        target.flat[r["cell"]], raw.flat[r["cell"]] = r["t"], r["r"]
-    share = (raw.sum(axis=0) + 1) / (raw.sum() + buckets)
+    grams = marked.select("fold", "is_trusted", F.explode(let(words_column("text"), lambda w: grams_column(w, buckets))).alias("bucket"))
+    own = [F.count(F.when(F.col("fold") == f, F.col("is_trusted"))).alias(f"t{f}") for f in range(folds)]
+    return grams.groupBy("bucket").agg(F.count("*").alias("r"), *own)
+
+
+def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, folds: int = FOLDS) -> list[float]:
+    """For every fold and, in it, every bucket: ln of its share in trusted texts of the other folds over its share in
+    all texts.  A row for each bucket comes to the driver, whatever the size of the corpus."""
+    raw, target = np.zeros(buckets), np.zeros((folds, buckets))
+    for bucket, r, *own in gram_counts(docs, trusted, buckets, folds).collect():
+        raw[bucket], target[:, bucket] = r, own
+    share = (raw + 1) / (raw.sum() + buckets)
     others = target.sum(axis=0) - target
     smooth = (others + SMOOTHING * share) / (others.sum(axis=1, keepdims=True) + SMOOTHING)
     return np.log(smooth / share).ravel().tolist()
@@ -102,8 +109,8 @@ def base_columns(text: Column, words: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     return {
         "n_words": F.size(words).cast("long"),
-        "word_chars": F.char_length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
-        "n_symbols": (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "word_chars": F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.char_length(w)),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": repeat_words(words),
     }

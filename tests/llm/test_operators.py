@@ -139,6 +139,21 @@ def test_quality_ratio(spark, odd_rows, odd_labels):
     assert all(r.kept == (r.mean_ratio >= line) for r in got if not r.base_failed and r.mean_ratio is not None)
 
 
+def test_gram_counts_hash_a_text_once(spark, odd_rows, odd_labels):
+    """A row for each bucket, not for each fold and bucket, with plain counts; the n-grams' expression hashes no whole text."""
+    docs = spark.createDataFrame(pairs(odd_rows), "doc_id bigint, text string").where("doc_id < 60")
+    trusted = {r.doc_id for r in odd_labels.where("quality = 1").collect()}
+    columns = quality_rules.grams_column(quality_rules.words_column("text"), 64), quality_rules.fold_column(F.col("text"), 3)
+    rows = [(r.doc_id, r.g or [], r.f) for r in docs.select("doc_id", columns[0].alias("g"), columns[1].alias("f")).collect()]
+    raw = Counter(b for _, g, _ in rows for b in g)
+    own = Counter((b, f) for d, g, f in rows if d in trusted for b in g)
+    got = quality_rules.gram_counts(docs, odd_labels.where("quality = 1"), buckets=64, folds=3)
+    assert sorted(map(tuple, got.collect())) == sorted((b, n, own[b, 0], own[b, 1], own[b, 2]) for b, n in raw.items())
+    _, explode = got._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")
+    explode = explode.split("Join")[0]
+    assert "xxhash64(lambda" in explode and "xxhash64(text" not in explode
+
+
 def test_quality_verdicts_hold_for_unseen_documents(spark):
     """Trusted are half of the documents labelled good: of the other half nine in ten stay in every language, and most bad
     ones go.  Without trusted texts the base rules alone decide."""
