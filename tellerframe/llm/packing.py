@@ -19,8 +19,10 @@ again.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shipping import ship
+from .words import buffers
 
 CAPACITY = 1024
 POOL = 4096  # pieces that wait for a sequence in a task
-_SLICE = 1 << 20  # characters encoded at a time
+_SLICE = 4 << 20  # bytes encoded at a time
+_TOGETHER = 100  # unknown words
 _CACHED_WORDS, _CACHED_LENGTH = 1_000_000, 64
 _OUT_BYTES = 4 << 20
 _ID_BYTES = 4
@@ -43,16 +47,33 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens big
 _NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
+_LETTER, _DIGIT, _MARK, _APOSTROPHE = 1, 2, 3, 4
+
+
+def _byte_kinds() -> np.ndarray:
+    """Letters, digits, marks and the apostrophe of ASCII; 0 for all other bytes."""
+    kinds = np.zeros(256, np.uint8)
+    kinds[0x21:0x7F] = _MARK
+    kinds[np.frombuffer(string.ascii_letters.encode(), np.uint8)] = _LETTER
+    kinds[np.frombuffer(string.digits.encode(), np.uint8)] = _DIGIT
+    kinds[ord("'")] = _APOSTROPHE
+    return kinds
+
+
+_BYTE_KINDS = _byte_kinds()
+
+
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit numbers, for byte-level vocabularies whose words begin at a space.
+    """Ids of whole texts as little-endian 32-bit numbers, for byte-level vocabularies with GPT-2's pattern of words.
 
-    Words are looked up; those not met yet are encoded together, a line for each, as a line's end is always an id of its own."""
+    A text is cut where a word of the pattern begins whatever stands around it: at a space before a visible character, before
+    and behind a single line end, and between letters, digits and marks.  Arrow finds the distinct parts of many texts at once;
+    those not met yet are encoded together, a line for each, as a line's end is always an id of its own."""
 
     # A space with a visible character behind it always begins a new word of the vocabulary's pattern, and
     # nothing before it depends on what follows.
-    _BEGIN = re.compile(r" (?=\S)")
+    _BEGIN = re.compile(rb" (?=[\x21-\x7e\xc3-\xe0\xe4-\xf4])")
     _PLAIN = re.compile(r" ?\S+")
-    _LINE = re.compile(r"(?<=\S)\n(?=\S)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -60,52 +81,106 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        # an ordinary added token may hold letters and marks: then words stay whole
+        self._inside = all(t.special for t in self._tokenizer.get_added_tokens_decoder().values())
         self._known: dict[str, bytes] = {}
         (self._line_end,) = self._ids("\n")
-        self._newline = np.array([self._line_end], "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        parts, at = [], 0
-        while at < len(text):
-            cut = self._BEGIN.search(text, at + _SLICE)
-            end = cut.start() if cut else len(text)
-            parts.append(self._slice(text[at:end]))
+        return next(self.texts(pa.array([text], pa.large_string())))
+
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; a null one is empty."""
+        data, offsets = buffers(texts)
+        at, n = 0, len(offsets) - 1
+        while at < n:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _SLICE, side="right")) - 1)
+            if end == at + 1 and offsets[end] - offsets[at] > _SLICE:
+                yield self._long(data[offsets[at] : offsets[end]])
+            else:
+                yield from self._slices(data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at])
+            at = end
+
+    def _long(self, data: np.ndarray) -> bytes:
+        whole, parts, at = data.tobytes(), [], 0
+        while at < len(whole):
+            cut = self._BEGIN.search(whole, at + _SLICE)
+            end = cut.start() if cut else len(whole)
+            parts += self._slices(data[at:end], np.array([0, end - at]))
             at = end
         return b"".join(parts)
 
     def _ids(self, text: str) -> list[int]:
         return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _slice(self, text: str) -> bytes:
-        words, ends = [], []
-        for line in self._LINE.split(text):
-            # the first word of a line has no space before it
-            first, *others = self._BEGIN.split(line)
-            words.append("\n" + first)
-            words += others
-            ends.append(len(words))
+    def _slices(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        if not len(data):
+            return [b""] * (len(offsets) - 1)
+        starts = self._starts(data, offsets)
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data))
+        words = words.dictionary_encode()
+        ids = pa.array(self._of_words(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        _, ends, found = ids.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(starts) + 1][np.searchsorted(starts, offsets)].tolist()
+        found = found.to_pybytes() if found is not None else b""
+        return [found[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the parts of some texts begin; ``offsets`` are the texts' own."""
+        kinds = _BYTE_KINDS[data]
+        begins = np.zeros(len(data) + 1, bool)
+        begins[_before_visible(data)] = True
+        line_ends = np.flatnonzero(data[1:-1] == ord("\n")) + 1
+        line_ends = line_ends[(kinds[line_ends - 1] > 0) & (kinds[line_ends + 1] > 0)]
+        begins[line_ends] = begins[line_ends + 1] = True
+        begins[offsets[1:][np.diff(offsets) > 0] - 1] = False  # what follows a text's last byte is another text
+        if self._inside:
+            latin = np.flatnonzero(data[:-1] == 0xC3)  # the letters of Latin-1, all but its two signs
+            latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]
+            kinds[latin] = kinds[latin + 1] = _LETTER
+            # an apostrophe may take letters behind it, and marks before it
+            before, after = kinds[:-1], kinds[1:]
+            other = (before != after) & (before > 0) & (after > 0) & (before < _APOSTROPHE)
+            begins[1:-1] |= other & ~((before == _MARK) & (after == _APOSTROPHE))
+        begins[offsets] = True
+        return np.flatnonzero(begins[:-1])
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
         known = self._known
         ids = list(map(known.get, words))
-        missing = list({w for w, i in zip(words, ids) if i is None})
+        missing = [w for w, i in zip(words, ids) if i is None]
         if missing:
-            new = self._new(missing)
+            new = {}
+            for at in range(0, len(missing), _TOGETHER):
+                new.update(self._new(missing[at : at + _TOGETHER]))
             ids = [new[w] if i is None else i for w, i in zip(words, ids)]
             known.update((w, i) for w, i in new.items() if len(w) <= _CACHED_LENGTH)
             if len(known) > _CACHED_WORDS:  # the oldest half goes; words that are still in use come back
                 for w in list(known)[: len(known) // 2]:
                     del known[w]
-        for end in ends[:-1]:
-            ids[end - 1] += self._newline
-        return b"".join(ids)
-
-    def _new(self, words: list[str]) -> dict[str, bytes]:
-        own = [w[1:] if w[0] == "\n" else " " + w for w in words]
-        plain = list(map(self._PLAIN.fullmatch, own))
-        found = np.array(self._ids("\n".join([o for o, p in zip(own, plain) if p])), "<u4")
+        return ids
+
+    def _new(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        plain = list(filter(self._PLAIN.fullmatch, words))
+        found = np.array(self._ids("\n".join(plain)), "<u4")
         ends = (np.flatnonzero(found == self._line_end) * _ID_BYTES).tolist()
         ids = found.tobytes()
-        lines = map(ids.__getitem__, map(slice, [0, *(e + _ID_BYTES for e in ends)], [*ends, len(ids)]))
-        return {w: next(lines) if p else np.array(self._ids(o), "<u4").tobytes() for w, o, p in zip(words, own, plain)}
+        lines = zip(plain, map(ids.__getitem__, map(slice, [0, *(e + _ID_BYTES for e in ends)], [*ends, len(ids)])))
+        if len(plain) == len(words):
+            return lines
+        others = (w for w in words if not self._PLAIN.fullmatch(w))
+        return itertools.chain(lines, ((w, np.array(self._ids(w), "<u4").tobytes()) for w in others))
+
+
+def _before_visible(data: np.ndarray) -> np.ndarray:
+    """The spaces with a visible character behind them."""
+    spaces = np.flatnonzero(data[:-1] == ord(" "))
+    lead, second, third = (data[np.minimum(spaces + i, len(data) - 1)] for i in (1, 2, 3))
+    # Behind these first bytes there are spaces of Unicode too: U+0085, U+00A0, U+1680, U+180E, U+2000 to U+205F, U+3000.
+    e1 = (lead == 0xE1) & (second != 0x9A) & (second != 0xA0)
+    e2 = (lead == 0xE2) & ((second > 0x81) | (second == 0x80) & (third > 0x8A) & (third != 0xA8) & (third != 0xA9) & (third != 0xAF))
+    e3 = (lead == 0xE3) & ((second != 0x80) | (third != 0x80))
+    return spaces[(_BYTE_KINDS[lead] > 0) | (lead > 0xC2) & (lead < 0xE1) | (lead > 0xE3) | e1 | e2 | e3]
 
 
 @lru_cache(maxsize=2)
@@ -236,8 +311,8 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
 
 def _packed(batch: pa.RecordBatch, encode: Encoder, packer: Packer, end: bytes) -> Iterator[tuple]:
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-        yield from packer.add(doc_id, encode(text.as_py() or "") + end)
+    for doc_id, ids in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1))):
+        yield from packer.add(doc_id, ids + end)
 
 
 def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:

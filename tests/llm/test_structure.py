@@ -10,6 +10,7 @@ from fractions import Fraction
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -289,6 +290,25 @@ def test_ids_do_not_depend_on_slices(monkeypatch):
         assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("size", [7, 1 << 20])
+def test_ids_of_many_texts_at_once(monkeypatch, size):
+    """No text changes its neighbours' ids, null and empty ones included, and words are met by their letters alone: marks and
+    digits around them make no new ones."""
+    monkeypatch.setattr(packing, "_SLICE", size)
+    monkeypatch.setattr(packing, "_TOGETHER", 5)
+    draw = random.Random(11)
+    encode, tokenizer = packing.Encoder(VOCABULARY), plain_tokenizer()
+    texts = [None, "", "a  ", "b", "\n", "\nc", "d\n", "e", " ", "\u201eü\u201c \u201eÄ\u201c", "ü's×÷ß'll", "\u3000 \u2003 日本 \u3000", "", None]
+    texts += ["".join(draw.choice("  \nabtsl1!'(\"é×\u3000\x85½日\u201e\u2003е") for _ in range(draw.randrange(30))) for _ in range(2000)]
+    wanted = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(encode.texts(pa.array(texts))) == wanted
+    assert list(encode.texts(pa.chunked_array([texts[:9], texts[9:]]))) == wanted
+    assert list(encode.texts(pa.array(texts)[3:99])) == wanted[3:99] and not list(encode.texts(pa.array([], pa.string())))
+    encode = packing.Encoder(VOCABULARY)
+    list(encode.texts(pa.array([" zebra", " zebra,", " zebra!)", " zebra7", "(zebra)"])))
+    assert sum("zebra" in w for w in encode._known) == 2
+
+
 @pytest.mark.parametrize("capacity", [1024, 100])
 def test_packing(odd_docs, odd_rows, capacity):
     got = packing.packed(odd_docs, VOCABULARY, capacity).collect()
