@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tellerframe.llm import decontamination, jaccard_join, mixing, pii, quality_classifier
 from tellerframe.llm.words import unused
-from tellerframe.sources.storage import materialize
+from tellerframe.sources.storage import materialize, materialize_alone
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -33,8 +33,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     repeated doc_id takes no other text with it and rows without doc_id are compared too.  Texts without words stay."""
     (key,) = unused(docs.columns, "row")
     rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
-    found = jaccard_join.linked(rows.select(F.col(key).alias("doc_id"), "text"))
-    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias(key))
+
+    def others() -> DataFrame:
+        found = jaccard_join.linked(rows.select(F.col(key).alias("doc_id"), "text"))
+        return found.where("component_id != doc_id").select(F.col("doc_id").alias(key))
+
+    # the sets and postings of the search would stay on disk through all later stages
+    gone = materialize_alone(spark, others, "near-duplicates")
     return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 

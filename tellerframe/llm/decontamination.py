@@ -65,7 +65,10 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: int = CONTAINME
     whole = sketches.select(F.col("item_id").alias("i"), F.col("shingles").alias("item"))
     pairs = candidates.join(whole, F.col("item_id").eqNullSafe(F.col("i")))
     pairs = pairs.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "item_id", "item")
-    both = rows.distinct().join(pairs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
+    # equal rows are one among the few that are candidates, so that all others are sent once at most
+    few = rows.join(pairs.select("d", "k").distinct(), same, "left_semi").distinct()
+    both = few.join(pairs, same)
     shared = F.size(F.array_intersect(shingles_column("text"), F.col("item")))
     both = both.select("doc_id", "text_key", "item_id", F.size("item").cast("long").alias("n_item_shingles"), shared.cast("long").alias("n_shared"))
     return both.where(100 * F.col("n_shared") >= containment * F.col("n_item_shingles")).withColumn("containment", F.col("n_shared") / F.col("n_item_shingles"))

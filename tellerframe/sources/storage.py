@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -67,6 +67,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_alone(spark: SparkSession, plan: Callable[[], DataFrame], label: str) -> DataFrame:
+    """:func:`materialize` of what ``plan()`` gives; the working tables that it writes on its way are deleted."""
+    path = fresh_path(spark, label)
+    with working(spark):
+        df = plan()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _hadoop(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -323,6 +323,13 @@ def test_decontamination(odd_docs, odd_rows, odd_items):
     assert {400, 401, 505, 506} <= held and kept == Counter(d for d, _ in pairs(odd_rows) if d not in held)
 
 
+def test_only_candidates_are_made_distinct(odd_docs, odd_items):
+    """Equal rows are sought among the documents that may hold an item, not among all texts."""
+    plan = decontamination.contaminated(odd_docs, odd_items)._jdf.queryExecution().optimizedPlan().toString()
+    texts = next(part for part in plan.split("Aggregate [")[1:] if "text#" in part.split("]")[0])
+    assert "LeftSemi" in texts
+
+
 def test_decontamination_in_blocks(odd_docs, odd_rows, odd_items, monkeypatch):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 10)
     items = [(r.item_id, r.text) for r in odd_items.collect()]

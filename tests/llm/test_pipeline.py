@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from tellerframe.llm import registry
+from tellerframe.sources import storage
 from tests.check_oracles import connect, differences
 
 from . import plain
@@ -57,6 +58,18 @@ def test_near_duplicates_leave_one_of_each_group(spark, folder, odd_docs, odd_ro
     assert sum(1 for doc, _ in kept if doc == 601) == 2
 
 
+def test_near_duplicates_leave_no_tables_of_the_search(spark, folder, odd_docs, tmp_path):
+    """Later stages find the keyed rows and the removed keys on disk, no sets, postings or pairs."""
+    path = f"{tmp_path}/work"
+    before = storage._WORKING.set(path)
+    try:
+        left = STAGES["n-gram Jaccard join"](spark, odd_docs, folder)
+        assert sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "work").iterdir()) == ["keyed-rows", "near-duplicates"]
+        assert 0 < left.count() < odd_docs.count()
+    finally:
+        storage._WORKING.reset(before)
+
+
 def test_mixed_rows_are_sorted(spark, folder, odd_docs):
     rows = STAGES["mixing sources to target weights"](spark, odd_docs, folder).collect()
     first = [r.copies[0].position for r in rows]
