@@ -19,6 +19,25 @@ from tellerframe.sources import storage
 from tellerframe.sources.storage import fresh_path
 
 
+def _tables(spark, folder):
+    """Star-schema tables of a few rows: every customer has orders, order 414 a second and later copy."""
+    start = datetime(2000, 1, 1)
+    orders = [(k, k % 10, "O", 1000.0 + k, start + timedelta(days=k % 90), "1-URGENT") for k in [*range(40), 414]]
+    lines = [(k, k % 7, k % 3, n, 5.0, 100.0 + k, 0.0, 0.0, "N", "O", start) for k in range(20) for n in (1, 1, 2)]
+    customers = [(k, f"Customer {k}", 0, 10.0 * k, "BUILDING" if k % 2 else "AUTOMOBILE") for k in range(10)]
+    write = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    write(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string", "orders")
+    write(
+        lines,
+        """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double,
+           l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp""",
+        "lineitem",
+    )
+    write(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", "customer")
+    write([(0, "CANADA", 1)], "n_nationkey int, n_name string, n_regionkey int", "nation")
+    return folder
+
+
 def _shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
@@ -35,3 +54,33 @@ def test_shuffle_files_go_with_their_job(spark):
         assert not _shuffle_files(spark) - before
         assert kept.groupBy("id").count().count() == 1000
     assert spark.conf.get(storage._SHUFFLE_CLEANUP, "false") == "false"
+
+
+def test_two_days_write_once_and_keep_their_tables_only(spark, monkeypatch):
+    """On the first day transactions and facts go to their tables alone; at the end nothing but the run's tables is left."""
+    folder = _tables(spark, fresh_path(spark, "tables"))
+    written, materialize = [], daily.materialize
+    monkeypatch.setattr(daily, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+    with storage.working(spark):
+        own = storage._WORKING.get()
+        layout = queries._run_repeated_days(Bank(spark, folder))
+        location, files = storage._hadoop(spark, own)
+        assert [s.getPath().toString().endswith(layout.root) for s in files.listStatus(location)] == [True]
+        first = written[: written.index("arrived")]
+        assert "fact-batch" not in first and "day-holders" in first
+        read = lambda layer, name: spark.read.parquet(layout.table(layer, name))
+        fact, kpi = read("marts", "fact_transactions"), read("metrics", "kpi_daily_summary")
+        assert read("staging", "stg_transactions").count() == fact.select("transaction_id").distinct().count() == fact.count() == 39
+        assert [r.amount_cad for r in fact.filter("amount_cad > 1400").collect()] == [Decimal("1415.00")]
+        assert kpi.agg(F.sum("transaction_count")).first()[0] == 39
+        months = read("metrics", "kpi_customer_segment").groupBy("customer_segment").agg(F.sum("total_transactions").alias("n"))
+        current = read("marts", "dim_customer").filter("is_current").select("customer_sk", "customer_segment")
+        expected = fact.join(current, "customer_sk").groupBy("customer_segment").count()
+        assert {tuple(r) for r in months.collect()} == {tuple(r) for r in expected.collect()}
+
+
+def test_whole_months_equal_the_decimal_quotient(spark):
+    days = spark.range(-40_000, 40_000).select(F.col("id").cast("int").alias("d"))
+    other = ratio(F.col("d"), F.lit(DAYS_PER_MONTH), 0).cast("int")
+    assert days.filter(~months_between(F.col("d")).eqNullSafe(other)).isEmpty()
+    assert spark.sql("select cast(null as int) as d").select(months_between(F.col("d"))).first()[0] is None
