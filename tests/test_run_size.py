@@ -57,7 +57,7 @@ def test_shuffle_files_go_with_their_job(spark):
 
 
 def test_two_days_write_once_and_keep_their_tables_only(spark, monkeypatch):
-    """On the first day transactions and facts go to their tables alone; at the end nothing but the run's tables is left."""
+    """On the first day transactions, facts and counts of months go to their tables alone; at the end nothing but the run's tables is left."""
     folder = _tables(spark, fresh_path(spark, "tables"))
     written, materialize = [], daily.materialize
     monkeypatch.setattr(daily, "materialize", lambda df, label: written.append(label) or materialize(df, label))
@@ -67,7 +67,7 @@ def test_two_days_write_once_and_keep_their_tables_only(spark, monkeypatch):
         location, files = storage._hadoop(spark, own)
         assert [s.getPath().toString().endswith(layout.root) for s in files.listStatus(location)] == [True]
         first = written[: written.index("arrived")]
-        assert "fact-batch" not in first and "day-holders" in first
+        assert "fact-batch" not in first and "day-holders" in first and "customer-months" not in written
         read = lambda layer, name: spark.read.parquet(layout.table(layer, name))
         fact, kpi = read("marts", "fact_transactions"), read("metrics", "kpi_daily_summary")
         assert read("staging", "stg_transactions").count() == fact.select("transaction_id").distinct().count() == fact.count() == 39
