@@ -79,6 +79,18 @@ def test_two_days_write_once_and_keep_their_tables_only(spark, monkeypatch):
         assert {tuple(r) for r in months.collect()} == {tuple(r) for r in expected.collect()}
 
 
+def test_offenders_are_read_from_the_counts_of_the_results(spark):
+    """The rows and the reference are read once for uniqueness, references and the orphans named."""
+    rows = storage.materialize(spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "x"), (None, "y")], "id int, ref string"), "rows")
+    reference = storage.materialize(spark.createDataFrame([("a",), ("b",), (None,)], "ref string"), "reference")
+    suite = [c.unique("id"), c.references("ref", reference)]
+    named = c.with_samples(c.run_checks(rows, suite), rows, suite)
+    result = {r.check_name: (r.failed_count, r.details) for r in named.collect()}
+    assert result == {"unique_id": (1, "1 duplicate rows detected"), "referential_integrity_ref": (2, "Orphan keys: x, y")}
+    plan = named._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 2
+
+
 def test_whole_months_equal_the_decimal_quotient(spark):
     days = spark.range(-40_000, 40_000).select(F.col("id").cast("int").alias("d"))
     other = ratio(F.col("d"), F.lit(DAYS_PER_MONTH), 0).cast("int")
