@@ -79,6 +79,21 @@ def test_two_days_write_once_and_keep_their_tables_only(spark, monkeypatch):
         assert {tuple(r) for r in months.collect()} == {tuple(r) for r in expected.collect()}
 
 
+def test_samples_are_sought_among_few_cells(spark):
+    """Rows come largest value first, so the first rows bound little; all samples are those of a full search."""
+    n = 3 * p.HEAD
+    rows = spark.range(n, numPartitions=1).select(
+        F.format_string("%06d", n - F.col("id")).alias("falling"), F.format_string("%06d", F.col("id")).alias("rising"),
+        (F.col("id") % 3).cast("string").alias("few"), F.lit(None).cast("string").alias("none"), F.when(F.col("id") > n - 8, F.col("id")).alias("late"),
+    )
+    rows = storage.materialize(rows, "profiled")
+    found = {r.column_name: r.sample_values for r in p.profile(rows).collect()}
+    values = {name: sorted({str(r[0]) for r in rows.select(name).distinct().collect() if r[0] is not None})[: p.SAMPLES] for name in rows.columns}
+    assert found == values
+    cells = p._cells(rows.select("rising")).filter("_v is not null").distinct()
+    assert p._candidates(cells, rows.select("rising")).count() <= p.HEAD
+
+
 def test_offenders_are_read_from_the_counts_of_the_results(spark):
     """The rows and the reference are read once for uniqueness, references and the orphans named."""
     rows = storage.materialize(spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "x"), (None, "y")], "id int, ref string"), "rows")
